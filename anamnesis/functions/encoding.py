@@ -22,12 +22,14 @@ def encode_flag(value: Column) -> Column:
 
 
 def encode_sex(value: Column) -> Column:
-    text = value.cast("string")
-    return (
-        F.when(text.isin("M", "1"), 1)
-        .when(text.isin("F", "0"), 0)
-        .otherwise(UNKNOWN)
-    )
+    """Raw letters; lower case is not a known letter."""
+    return F.when(value == "M", 1).when(value == "F", 0).otherwise(UNKNOWN)
+
+
+def keep_sex_code(value: Column) -> Column:
+    """Numbers that are already encoded."""
+    code = value.cast("int")
+    return F.when(code.isin(1, 0), code).otherwise(UNKNOWN)
 
 
 def encode_optional_int(value: Column) -> Column:
