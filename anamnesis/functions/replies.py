@@ -14,24 +14,16 @@ JSON_FENCE = "```json"
 
 _END_MARK = "\u0001end-of-reply\u0001"
 _END_MARK_JSON = '"\\u0001end-of-reply\\u0001"'
-_OBJECT = "OBJECT<%"
+_FENCED = f"(?s)^(?:{JSON_FENCE}(?:{FENCE})?|{FENCE})(.*?)(?:{FENCE})?\\z"
 
 
 def strip_fence(raw: Column) -> Column:
     """Drop a fence only when the reply starts with one; the tag is lower case."""
-    text = strip(raw)
-    body = F.regexp_replace(text, f"^{JSON_FENCE}", "")
-    body = F.regexp_replace(body, f"^{FENCE}", "")
-    body = F.regexp_replace(body, f"{FENCE}\\z", "")
-    return F.when(F.startswith(text, F.lit(FENCE)), strip(body)).otherwise(text)
-
-
-def _field(value: str, name: str, kind: str) -> Column:
-    return F.expr(f"try_variant_get({value}, '$.{name}', '{kind}')")
+    return strip(F.regexp_replace(strip(raw), _FENCED, "$1"))
 
 
 def parse_strict(text: Column) -> Column:
-    """Whole text as one JSON value, else null.
+    """Whole text as one JSON value, else null; the value is at ``$[0]``.
 
     The JVM parser stops after the first value, so the text is parsed as the
     first item of a list that ends in a mark: left-over characters break it.
@@ -39,32 +31,45 @@ def parse_strict(text: Column) -> Column:
     return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f",{_END_MARK_JSON}]")))
 
 
+def _get(path: str, kind: str) -> Column:
+    return F.expr(f"try_variant_get(_reply, '{path}', '{kind}')")
+
+
+def _field(name: str, kind: str) -> Column:
+    return _get(f"$[0].{name}", kind)
+
+
 def _number(name: str) -> Column:
-    return _field("_v", name, "double")
+    return _field(name, "double")
 
 
 def _flag(name: str) -> Column:
     """Booleans may arrive as words or numbers; other non-empty text is true."""
     return F.coalesce(
-        _field("_v", name, "boolean"),
+        _field(name, "boolean"),
         _number(name) != 0,
-        F.length(_field("_v", name, "string")) > 0,
+        F.length(_field(name, "string")) > 0,
         F.lit(False),
     )
 
 
-def _is_null(name: str) -> Column:
-    return F.coalesce(F.is_variant_null(_field("_v", name, "variant")), F.lit(False))
-
-
 def _list(name: str) -> Column:
-    return F.coalesce(_field("_v", name, "array<string>"), F.array().cast("array<string>"))
+    return F.coalesce(_field(name, "array<string>"), F.array().cast("array<string>"))
 
 
 def _bad_list(name: str) -> Column:
     """Null, or anything but a list; a missing key is an empty list."""
-    present = _field("_v", name, "variant").isNotNull()
-    return present & _field("_v", name, "array<string>").isNull()
+    return _field(name, "variant").isNotNull() & _field(name, "array<string>").isNull()
+
+
+def _reply_error() -> Column:
+    marked = F.coalesce(_get("$[1]", "string") == _END_MARK, F.lit(False))
+    is_object = F.schema_of_variant(_get("$[0]", "variant")).startswith("OBJECT")
+    return (
+        F.when(~marked, "invalid_json")
+        .when(~is_object, "not_an_object")
+        .when(_bad_list("entidades") | _bad_list("entidades_normalizadas"), "bad_entity_list")
+    )
 
 
 def parse_replies(df: DataFrame, raw: str = "raw") -> DataFrame:
@@ -72,48 +77,41 @@ def parse_replies(df: DataFrame, raw: str = "raw") -> DataFrame:
 
     ``urgencia_ausente`` tells a missing urgency from an explicit null. Numbers
     are read as double, then cut to whole ones, so "67" and 67.5 both count.
+
+    Both steps are one-row generators: a later filter on a field is not pushed
+    below them, where it would parse every reply a second time.
     """
-    whole = F.expr("try_variant_get(_w, '$[0]', 'variant')")
-    marked = F.expr("try_variant_get(_w, '$[1]', 'string')") == _END_MARK
-    parsed = (
-        df.withColumn("_w", parse_strict(strip_fence(F.col(raw))))
-        .withColumn("_v", F.when(marked, whole))
-    )
-    is_object = F.schema_of_variant(F.col("_v")).like(_OBJECT)
-    error = (
-        F.when(F.col("_v").isNull(), "invalid_json")
-        .when(~is_object, "not_an_object")
-        .when(_bad_list("entidades") | _bad_list("entidades_normalizadas"), "bad_entity_list")
-    )
-    return parsed.withColumns({
-        "reply_error": error,
+    fields = {
+        "reply_error": _reply_error(),
         "nivel_triaje": _number("nivel_triaje").cast("int"),
         "score_urgencia": _number("score_urgencia"),
-        "urgencia_ausente": _field("_v", "score_urgencia", "variant").isNull(),
+        "urgencia_ausente": _field("score_urgencia", "variant").isNull(),
         "score_ansiedad": _number("score_ansiedad"),
-        "motivo_consulta": _field("_v", "motivo_consulta", "string"),
+        "motivo_consulta": _field("motivo_consulta", "string"),
         "entidades": _list("entidades"),
         "entidades_normalizadas": _list("entidades_normalizadas"),
         "edad": _number("edad").cast("int"),
-        "sexo": _field("_v", "sexo", "string"),
+        "sexo": _field("sexo", "string"),
         "dolor_intensidad": _number("dolor_intensidad").cast("int"),
         **{name: _flag(name) for name in FLAGS},
-        "justificacion": _field("_v", "justificacion", "string"),
-    }).drop("_w", "_v")
+        "justificacion": _field("justificacion", "string"),
+    }
+    parsed = df.select("*", F.explode(F.array(parse_strict(strip_fence(F.col(raw))))).alias("_reply"))
+    row = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return parsed.select("*", F.inline(F.array(row))).drop("_reply")
 
 
 def entity_rows(df: DataFrame, key: str = "guid") -> DataFrame:
     """One row per pair of raw and normalised term; the longer list is cut."""
     size = F.least(F.size("entidades"), F.size("entidades_normalizadas"))
     pairs = F.arrays_zip(
-        F.slice("entidades", 1, size).alias("entidad_raw"),
-        F.slice("entidades_normalizadas", 1, size).alias("entidad_normalizada"),
+        F.slice("entidades", 1, size), F.slice("entidades_normalizadas", 1, size),
     )
+    pairs = pairs.cast("array<struct<entidad_raw:string,entidad_normalizada:string>>")
     exploded = df.select(key, F.posexplode(pairs).alias("pos", "pair"))
     return exploded.select(
         key, "pos",
-        F.col("pair")["0"].alias("entidad_raw"),
-        F.col("pair")["1"].alias("entidad_normalizada"),
+        "pair.entidad_raw", "pair.entidad_normalizada",
         F.lit("sintoma").alias("tipo"),
     )
 

@@ -66,7 +66,10 @@ MALE = _word(r"male|man|hombre|varón")
 
 # A number of years that is not an age.
 NOT_AN_AGE = r"(?:desde hace|hace|durante|for the last|for the past|for|last|past) (?:como |casi |unos |about |almost )?[0-9a-záéíóúñ]+(?: y [a-záéíóúñ]+)? (?:años|years)"
-AGE_DIGITS = r"([0-9]{1,3})[ -]?(?:years?[ -]old|años|yo" + STOP + r")|(?:i'm|i am|aged|age is|age) ([0-9]{1,3})" + r"(?:$|[^0-9%/])"
+AGE_DIGITS = (
+    r"([0-9]{1,3})[ -]?(?:years?[ -]old|años)"
+    + "|" + EDGE + r"(?:i'm|i am|aged|age is|age) ([0-9]{1,3})(?:$|[^0-9%/])"
+)
 NUMBER_WORDS = {
     "uno": 1, "un": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7,
     "ocho": 8, "nueve": 9, "diez": 10, "once": 11, "doce": 12, "trece": 13, "catorce": 14,

@@ -128,6 +128,14 @@ def replace_children(old: DataFrame, new: DataFrame, parents: DataFrame, key: st
     return kept.unionByName(new)
 
 
+def current_entities(entities: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Children written with the newest annotation of their case. A case that
+    was annotated again without findings loses its old ones."""
+    newest_run = annotations.groupBy("guid").agg(F.max(F.struct("ts", "seq")).alias("_run"))
+    runs = newest_run.select("guid", F.col("_run.ts").alias("ts"), F.col("_run.seq").alias("seq"))
+    return entities.join(runs, ["guid", "ts", "seq"]).drop("ts", "seq")
+
+
 def orphans(children: DataFrame, cases: DataFrame, key: str = "guid") -> DataFrame:
     return children.join(cases.select(key), key, "left_anti")
 

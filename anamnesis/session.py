@@ -21,6 +21,7 @@ def local_session(app: str = "anamnesis", cpus: str = "*") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
