@@ -1,6 +1,6 @@
 """Loads every query module, in the order they are listed."""
 
-from . import replies, text  # noqa: F401
+from . import encoding, metrics, replies, state, text  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
