@@ -1,5 +1,6 @@
 """Class-weighted forest and logistic baseline with pyspark.ml."""
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -15,6 +16,10 @@ from .ranking import stratified_folds, stratified_split
 
 LABEL = "label"
 WEIGHT = "weight"
+# A tree is grown on the driver, so its size must not grow with the data. Up to
+# this many rows trees are as deep as the data asks; beyond, a leaf holds
+# enough rows to keep a tree within this many leaves.
+MAX_LEAVES = 20_000
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -34,12 +39,13 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
 
 
-def forest(trees: int = TREES, seed: int = SEED) -> Pipeline:
+def forest(n_train: int, trees: int = TREES, seed: int = SEED) -> Pipeline:
     """Trees as deep as Spark allows; node ids are cached because deep trees
     otherwise ship the growing forest to every task at every level."""
     return Pipeline(stages=[_assembler(), RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
         numTrees=trees, maxDepth=30, maxBins=128, featureSubsetStrategy="sqrt",
+        minInstancesPerNode=max(1, math.ceil(n_train / MAX_LEAVES)),
         seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024,
     )])
 
@@ -67,8 +73,15 @@ def split(rows: DataFrame, key: str = "guid") -> DataFrame:
     return stratified_split(labelled(rows), TARGET, key)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Small tables come in few files: give every core a share. Large ones keep
+    their splits."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED) -> PipelineModel:
-    return forest(trees, seed).fit(train)
+    return forest(train.count(), trees, seed).fit(_spread(train))
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:

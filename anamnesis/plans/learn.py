@@ -84,7 +84,7 @@ def train(store: Store, trees: int = TREES) -> DataFrame:
     rows = materialize(training_rows_from_encoded(dataset), "training")
     model, summary = training_report(rows, trees=trees)
     ended = datetime.now(timezone.utc)
-    name = write_model(model, store.models, ended)
+    name = write_model(store.spark, model, store.models, ended)
     ready = store.cases([]).join(dataset.select("guid"), "guid", "left_semi")
     store.append("case_log", move_all(
         ready, DATASET_READY, MODEL_TRAINED, ended, 6,

@@ -1,7 +1,8 @@
 """Versioned datasets, models and evaluation documents.
 
 A version is a folder named by prefix and UTC second, so the newest name is the
-newest version.
+newest version. Its name enters the folder's manifest only after it has been
+written, so a half-written version is never picked up.
 """
 
 from datetime import datetime
@@ -10,7 +11,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import DATASET, DATASET_PREFIX, EVALUATION, EVALUATION_PREFIX, MODEL_PREFIX
-from .texts import list_objects
+
+MANIFEST = "name string"
 
 
 def versioned_name(prefix: str, at: datetime) -> str:
@@ -22,19 +24,29 @@ def latest_by_prefix(names: DataFrame, prefix: str, name: str = "name") -> DataF
     return names.where(F.col(name).startswith(prefix)).agg(F.max(name).alias("latest"))
 
 
-def _folder_exists(spark: SparkSession, folder: str) -> bool:
+def _manifest(folder: str) -> str:
+    return f"{folder}/manifest"
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def publish(spark: SparkSession, folder: str, name: str) -> str:
+    """Puts a written version on record."""
+    spark.createDataFrame([(name,)], MANIFEST).coalesce(1).write.mode("append").parquet(_manifest(folder))
+    return name
+
+
+def published(spark: SparkSession, folder: str) -> DataFrame:
+    if not _exists(spark, _manifest(folder)):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(_manifest(folder))
+
+
 def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None:
-    """Newest version in a folder. Only committed versions count, so a version
-    that is still being written is not picked up."""
-    if not _folder_exists(spark, folder):
-        return None
-    committed = list_objects(spark, folder, prefix).where(F.col("name").endswith("_SUCCESS"))
-    names = committed.select(F.substring_index("name", "/", 1).alias("name"))
-    return latest_by_prefix(names, prefix).first()["latest"]
+    return latest_by_prefix(published(spark, folder), prefix).first()["latest"]
 
 
 def require_artifact(spark: SparkSession, folder: str, prefix: str, error: str) -> str:
@@ -47,7 +59,7 @@ def require_artifact(spark: SparkSession, folder: str, prefix: str, error: str)
 def write_dataset(rows: DataFrame, folder: str, at: datetime) -> str:
     name = versioned_name(DATASET_PREFIX, at)
     rows.write.option("header", True).csv(f"{folder}/{name}")
-    return name
+    return publish(rows.sparkSession, folder, name)
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -59,10 +71,10 @@ def latest_dataset(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     return name, read_dataset(spark, f"{folder}/{name}")
 
 
-def write_model(model: PipelineModel, folder: str, at: datetime) -> str:
+def write_model(spark: SparkSession, model: PipelineModel, folder: str, at: datetime) -> str:
     name = versioned_name(MODEL_PREFIX, at)
     model.write().save(f"{folder}/{name}")
-    return name
+    return publish(spark, folder, name)
 
 
 def latest_model(spark: SparkSession, folder: str) -> tuple[str, PipelineModel]:
@@ -74,7 +86,7 @@ def write_evaluation(document: DataFrame, folder: str, at: datetime) -> str:
     """The document has one row."""
     name = versioned_name(EVALUATION_PREFIX, at)
     document.coalesce(1).write.json(f"{folder}/{name}")
-    return name
+    return publish(document.sparkSession, folder, name)
 
 
 def latest_evaluation(spark: SparkSession, folder: str) -> DataFrame | None:
