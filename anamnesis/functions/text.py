@@ -17,9 +17,6 @@ PATIENT_TAG = "P:"
 PLACEHOLDER = "{transcripcion}"
 
 _ODD_SPACES = SPACES.replace(" ", "")
-# A lone blank is already clean, so it is not matched: on prose that avoids
-# rewriting every word gap.
-_SPACE_RUN = f"[{SPACES}]{{2,}}|[{_ODD_SPACES}]"
 _PATIENT_LINE = f"(?:^|\\n)[{SPACES}]*{PATIENT_TAG}[{SPACES}]*((?:[^\\n]*[^\\n{SPACES}])?)"
 
 
@@ -33,8 +30,13 @@ def unix_newlines(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """One blank per run of white space, at most one empty line, no outer space."""
-    collapsed = F.regexp_replace(text, _SPACE_RUN, " ")
+    """One blank per run of white space, at most one empty line, no outer space.
+
+    Odd spaces become blanks first: a regex class of them all is several times
+    slower than the plain mapping followed by a regex on blanks.
+    """
+    blanks = F.translate(text, _ODD_SPACES, " " * len(_ODD_SPACES))
+    collapsed = F.regexp_replace(blanks, "  +", " ")
     return strip(F.regexp_replace(collapsed, "\n{3,}", "\n\n"))
 
 

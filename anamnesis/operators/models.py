@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
+from ..session import shared_folder
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
 
@@ -81,6 +82,8 @@ def _spread(rows: DataFrame) -> DataFrame:
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED) -> PipelineModel:
+    """Node ids are checkpointed to the shared folder, every ten levels."""
+    shared_folder(train.sparkSession)
     return forest(train.count(), trees, seed).fit(_spread(train))
 
 

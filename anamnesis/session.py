@@ -30,19 +30,26 @@ def local_session(app: str = "anamnesis", cpus: str = "*") -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local-mode session may fall back to a folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        fallback = tempfile.mkdtemp(prefix="anamnesis-")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        return fallback
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        app = context.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="anamnesis-")
+        folder = _LOCAL_FOLDERS[app]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
