@@ -17,12 +17,37 @@ from . import lexicon as lex
 RAW_REPLY = "guid string, raw string, annotate_error string"
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.rlike(text, F.lit(pattern))
+def _any(text: Column, phrases: list[str]) -> Column:
+    """Whether any phrase occurs; the search stops at the first that does."""
+    test = F.contains(text, F.lit(phrases[0]))
+    for phrase in phrases[1:]:
+        test = test | F.contains(text, F.lit(phrase))
+    return test
 
 
-def _first(text: Column, pattern: str, group: int) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+def _which(text: Column, phrases: list[str]) -> Column:
+    """The first listed phrase that occurs, or null."""
+    return F.coalesce(*[F.when(F.contains(text, F.lit(phrase)), phrase) for phrase in phrases])
+
+
+def _any_word(words: Column, listed: list[str]) -> Column:
+    return _any(words, [f" {word} " for word in listed])
+
+
+def _as_words(text: Column) -> Column:
+    """Text in which every word has a blank on both sides."""
+    blank = F.lit(" ")
+    return F.concat(blank, F.translate(text, lex.MARKS, " " * len(lex.MARKS)), blank)
+
+
+def _matched(text: Column, anchors: list[str], pattern: str, group: int = 0) -> Column:
+    """A regex that only runs where one of its anchors occurs."""
+    found = F.when(_any(text, anchors), F.regexp_extract(text, pattern, group))
+    return F.nullif(found, F.lit(""))
+
+
+def _without(text: Column, anchors: list[str], pattern: str) -> Column:
+    return F.when(_any(text, anchors), F.regexp_replace(text, pattern, " ")).otherwise(text)
 
 
 def _number_word(word: Column) -> Column:
@@ -31,16 +56,22 @@ def _number_word(word: Column) -> Column:
 
 
 def _age(text: Column) -> Column:
-    digits = F.coalesce(_first(text, lex.AGE_DIGITS, 1), _first(text, lex.AGE_DIGITS, 2))
-    words = _number_word(_first(text, lex.AGE_WORDS, 1)) + F.coalesce(
-        _number_word(_first(text, lex.AGE_WORDS, 2)), F.lit(0)
+    in_words = _number_word(_matched(text, ["años"], lex.AGE_WORDS, 1)) + F.coalesce(
+        _number_word(_matched(text, ["años"], lex.AGE_WORDS, 2)), F.lit(0)
+    )
+    return F.coalesce(
+        _matched(text, lex.YEAR_ANCHORS, lex.AGE_IN_YEARS, 1).cast("int"),
+        F.nullif(F.regexp_extract(text, lex.AGE_TOLD, 1), F.lit("")).cast("int"),
+        in_words,
     )
-    return F.coalesce(digits.cast("int"), words)
 
 
 def _pain(text: Column) -> Column:
-    digits = F.coalesce(_first(text, lex.PAIN_OF_TEN, 1), _first(text, lex.PAIN_DIGITS, 1))
-    score = F.coalesce(digits.cast("int"), _number_word(_first(text, lex.PAIN_WORDS, 1)))
+    score = F.coalesce(
+        _matched(text, lex.TEN_ANCHORS, lex.PAIN_OF_TEN, 1).cast("int"),
+        _matched(text, lex.PAIN_ANCHORS, lex.PAIN_DIGITS, 1).cast("int"),
+        _number_word(F.nullif(F.regexp_extract(text, lex.PAIN_WORDS, 1), F.lit(""))),
+    )
     return F.when(score.between(0, 10), score)
 
 
@@ -50,7 +81,7 @@ def _level() -> Column:
     pain = F.col("dolor_intensidad")
     return (
         F.when(F.col("perdida_consciencia") | F.col("_vital"), 1)
-        .when(F.col("_chest") & (F.col("disnea") | F.col("irradiacion")), 2)
+        .when(F.col("_chest").isNotNull() & (F.col("disnea") | F.col("irradiacion")), 2)
         .when(F.col("_acute"), 2)
         .when((pain >= 7) | F.col("disnea") | F.col("_high_fever") | F.col("_trauma"), 3)
         .when(pain.between(1, 6) | F.col("fiebre") | F.col("_symptom"), 4)
@@ -76,49 +107,57 @@ def _urgency() -> Column:
 
 
 def rule_fields(df: DataFrame, text: str) -> DataFrame:
-    """Adds the reply fields, taken from the whole text by rules."""
-    raw = F.lower(F.col(text))
-    plain = F.regexp_replace(F.regexp_replace(F.col("_raw"), lex.RELATIVE, " "), lex.DENIED, " ")
-    said = F.col("_said")
-    staged = (
-        df.withColumn("_raw", raw)
+    """Adds the reply fields, taken from the whole text by rules.
+
+    ``_raw`` is the text in lower case, ``_said`` the same without denials and
+    relatives, ``_words`` that with blanks around words. Each finding is kept
+    as the phrase that gave it away, which later becomes the entity.
+    """
+    raw, said, words = F.col("_raw"), F.col("_said"), F.col("_words")
+    plain = F.regexp_replace(_without(raw, lex.RELATIVES, lex.RELATIVE), lex.DENIED, " ")
+    findings = {
+        "_dyspnea": F.coalesce(_which(raw, lex.DYSPNEA_IDIOMS), _which(said, lex.DYSPNEA_NOUNS)),
+        "_fever": F.coalesce(_which(said, lex.FEVER), _matched(said, lex.DEGREE_ANCHORS, lex.FEVER_DEGREES)),
+        "_unconscious": _which(said, lex.UNCONSCIOUS),
+        "_radiating": _which(said, lex.RADIATING),
+        "_cardiac": _which(said, lex.CARDIAC_HISTORY),
+        "_chest": F.coalesce(_which(said, lex.CHEST_PAIN), _matched(said, ["dolor"], lex.CHEST_PAIN_APART)),
+        "_tachycardia": _which(said, lex.TACHYCARDIA),
+    }
+    raw_words = F.col("_raw_words")
+    scalars = {
+        "edad": _age(_without(raw, lex.YEAR_ANCHORS, lex.NOT_AN_AGE)),
+        "sexo": F.when(_any_word(raw_words, lex.FEMALE_WORDS), "F").when(_any_word(raw_words, lex.MALE_WORDS), "M"),
+        "dolor_intensidad": _pain(raw),
+        "fumador": _any_word(words, lex.SMOKER_WORDS),
+        "_vital": _any(raw, lex.VITAL_THREAT),
+        "_acute": _any(said, lex.ACUTE)
+        | _matched(said, lex.SATURATION_ANCHORS, lex.LOW_SATURATION).isNotNull(),
+        "_high_fever": _matched(said, lex.DEGREE_ANCHORS, lex.HIGH_FEVER_DEGREES).isNotNull(),
+        "_trauma": _any_word(words, lex.TRAUMA_WORDS),
+        "_symptom": _any_word(words, lex.SYMPTOM_WORDS),
+        "score_ansiedad": F.when(_any(raw, lex.PANIC), 0.95).when(_any(raw, lex.ANXIOUS), 0.75)
+        .when(_any(raw, lex.WORRIED), 0.5).otherwise(0.2),
+    }
+    flags = {
+        "disnea": "_dyspnea", "fiebre": "_fever", "perdida_consciencia": "_unconscious",
+        "irradiacion": "_radiating", "antecedentes_cardiacos": "_cardiac",
+    }
+    leveled = (
+        df.withColumn("_raw", F.lower(F.col(text)))
         .withColumn("_said", plain)
-        .withColumns({
-            "edad": _age(F.regexp_replace(F.col("_raw"), lex.NOT_AN_AGE, " ")),
-            "sexo": F.when(_found(F.col("_raw"), lex.FEMALE), "F").when(_found(F.col("_raw"), lex.MALE), "M"),
-            "dolor_intensidad": _pain(F.col("_raw")),
-            "disnea": _found(F.col("_raw"), lex.DYSPNEA_IDIOM) | _found(said, lex.DYSPNEA_NOUN),
-            "fiebre": _found(said, lex.FEVER),
-            "perdida_consciencia": _found(said, lex.UNCONSCIOUS),
-            "irradiacion": _found(said, lex.RADIATING),
-            "antecedentes_cardiacos": _found(said, lex.CARDIAC_HISTORY),
-            "fumador": _found(said, lex.SMOKER),
-            "_chest": _found(said, lex.CHEST_PAIN),
-            "_tachycardia": _found(said, lex.TACHYCARDIA),
-            "_vital": _found(F.col("_raw"), lex.VITAL_THREAT),
-            "_acute": _found(said, "|".join([
-                lex.NEUROLOGIC, lex.SEPSIS, lex.BLEEDING, lex.LOW_SATURATION, lex.OPEN_FRACTURE,
-            ])),
-            "_high_fever": _found(said, lex.HIGH_FEVER),
-            "_trauma": _found(said, lex.TRAUMA),
-            "_symptom": _found(said, lex.ANY_SYMPTOM),
-            "score_ansiedad": F.when(_found(F.col("_raw"), lex.PANIC), 0.95)
-            .when(_found(F.col("_raw"), lex.ANXIOUS), 0.75)
-            .when(_found(F.col("_raw"), lex.WORRIED), 0.5)
-            .otherwise(0.2),
-        })
+        .withColumns({"_words": _as_words(said), "_raw_words": _as_words(raw)})
+        .withColumns({**findings, **scalars})
+        .withColumns({name: F.col(source).isNotNull() for name, source in flags.items()})
+        .withColumn("nivel_triaje", _level())
+        .withColumn("score_urgencia", _urgency())
     )
-    leveled = staged.withColumn("nivel_triaje", _level()).withColumn("score_urgencia", _urgency())
     terms = F.filter(
         F.array(*[
-            F.struct(
-                F.col(column).alias("hit"),
-                F.regexp_extract("_raw", pattern, 0).alias("raw"),
-                F.lit(norm).alias("norm"),
-            )
-            for column, pattern, norm in lex.ENTITY_TERMS
+            F.struct(F.col(column).alias("raw"), F.lit(norm).alias("norm"))
+            for column, norm in lex.ENTITY_TERMS.items()
         ]),
-        lambda term: term["hit"],
+        lambda term: term["raw"].isNotNull(),
     )
     found = F.array_join(F.col("entidades_normalizadas"), ", ")
     return (
@@ -133,8 +172,8 @@ def rule_fields(df: DataFrame, text: str) -> DataFrame:
             F.when(F.length(found) > 0, F.concat(F.lit(": "), found)).otherwise(": sin signos de alarma"),
         ))
         .withColumns({"urgencia_ausente": F.lit(False), "reply_error": F.lit(None).cast("string")})
-        .drop("_raw", "_said", "_terms", "_chest", "_tachycardia", "_vital", "_acute",
-              "_high_fever", "_trauma", "_symptom")
+        .drop("_raw", "_said", "_words", "_raw_words", "_terms", "_vital", "_acute", "_high_fever",
+              "_trauma", "_symptom", *findings)
     )
 
 
@@ -153,16 +192,6 @@ def rule_replies(df: DataFrame, text: str) -> DataFrame:
 Client = Callable[[list[str]], list[str]]
 
 
-def _one_by_one(client: Client, texts: list[str]) -> list[tuple[str | None, str | None]]:
-    outcome = []
-    for text in texts:
-        try:
-            outcome.append((client([text])[0], None))
-        except Exception as error:  # noqa: BLE001 - a failed row is data, not a failed job
-            outcome.append((None, f"{type(error).__name__}: {error}"))
-    return outcome
-
-
 def annotate(
     df: DataFrame, text: str, connect: Callable[[], Client], partitions: int | None = None
 ) -> DataFrame:
@@ -178,6 +207,17 @@ def annotate(
     if partitions:
         source = source.repartition(partitions)
 
+    # Both functions travel to the executors by value, so this package need not
+    # be installed there.
+    def one_by_one(client, texts):
+        outcome = []
+        for text in texts:
+            try:
+                outcome.append((client([text])[0], None))
+            except Exception as error:  # noqa: BLE001 - a failed row is data, not a failed job
+                outcome.append((None, f"{type(error).__name__}: {error}"))
+        return outcome
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = connect()
         for batch in batches:
@@ -188,7 +228,7 @@ def annotate(
                     raise ValueError("one reply per text expected")
                 outcome = [(reply, None) for reply in replies]
             except Exception:  # noqa: BLE001
-                outcome = _one_by_one(client, texts)
+                outcome = one_by_one(client, texts)
             yield pd.DataFrame({
                 "guid": batch["guid"],
                 "raw": pd.Series([raw for raw, _ in outcome], index=batch.index, dtype=object),

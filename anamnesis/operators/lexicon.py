@@ -1,75 +1,96 @@
-"""Patterns of the offline rule annotator, English and Spanish.
+"""Phrases and patterns of the offline rule annotator.
 
-All patterns run on lower-cased text and use only what Java regex and RE2 share
-(no look-around, no ASCII word edges next to accented letters).
+Everything is matched against lower-cased English or Spanish text. Phrases are
+plain substrings, which cost a fraction of a regex; words are phrases that must
+stand alone. The few patterns left use only what Java regex and RE2 share.
 """
 
 EDGE = r"(?:^|[^a-záéíóúüñ])"
-STOP = r"(?:$|[^a-záéíóúüñ])"
-
-
-def _word(body: str) -> str:
-    return f"{EDGE}(?:{body}){STOP}"
 
+# Marks that end a word; they become blanks where whole words are looked up.
+MARKS = "\n\t.,;:!?¡¿()[]\"'/-…"
 
 # Clauses that deny a finding, or that speak of a relative: dropped before the
 # findings are looked up.
 DENIED = EDGE + r"(?:no|not|sin|without|ningun[oa]?|ningún|nunca|never|denies|deny)[^a-záéíóúüñ.,;:!?][^.,;:!?\n]*|n't [^.,;:!?\n]*"
-RELATIVE = (
-    EDGE + r"(?:mi (?:madre|padre|hermano|hermana|abuelo|abuela|tío|tía)"
-    r"|my (?:mother|father|mom|dad|brother|sister|grandfather|grandmother|uncle|aunt))[^.;!?\n]*"
-)
+RELATIVES = [
+    "mi madre", "mi padre", "mi hermano", "mi hermana", "mi abuelo", "mi abuela", "mi tío", "mi tía",
+    "my mother", "my father", "my mom", "my dad", "my brother", "my sister", "my grandfather",
+    "my grandmother", "my uncle", "my aunt",
+]
+RELATIVE = EDGE + "(?:" + "|".join(RELATIVES) + r")[^.;!?\n]*"
 
-# Breathing trouble is often told with a "no", so it is looked up in the text
-# as it stands, the noun forms in the text without denials.
-DYSPNEA_IDIOM = (
-    r"cuesta respirar|no puedo respirar|no respiro bien|falta el aire|falta de aire|me ahogo|el ahogo"
-    r"|el aire no llega|can't breathe|cannot breathe|hard to breathe|trouble breathing|difficulty breathing"
-)
-DYSPNEA_NOUN = r"disnea|dyspn(?:o)?ea|short(?:ness)? of breath"
-FEVER = r"fiebre|febril|fever|(?:3[89]|4[01])(?:[.,][0-9])? ?(?:grados|degrees|º|°)"
-HIGH_FEVER = r"(?:39|4[01])(?:[.,][0-9])? ?(?:grados|degrees|º|°)"
-UNCONSCIOUS = (
-    r"pérdida de con(?:s)?ciencia|perdí el (?:conocimiento|sentido)|perdí la con(?:s)?ciencia|me desmayé"
-    r"|passed out|lost consciousness|loss of consciousness|blacked out|unconscious|i fainted"
-)
-RADIATING = (
-    r"hasta el brazo|al brazo|brazo izquierdo|mandíbula|se irradia|down my (?:left )?arm|to my (?:left )?arm"
-    r"|to my jaw|radiat(?:es|ing)|spread(?:s|ing) to"
-)
-CARDIAC_HISTORY = (
-    r"infarto|angina|enfermedad del corazón|marcapasos|arritmia|insuficiencia cardíaca"
-    r"|heart attack|heart disease|heart failure|pacemaker|arrhythmia|cardiac history"
-)
-SMOKER = _word(r"fumo|fumé|fumaba|fumador|fumadora|smoke|smoker|smoking|smoked|cigarrillos|cigarettes|packs? a day|pack per day")
-CHEST_PAIN = r"dolor[^.,;!?\n]{0,30}(?:pecho|torácico)|chest pain|chest pressure|chest tightness|pain in my chest"
-TACHYCARDIA = r"corazón (?:acelerado|disparado)|palpitaciones|palpitations|heart (?:is )?racing"
+# Breathing trouble is often told with a "no", so the idioms are looked up in
+# the text as it stands, the nouns in the text without denials.
+DYSPNEA_IDIOMS = [
+    "cuesta respirar", "no puedo respirar", "no respiro bien", "falta el aire", "falta de aire", "me ahogo",
+    "el ahogo", "el aire no llega", "can't breathe", "cannot breathe", "hard to breathe", "trouble breathing",
+    "difficulty breathing",
+]
+DYSPNEA_NOUNS = ["disnea", "dyspnea", "dyspnoea", "shortness of breath", "short of breath"]
+FEVER = ["fiebre", "febril", "fever"]
+FEVER_DEGREES = r"(?:3[89]|4[01])(?:[.,][0-9])? ?(?:grados|degrees|º|°)"
+HIGH_FEVER_DEGREES = r"(?:39|4[01])(?:[.,][0-9])? ?(?:grados|degrees|º|°)"
+DEGREE_ANCHORS = ["grados", "degrees", "º", "°"]
+UNCONSCIOUS = [
+    "pérdida de consciencia", "pérdida de conciencia", "perdí el conocimiento", "perdí el sentido",
+    "perdí la consciencia", "perdí la conciencia", "me desmayé", "passed out", "lost consciousness",
+    "loss of consciousness", "blacked out", "unconscious", "i fainted",
+]
+RADIATING = [
+    "hasta el brazo", "al brazo", "brazo izquierdo", "mandíbula", "se irradia", "down my arm", "down my left arm",
+    "to my arm", "to my left arm", "to my jaw", "radiates", "radiating", "spreads to", "spreading to",
+]
+CARDIAC_HISTORY = [
+    "infarto", "angina", "enfermedad del corazón", "marcapasos", "arritmia", "insuficiencia cardíaca",
+    "heart attack", "heart disease", "heart failure", "pacemaker", "arrhythmia", "cardiac history",
+]
+SMOKER_WORDS = [
+    "fumo", "fumé", "fumaba", "fumador", "fumadora", "smoke", "smoker", "smoking", "smoked", "cigarrillos",
+    "cigarettes", "pack a day", "packs a day", "pack per day",
+]
+CHEST_PAIN = ["chest pain", "chest pressure", "chest tightness", "pain in my chest", "dolor torácico"]
+CHEST_PAIN_APART = r"dolor[^.,;!?\n]{0,30}(?:pecho|torácico)"
+TACHYCARDIA = [
+    "corazón acelerado", "corazón disparado", "palpitaciones", "palpitations", "heart racing", "heart is racing",
+]
 
-VITAL_THREAT = r"parada card|parada respiratoria|cardiac arrest|not breathing|no respira(?:$|[^a-záéíóúüñ])|unresponsive"
-NEUROLOGIC = r"ictus|stroke|slurred speech|facial droop|no puedo mover (?:el|la) (?:brazo|pierna|cara)|can't move my (?:arm|leg|face)"
-SEPSIS = r"sepsis|séptic|septic"
-BLEEDING = r"hemorragia|sangrado activo|vomitando sangre|heavy bleeding|bleeding heavily|vomiting blood|coughing up blood"
+VITAL_THREAT = [
+    "parada cardíaca", "parada cardiaca", "parada cardiorrespiratoria", "parada respiratoria", "cardiac arrest",
+    "not breathing", "unresponsive",
+]
+ACUTE = [
+    "ictus", "stroke", "slurred speech", "facial droop", "no puedo mover el brazo", "no puedo mover la pierna",
+    "no puedo mover la cara", "can't move my arm", "can't move my leg", "can't move my face",
+    "sepsis", "séptic", "septic", "hemorragia", "sangrado activo", "vomitando sangre", "heavy bleeding",
+    "bleeding heavily", "vomiting blood", "coughing up blood", "fractura abierta", "open fracture",
+]
 LOW_SATURATION = r"satura(?:ción|tion)[^0-9\n]{0,20}[0-8][0-9](?:$|[^0-9])"
-OPEN_FRACTURE = r"fractura abierta|open fracture"
-TRAUMA = _word(r"accidente|accident|traumatismo|trauma|me caí|i fell|car crash")
-ANY_SYMPTOM = _word(
-    r"dolor|duele|molestia|tos|mareo|vómitos|diarrea|inflamad[oa]|hinchad[oa]"
-    r"|pain|hurts|ache|aching|sore|cough|dizzy|vomiting|diarrhea|swollen|rash"
-)
+SATURATION_ANCHORS = ["saturación", "saturation"]
+TRAUMA_WORDS = ["accidente", "accident", "traumatismo", "trauma", "me caí", "i fell", "car crash"]
+SYMPTOM_WORDS = [
+    "dolor", "duele", "molestia", "tos", "mareo", "vómitos", "diarrea", "inflamado", "inflamada", "hinchado",
+    "hinchada", "pain", "hurts", "ache", "aching", "sore", "cough", "dizzy", "vomiting", "diarrhea", "swollen", "rash",
+]
 
-PANIC = r"me muero|me voy a morir|me estoy muriendo|no puedo más|i'm dying|i am dying|going to die|panic attack|pánico"
-ANXIOUS = r"ansiedad|angustia|angustiosa|tengo mucho miedo|anxiety|anxious|terrified|so scared"
-WORRIED = r"preocupa|me asusta|nervios|worried|nervous|scared|muy mal"
+PANIC = [
+    "me muero", "me voy a morir", "me estoy muriendo", "no puedo más", "i'm dying", "i am dying", "going to die",
+    "panic attack", "pánico",
+]
+ANXIOUS = ["ansiedad", "angustia", "tengo mucho miedo", "anxiety", "anxious", "terrified", "so scared"]
+WORRIED = ["preocupa", "me asusta", "nervios", "worried", "nervous", "scared", "muy mal"]
 
-FEMALE = _word(r"female|woman|mujer")
-MALE = _word(r"male|man|hombre|varón")
+FEMALE_WORDS = ["female", "woman", "mujer"]
+MALE_WORDS = ["male", "man", "hombre", "varón"]
 
 # A number of years that is not an age.
-NOT_AN_AGE = r"(?:desde hace|hace|durante|for the last|for the past|for|last|past) (?:como |casi |unos |about |almost )?[0-9a-záéíóúñ]+(?: y [a-záéíóúñ]+)? (?:años|years)"
-AGE_DIGITS = (
-    r"([0-9]{1,3})[ -]?(?:years?[ -]old|años)"
-    + "|" + EDGE + r"(?:i'm|i am|aged|age is|age) ([0-9]{1,3})(?:$|[^0-9%/])"
+NOT_AN_AGE = (
+    r"(?:desde hace|hace|durante|for the last|for the past|for|last|past) "
+    r"(?:como |casi |unos |about |almost )?[0-9a-záéíóúñ]+(?: y [a-záéíóúñ]+)? (?:años|years)"
 )
+YEAR_ANCHORS = ["años", "year"]
+AGE_IN_YEARS = r"([0-9]{1,3})[ -]?(?:years?[ -]old|años)"
+AGE_TOLD = EDGE + r"(?:i'm|i am|aged|age is|age) ([0-9]{1,3})(?:$|[^0-9%/])"
 NUMBER_WORDS = {
     "uno": 1, "un": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7,
     "ocho": 8, "nueve": 9, "diez": 10, "once": 11, "doce": 12, "trece": 13, "catorce": 14,
@@ -86,17 +107,22 @@ _UNITS = "uno|un|dos|tres|cuatro|cinco|seis|siete|ocho|nueve"
 _LOW = "diez|once|doce|trece|catorce|quince|dieci[a-zé]+|veint[a-zéóú]+"
 AGE_WORDS = EDGE + f"({_TENS}|{_LOW})(?: y ({_UNITS}))? años"
 
+TEN_ANCHORS = ["10", "ten", "diez"]
 PAIN_OF_TEN = r"([0-9]{1,2})(?: ?/ ?| out of | sobre )(?:10|ten|diez)(?:$|[^0-9])"
+PAIN_ANCHORS = ["en un", "es un", "pain is", "pain of", "dolor de"]
 PAIN_DIGITS = r"(?:en un|es un|pain is (?:a|an|about)?|pain of|dolor de) ?([0-9]{1,2})(?:$|[^0-9%/])"
-PAIN_WORDS = EDGE + r"(?:un|sobre un|maybe a|about a|an|a) (dos|tres|cuatro|cinco|seis|siete|ocho|nueve|diez|two|three|four|five|six|seven|eight|nine|ten)" + r"(?:$|[,.!?]| quizás| out of)"
+PAIN_WORDS = (
+    EDGE + r"(?:un|sobre un|maybe a|about a|an|a) (dos|tres|cuatro|cinco|seis|siete|ocho|nueve|diez"
+    r"|two|three|four|five|six|seven|eight|nine|ten)(?:$|[,.!?]| quizás| out of)"
+)
 
-# Raw finding -> (column that holds it, normalised term).
-ENTITY_TERMS = [
-    ("_chest", CHEST_PAIN, "dolor torácico"),
-    ("disnea", DYSPNEA_IDIOM + "|" + DYSPNEA_NOUN, "disnea"),
-    ("fiebre", FEVER, "fiebre"),
-    ("perdida_consciencia", UNCONSCIOUS, "pérdida de consciencia"),
-    ("irradiacion", RADIATING, "dolor irradiado"),
-    ("antecedentes_cardiacos", CARDIAC_HISTORY, "antecedente cardíaco"),
-    ("_tachycardia", TACHYCARDIA, "taquicardia"),
-]
+# Where a finding is kept -> its normalised term, in the order of listing.
+ENTITY_TERMS = {
+    "_chest": "dolor torácico",
+    "_dyspnea": "disnea",
+    "_fever": "fiebre",
+    "_unconscious": "pérdida de consciencia",
+    "_radiating": "dolor irradiado",
+    "_cardiac": "antecedente cardíaco",
+    "_tachycardia": "taquicardia",
+}

@@ -60,7 +60,7 @@ def stratified_folds(
     )
 
 
-def test_quotas(class_sizes: DataFrame, label: str, fraction: float = TEST_FRACTION) -> DataFrame:
+def held_out_quotas(class_sizes: DataFrame, label: str, fraction: float = TEST_FRACTION) -> DataFrame:
     """Held-out rows per class: whole shares first, left-over rows to the
     classes with the largest remainders. One row per class in and out."""
     everything = Window.partitionBy()
@@ -81,7 +81,7 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``. The quota table has one row per class, hence the hint."""
     sizes = df.groupBy(label).agg(F.count("*").alias("class_size"))
-    quotas = test_quotas(sizes, label, fraction)
+    quotas = held_out_quotas(sizes, label, fraction)
     placed = class_positions(df, label, key, seed)
     return (
         placed.join(F.broadcast(quotas), label)

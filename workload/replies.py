@@ -153,22 +153,21 @@ def m4_rule_extraction(t):
     )
 
 
-def _echo_client():
-    """Stands in for a model: replies with the number of words it was given."""
-    def client(texts):
-        if any("Mi madre" not in text and "infarto" in text for text in texts):
-            raise ValueError("refused")
-        return [f'{{"nivel_triaje": {len(text.split()) % 5 + 1}, "entidades": []}}' for text in texts]
-    return client
-
-
 @query("m2_injected_annotator", """
 WITH told AS (SELECT guid, antecedentes_cardiacos AS refused FROM results)
 SELECT guid, refused, CASE WHEN refused THEN 'ValueError: refused' ELSE 'ok' END AS outcome FROM told""")
 def m2_injected_annotator(t):
     """An injected client that fails on some rows; failures are data."""
+    def connect():
+        """Stands in for a model: replies by the number of words it was given."""
+        def client(texts):
+            if any("Mi madre" not in text and "infarto" in text for text in texts):
+                raise ValueError("refused")
+            return [f'{{"nivel_triaje": {len(text.split()) % 5 + 1}, "entidades": []}}' for text in texts]
+        return client
+
     texts = preprocess(t.planted).select("guid", "texto_anotable")
-    raw = an.annotate(texts, "texto_anotable", _echo_client, partitions=8)
+    raw = an.annotate(texts, "texto_anotable", connect, partitions=8)
     return raw.select(
         "guid", F.col("raw").isNull().alias("refused"),
         F.coalesce("annotate_error", F.lit("ok")).alias("outcome"),
