@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.texts import decode, file_name
 
 
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def parquet_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """Stream of a Parquet folder, or of one Parquet file in a folder."""
     schema = spark.read.parquet(path).schema
@@ -19,9 +22,8 @@ def parquet_stream(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def text_file_stream(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """Arriving text files: name, whole text and the file's time."""
-    files = (
-        spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    )
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    files = reader.option("pathGlobFilter", pattern).load(folder)
     return files.select(
         file_name(files["path"]).alias("nombre_fichero"),
         decode(files["content"]).alias("texto"), files["modificationTime"].alias("ts"),
