@@ -18,10 +18,15 @@ def shuffle_key(key: Column, seed: int = SEED) -> Column:
 
 
 def class_positions(
-    df: DataFrame, label: str, key: str, seed: int = SEED, digits: int = BUCKET_DIGITS
+    df: DataFrame, label: str, key: str, seed: int = SEED, digits: int = BUCKET_DIGITS,
+    per_class: DataFrame | None = None,
 ) -> DataFrame:
     """Adds 0-based ``position`` (all rows, class by class), ``class_position``,
-    ``class_size`` and ``n_rows``. ``key`` must be unique."""
+    ``class_size`` and ``n_rows``. ``key`` must be unique.
+
+    Columns of ``per_class`` ride along on the bucket counts, so that they need
+    no join of their own on the class, where one key may hold most rows.
+    """
     keyed = df.withColumn("_mix", shuffle_key(F.col(key), seed)).withColumn(
         "_bucket", F.substring("_mix", 1, digits)
     )
@@ -38,6 +43,8 @@ def class_positions(
             F.sum("_n").over(everything).alias("n_rows"),
         )
     )
+    if per_class is not None:
+        offsets = offsets.join(per_class, label)
     in_bucket = Window.partitionBy(label, "_bucket").orderBy("_mix", key)
     ranked = keyed.withColumn("_rn", F.row_number().over(in_bucket))
     position = F.col("_before") + F.col("_rn") - 1
@@ -79,12 +86,11 @@ def held_out_quotas(class_sizes: DataFrame, label: str, fraction: float = TEST_F
 def stratified_split(
     df: DataFrame, label: str, key: str, fraction: float = TEST_FRACTION, seed: int = SEED
 ) -> DataFrame:
-    """Adds ``is_test``. The quota table has one row per class, hence the hint."""
+    """Adds ``is_test``."""
     sizes = df.groupBy(label).agg(F.count("*").alias("class_size"))
     quotas = held_out_quotas(sizes, label, fraction)
-    placed = class_positions(df, label, key, seed)
     return (
-        placed.join(F.broadcast(quotas), label)
+        class_positions(df, label, key, seed, per_class=quotas)
         .withColumn("is_test", F.col("class_position") < F.col("quota"))
         .drop("position", "class_position", "class_size", "n_rows", "quota")
     )

@@ -101,7 +101,8 @@ def evaluation_document(
     prediction, ``folds`` the macro F1 per fold."""
     matrix = ev.confusion_matrix(predicted)
     scores = ev.class_scores(matrix)
-    cv = ev.cross_validation_summary(folds)
+    summary = ev.cross_validation_summary(folds)
+    cv = summary.select(F.struct(*summary.columns)).scalar()
 
     def per_class(level):
         mine = F.col("clase") == level
@@ -136,8 +137,8 @@ def evaluation_document(
     ).alias("v"))
     return importances.select(
         F.lit(model).alias("modelo"), F.lit(dataset).alias("dataset"),
-        F.round(cv.select("cv_f1_macro").scalar(), 4).alias("cv_f1_macro"),
-        F.round(cv.select("cv_f1_std").scalar(), 4).alias("cv_f1_std"),
+        F.round(cv["cv_f1_macro"], 4).alias("cv_f1_macro"),
+        F.round(cv["cv_f1_std"], 4).alias("cv_f1_std"),
         report.select("v").scalar().alias("classification_report"),
         rows.select("v").scalar().alias("confusion_matrix"),
         ev.under_triage_count(predicted).select("under_triage_count").scalar().alias("under_triage_count"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from anamnesis.operators import evaluation as ev, metrics as mt
 from anamnesis.operators.evaluation import is_audit_case, is_critical_under_triage
 from anamnesis.plans.learn import evaluation_document
+from anamnesis.session import materialize
 
 from .registry import query
 
@@ -86,14 +87,15 @@ def a4_batch_throughput(t):
 
 
 def document(t):
-    """The metrics document with an evaluation over the given predictions."""
+    """The metrics document with an evaluation over the given predictions. As
+    in the job, the case view and the evaluation are written once, then read."""
     rows = t.predictions.where("prediccion_modelo IS NOT NULL")
     folds = ev.fold_scores(rows.withColumn("fold", (F.col("doc_id") % 5).cast("int")))
     importances = t.results.agg(F.map_from_arrays(
         F.array(F.lit("edad"), F.lit("score_urgencia")), F.array(F.avg("edad"), F.avg("score_urgencia"))
     ).alias("feature_importances"))
     evaluation = evaluation_document(rows, folds, importances, "modelo_1", "dataset_1")
-    return mt.metrics_document(t.cases, evaluation)
+    return mt.metrics_document(materialize(t.cases, "cases"), materialize(evaluation, "evaluation"))
 
 
 @query("a6_metrics_document", f"""WITH {_THROUGHPUT}, lat AS ({_SUMMARY}), tr AS ({_TRAINING})

@@ -3,9 +3,8 @@ rows here and by bounds in the tests."""
 
 from pyspark.sql import functions as F
 
-from anamnesis.functions.replies import parse_replies
 from anamnesis.operators import evaluation as ev, models as md
-from anamnesis.operators.annotate import rule_replies
+from anamnesis.operators.annotate import rule_fields
 from anamnesis.operators.features import training_rows_from_raw
 from anamnesis.plans import learn
 from anamnesis.plans.enrich import preprocess
@@ -154,10 +153,9 @@ def m13_evaluation_document(t):
 def m14_score_texts(t):
     """Whole texts to response rows: preprocess, annotate, predict, rate."""
     _, forest = trained(t)
-    prepared = preprocess(t.planted).select("guid", "texto_anotable")
-    enriched = parse_replies(rule_replies(prepared, "texto_anotable"))
-    names = t.planted.select("guid", F.col("nombre_fichero").alias("filename"))
-    responses = response_rows(score_enriched(enriched.join(names, "guid"), forest))
+    named = t.planted.withColumnRenamed("nombre_fichero", "filename")
+    prepared = preprocess(named).select("guid", "filename", "texto_anotable")
+    responses = response_rows(score_enriched(rule_fields(prepared, "texto_anotable"), forest))
     return responses.withColumn("entidades_normalizadas", F.array_join("entidades_normalizadas", ","))
 
 
