@@ -12,17 +12,25 @@ from ..sources.store import Store
 from ..sources.texts import read_transcripts, scan_corpus, write_transcripts
 
 
-def ingest(store: Store, folder: str, base_url: str = "store", bucket: str = "textos-originales") -> DataFrame:
+def ingest(
+    store: Store, folder: str, base_url: str = "store", bucket: str = "textos-originales",
+    modified_after: str | None = None,
+) -> DataFrame:
     """Files whose name is not known yet become cases. Returns the batch report.
 
+    Names are compared on the listing alone; contents are read for the second
+    scan. ``modified_after`` keeps files of earlier runs out of both.
+
     The case log is written last: a job that dies before that leaves no case,
     and the next run repeats the files under the same ids.
     """
     at = datetime.now(timezone.utc)
-    names = scan_corpus(store.spark, folder).select("nombre_fichero")
+    names = scan_corpus(store.spark, folder, modified_after=modified_after).select("nombre_fichero")
     known = store.cases(["nombre_fichero"])
     fresh_names = materialize(insert_if_absent(names, known, "nombre_fichero"), "ingest-names")
-    corpus = scan_corpus(store.spark, folder).join(fresh_names, "nombre_fichero", "left_semi")
+    corpus = scan_corpus(store.spark, folder, modified_after=modified_after).join(
+        fresh_names, "nombre_fichero", "left_semi"
+    )
     texts = read_transcripts(corpus).withColumn(
         "guid", stable_guid(F.col("nombre_fichero"), F.col("texto"))
     )

@@ -16,12 +16,19 @@ def file_name(path: Column) -> Column:
     return F.url_decode(F.element_at(F.split(path, "/"), -1))
 
 
-def scan_corpus(spark: SparkSession, folder: str, pattern: str = "*.txt", recursive: bool = False) -> DataFrame:
-    """Name and bytes of every matching file; an empty folder is an error."""
-    files = (
+def scan_corpus(
+    spark: SparkSession, folder: str, pattern: str = "*.txt", recursive: bool = False,
+    modified_after: str | None = None,
+) -> DataFrame:
+    """Name and bytes of every matching file; an empty folder is an error.
+    ``modified_after`` (YYYY-MM-DDTHH:mm:ss) drops older files while listing."""
+    reader = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower()).load(folder)
+        .option("recursiveFileLookup", str(recursive).lower())
     )
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    files = reader.load(folder)
     corpus = files.select(file_name(F.col("path")).alias("nombre_fichero"), "path", "content")
     if corpus.select("nombre_fichero").isEmpty():
         raise FileNotFoundError(f"no {pattern} in {folder}")

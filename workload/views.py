@@ -33,7 +33,7 @@ _SPECIALTY = """CASE doc_id % 8 WHEN 0 THEN 'CAR' WHEN 1 THEN 'der ' WHEN 2 THEN
     WHEN 3 THEN 'GEN' WHEN 4 THEN 'MSK' WHEN 5 THEN 'RES' WHEN 6 THEN 'XYZ' END"""
 
 _FILE_NAME = """concat(CASE doc_id % 8 WHEN 0 THEN 'CAR' WHEN 1 THEN 'der' WHEN 2 THEN 'GAS'
-    WHEN 3 THEN '1GEN' WHEN 4 THEN 'MSK' WHEN 5 THEN 'r_es' WHEN 6 THEN 'caso_leve_' ELSE '99' END,
+    WHEN 3 THEN '1GEN' WHEN 4 THEN 'MSK' WHEN 5 THEN 'r_es' WHEN 6 THEN 'caso_suave_' ELSE '99' END,
     CAST(doc_id AS {text}), '.txt')"""
 
 _RESULTS = f"""
