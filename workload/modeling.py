@@ -172,7 +172,8 @@ def m14_annotated_side(t):
     )
 
 
-@query("s14_model_round_trip")
+@query("s14_model_round_trip", """SELECT guid, 'modelo_20240101_000000' AS model, true AS same_level, true AS same_confidence
+  FROM results WHERE score_urgencia IS NOT NULL""")
 def s14_model_round_trip(t):
     """The newest saved model predicts what the fitted one does."""
     from datetime import datetime, timezone
@@ -181,6 +182,8 @@ def s14_model_round_trip(t):
     for year in (2023, 2024):
         write_model(t.spark, forest, folder, datetime(year, 1, 1, tzinfo=timezone.utc))
     name, loaded = latest_model(t.spark, folder)
-    before = md.predict(forest, parts).select("guid", F.col("confianza").alias("before"))
+    before = md.predict(forest, parts).select(
+        "guid", F.col("confianza").alias("confidence"), F.col("prediccion_modelo").alias("level"))
     return md.predict(loaded, parts).join(before, "guid").select(
-        "guid", F.lit(name).alias("model"), "prediccion_modelo", (F.col("confianza") == F.col("before")).alias("same"))
+        "guid", F.lit(name).alias("model"), (F.col("prediccion_modelo") == F.col("level")).alias("same_level"),
+        (F.col("confianza") == F.col("confidence")).alias("same_confidence"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from anamnesis.functions import text as tx
 from anamnesis.plans.enrich import preprocess
+from anamnesis.session import materialize
 
 from .registry import query
 
@@ -145,10 +146,16 @@ def p1_case_id(t):
     return t.transcripts.select("doc_id", tx.stable_guid(F.col("nombre_fichero"), F.col("texto")).alias("guid"))
 
 
-@query("p1_random_case_id")
+@query("p1_random_case_id", "SELECT count(*) AS n_cases, count(*) AS n_ids, count(*) AS n_well_formed FROM documents")
 def p1_random_case_id(t):
-    """Random ids, as on-demand cases get them; differs from run to run."""
-    return t.documents.select("doc_id", F.uuid().alias("guid"))
+    """Random ids, as on-demand cases get them: all new, all of version 4. Ids
+    differ from run to run, so they are written before they are counted."""
+    made = materialize(t.documents.select("doc_id", F.uuid().alias("guid")), "ids")
+    pattern = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return made.agg(
+        F.count("*").alias("n_cases"), F.countDistinct("guid").alias("n_ids"),
+        F.count_if(F.col("guid").rlike(pattern)).alias("n_well_formed"),
+    )
 
 
 @query("p2_specialty_at_ingest", """SELECT doc_id, substr(upper(regexp_replace(regexp_replace(nombre_fichero, '\\.txt$', ''),
