@@ -129,7 +129,7 @@ def host_sql(limits: Limits = Limits()) -> str:
     WITH cut AS (
       SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
              regexp_extract_all(coalesce(text, ''), '{word}') AS words,
-             list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
       FROM documents),
     windows AS (
       SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w

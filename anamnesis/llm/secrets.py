@@ -73,17 +73,26 @@ def _passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _spans(number: int, kind: str) -> Column:
+    def span(match: Column, i: Column) -> Column:
+        start, at = F.get(f"c_{kind}", i), F.get(f"b_{kind}", i)
+        return F.struct(
+            start.alias("start"), F.lit(number).alias("kind"), (start + F.length(match)).alias("stop"),
+            at.alias("at"), (at + F.octet_length(match)).alias("upto"), _passes(kind, match).alias("passes"))
+
+    return F.filter(F.transform(f"m_{kind}", span), lambda p: p.passes)
+
+
+def _count(kind: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+
 def _parts(df: DataFrame) -> DataFrame:
     """Replaces the matches by ``parts``: (start, kind, stop) in code points, (at, upto) in bytes."""
-    columns = []
-    for number, kind in enumerate(KINDS):
+    for kind in KINDS:
         df = _starts(df, kind, F.length, f"c_{kind}")
         df = _starts(df, kind, F.octet_length, f"b_{kind}")
-        columns.append(F.filter(F.transform(f"m_{kind}", lambda m, i, kind=kind, number=number: F.struct(
-            F.get(f"c_{kind}", i).alias("start"), F.lit(number).alias("kind"),
-            (F.get(f"c_{kind}", i) + F.length(m)).alias("stop"),
-            F.get(f"b_{kind}", i).alias("at"), (F.get(f"b_{kind}", i) + F.octet_length(m)).alias("upto"),
-            _passes(kind, m).alias("passes"))), lambda p: p.passes))
+    columns = [_spans(number, kind) for number, kind in enumerate(KINDS)]
     return df.select("doc_id", "text_hash", "text_length", F.concat(*columns).alias("parts"))
 
 
@@ -131,7 +140,7 @@ def report(docs: DataFrame, reach: int = 400) -> DataFrame:
     """Per row of ``docs``: doc_id, the numbers of strong spans, the hash of their list, and all spans."""
     found = scan(docs, reach)
     strong = F.filter("spans", lambda s: s.kind < STRONG)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS[:STRONG])]
+    counts = [_count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:STRONG])]
     rows = found.select(
         "doc_id", *counts, F.sha2(listed(strong).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
         F.sequence(F.lit(1).cast("long"), "copies").alias("copies"))
