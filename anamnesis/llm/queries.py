@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, quality, secrets, simhash, warc
+from . import bpe, chat, licenses, mixing, quality, secrets, simhash, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_chunked_warc", warc.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op7_chat_perspectives", chat.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query("op9_max_score_top_k", topk.sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
