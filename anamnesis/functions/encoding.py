@@ -18,7 +18,8 @@ def encode_specialty(value: Column) -> Column:
 
 
 def encode_flag(value: Column) -> Column:
-    return F.coalesce(value.cast("boolean"), F.lit(False)).cast("int")
+    """A word that is no truth value counts as false."""
+    return F.coalesce(value.try_cast("boolean"), F.lit(False)).cast("int")
 
 
 def encode_sex(value: Column) -> Column:
@@ -28,19 +29,19 @@ def encode_sex(value: Column) -> Column:
 
 def keep_sex_code(value: Column) -> Column:
     """Numbers that are already encoded."""
-    code = value.cast("int")
+    code = value.try_cast("int")
     return F.when(code.isin(1, 0), code).otherwise(UNKNOWN)
 
 
 def encode_optional_int(value: Column) -> Column:
-    """Truncates toward zero; null and NaN mean unknown."""
-    number = value.cast("double")
-    whole = F.when(~F.isnan(number), number).cast("int")
+    """Truncates toward zero; null, NaN, words and what no int holds mean unknown."""
+    number = value.try_cast("double")
+    whole = F.when(~F.isnan(number), number).try_cast("int")
     return F.coalesce(whole, F.lit(UNKNOWN))
 
 
 def encode_anxiety(value: Column) -> Column:
-    number = value.cast("double")
+    number = value.try_cast("double")
     return F.coalesce(F.when(~F.isnan(number), number), F.lit(0.0))
 
 

@@ -76,23 +76,24 @@ def parse_replies(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds the typed reply fields and ``reply_error`` (null when usable).
 
     ``urgencia_ausente`` tells a missing urgency from an explicit null. Numbers
-    are read as double, then cut to whole ones, so "67" and 67.5 both count.
+    are read as double, then cut to whole ones, so "67" and 67.5 both count; a
+    number that no int holds is null, as a missing one.
 
     Both steps are one-row generators: a later filter on a field is not pushed
     below them, where it would parse every reply a second time.
     """
     fields = {
         "reply_error": _reply_error(),
-        "nivel_triaje": _number("nivel_triaje").cast("int"),
+        "nivel_triaje": _number("nivel_triaje").try_cast("int"),
         "score_urgencia": _number("score_urgencia"),
         "urgencia_ausente": _field("score_urgencia", "variant").isNull(),
         "score_ansiedad": _number("score_ansiedad"),
         "motivo_consulta": _field("motivo_consulta", "string"),
         "entidades": _list("entidades"),
         "entidades_normalizadas": _list("entidades_normalizadas"),
-        "edad": _number("edad").cast("int"),
+        "edad": _number("edad").try_cast("int"),
         "sexo": _field("sexo", "string"),
-        "dolor_intensidad": _number("dolor_intensidad").cast("int"),
+        "dolor_intensidad": _number("dolor_intensidad").try_cast("int"),
         **{name: _flag(name) for name in FLAGS},
         "justificacion": _field("justificacion", "string"),
     }

@@ -48,6 +48,16 @@ def e4_encode_optional_int(t):
     )
 
 
+@query("e4_odd_values", """SELECT guid, CASE doc_id % 4 WHEN 3 THEN CAST(doc_id % 90 AS INT) ELSE -1 END AS whole,
+  CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END AS flag FROM transcripts""")
+def e4_odd_values(t):
+    """Words, and numbers that no int holds, are unknown; other words are no truth values."""
+    kind, odd = F.col("doc_id") % 4, F.col("doc_id") % 3
+    number = F.when(kind == 0, "99999999999").when(kind == 1, "many").when(kind == 2, "NaN").otherwise((F.col("doc_id") % 90).cast("string"))
+    word = F.when(odd == 0, "si").when(odd == 1, "true")
+    return t.transcripts.select("guid", en.encode_optional_int(number).alias("whole"), en.encode_flag(word).alias("flag"))
+
+
 @query("e5_dataset_encoding", f"""WITH enc AS ({ENCODED})
 SELECT {', '.join(n if n != 'score_urgencia' else 'coalesce(score_urgencia, -9.0) AS score_urgencia' for n in OUTPUT)} FROM enc""")
 def e5_dataset_encoding(t):
