@@ -5,12 +5,12 @@ column expressions, so it runs at scan speed inside the JVM. ``annotate`` calls
 an injected client (for instance a model server) from the executors.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import strip
+from ..functions.text import chat_messages, request_envelope, strip
 from ..schemas import FLAGS, REPLY_FIELDS
 from . import lexicon as lex
 
@@ -107,7 +107,8 @@ def _urgency() -> Column:
 
 
 def rule_fields(df: DataFrame, text: str) -> DataFrame:
-    """Adds the reply fields, taken from the whole text by rules.
+    """Adds the reply fields, taken from the whole text by rules; a null text
+    has neither level nor urgency.
 
     ``_raw`` is the text in lower case, ``_said`` the same without denials and
     relatives, ``_words`` that with blanks around words. Each finding is kept
@@ -149,8 +150,8 @@ def rule_fields(df: DataFrame, text: str) -> DataFrame:
         .withColumns({"_words": _as_words(said), "_raw_words": _as_words(raw)})
         .withColumns({**findings, **scalars})
         .withColumns({name: F.col(source).isNotNull() for name, source in flags.items()})
-        .withColumn("nivel_triaje", _level())
-        .withColumn("score_urgencia", _urgency())
+        .withColumn("nivel_triaje", F.when(raw.isNotNull(), _level()))
+        .withColumn("score_urgencia", F.when(raw.isNotNull(), _urgency()))
     )
     terms = F.filter(
         F.array(*[
@@ -193,19 +194,27 @@ Client = Callable[[list[str]], list[str]]
 
 
 def annotate(
-    df: DataFrame, text: str, connect: Callable[[], Client], partitions: int | None = None
+    df: DataFrame, text: str, connect: Callable[[], Client], partitions: int | None = None,
+    template: str | None = None, examples: Sequence[tuple[str, str]] = (), model: str = "",
 ) -> DataFrame:
     """Raw replies of an injected client.
 
     ``connect`` runs once per partition and returns a function from texts to
     replies. A failed batch is repeated row by row; a row that still fails
     comes back with its error, so one bad text never stops the job. Calls cost
-    far more than moving texts, hence the even ``partitions``. Write the result
-    out before using it twice: calls are costly and may differ.
+    far more than moving texts, so rows are dealt evenly into ``partitions``, by
+    default as many as the session runs at once. Write the result out before
+    using it twice: calls are costly and may differ.
+
+    With a ``template`` the client gets whole requests instead of bare texts:
+    JSON with the model's name, the worked ``examples`` as earlier turns, and the
+    text in the template's place.
     """
-    source = df.select("guid", F.col(text).alias("text"))
-    if partitions:
-        source = source.repartition(partitions)
+    request = F.col(text)
+    if template is not None:
+        request = request_envelope(model, chat_messages(template, examples, request))
+    source = df.select("guid", request.alias("text"))
+    source = source.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
     # Both functions travel to the executors by value, so this package need not
     # be installed there.

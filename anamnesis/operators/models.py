@@ -1,6 +1,5 @@
 """Class-weighted forest and logistic baseline with pyspark.ml."""
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -11,16 +10,19 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
-from ..session import shared_folder
+from ..session import materialize, shared_folder
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
 
 LABEL = "label"
 WEIGHT = "weight"
-# A tree is grown on the driver, so its size must not grow with the data. Up to
-# this many rows trees are as deep as the data asks; beyond, a leaf holds
-# enough rows to keep a tree within this many leaves.
-MAX_LEAVES = 20_000
+# Constants of a fit; none follows the number of rows or of cores. Trees live on
+# the driver: the rows bound them, as no tree has more leaves than rows.
+MAX_DEPTH = 30
+MIN_ROWS_PER_LEAF = 1
+MAX_FIT_ROWS = 200_000
+FIT_PARTITIONS = 8
+FITS_AT_ONCE = 2
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -40,13 +42,14 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
 
 
-def forest(n_train: int, trees: int = TREES, seed: int = SEED) -> Pipeline:
-    """Trees as deep as Spark allows; node ids are cached because deep trees
-    otherwise ship the growing forest to every task at every level."""
+def forest(trees: int = TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
+           min_rows_per_leaf: int = MIN_ROWS_PER_LEAF) -> Pipeline:
+    """Node ids are cached because deep trees otherwise ship the growing forest
+    to every task at every level."""
     return Pipeline(stages=[_assembler(), RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
-        numTrees=trees, maxDepth=30, maxBins=128, featureSubsetStrategy="sqrt",
-        minInstancesPerNode=max(1, math.ceil(n_train / MAX_LEAVES)),
+        numTrees=trees, maxDepth=max_depth, maxBins=128, featureSubsetStrategy="sqrt",
+        minInstancesPerNode=min_rows_per_leaf,
         seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024,
     )])
 
@@ -74,17 +77,26 @@ def split(rows: DataFrame, key: str = "guid") -> DataFrame:
     return stratified_split(labelled(rows), TARGET, key)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Small tables come in few files: give every core a share. Large ones keep
-    their splits."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int = MAX_FIT_ROWS,
+             fit_partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The rows a forest is fitted on, dealt alike on every cluster.
+
+    Bagging is seeded per partition, so rows are dealt by key into a fixed number
+    of partitions and sorted there. ``max_fit_rows`` bounds the sample: beyond,
+    the rows whose hash lies in that share of all hashes, alike for every level.
+    """
+    total, chosen = train.count(), train
+    if total > max_fit_rows:
+        place = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+        chosen = train.where(place < max_fit_rows / total)
+    return chosen.repartition(fit_partitions, key).sortWithinPartitions(key, *FEATURES)
 
 
-def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED) -> PipelineModel:
+def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str = "guid",
+               max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """Node ids are checkpointed to the shared folder, every ten levels."""
     shared_folder(train.sparkSession)
-    return forest(train.count(), trees, seed).fit(_spread(train))
+    return forest(trees, seed).fit(fit_rows(train, key, max_fit_rows, fit_partitions))
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:
@@ -97,21 +109,18 @@ def fold_predictions(rows: DataFrame, key: str = "guid", folds: int = FOLDS,
                      trees: int = TREES, seed: int = SEED) -> DataFrame:
     """Out-of-fold predictions of all rows.
 
-    Fits run side by side from driver threads; each is an ordinary Spark job
-    over the cached table. Weights come from all rows, as for the final model.
+    Rows are placed once and written; a few fits run side by side from driver
+    threads, each an ordinary Spark job over that table. Weights come from all
+    rows, as for the final model.
     """
-    placed = stratified_folds(labelled(rows), TARGET, key, folds, seed).persist()
-    try:
-        placed.count()
-
-        @inheritable_thread_target(placed.sparkSession)
-        def fit(number: int) -> PipelineModel:
-            return fit_forest(placed.where(F.col("fold") != number), trees, seed)
-
-        with ThreadPoolExecutor(folds) as pool:
-            models = list(pool.map(fit, range(folds)))
-    finally:
-        placed.unpersist()
+    placed = materialize(stratified_folds(labelled(rows), TARGET, key, folds, seed), "folds")
+
+    @inheritable_thread_target(placed.sparkSession)
+    def fit(number: int) -> PipelineModel:
+        return fit_forest(placed.where(F.col("fold") != number), trees, seed, key)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        models = list(pool.map(fit, range(folds)))
     parts = [predict(model, placed.where(F.col("fold") == number)) for number, model in enumerate(models)]
     whole = parts[0]
     for part in parts[1:]:
