@@ -4,6 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.encoding import seconds_between
+from ..functions.text import strip
 from ..operators.annotate import rule_fields
 from ..plans.enrich import preprocess
 from ..plans.score import response_rows, score_enriched
@@ -12,9 +13,20 @@ ARRIVAL_SALTS = 32
 
 
 def score_stream(texts: DataFrame, model: PipelineModel) -> DataFrame:
-    """Arriving (guid, filename, texto) rows to response rows; no state."""
-    prepared = preprocess(texts).select("guid", "filename", "texto_anotable")
-    return response_rows(score_enriched(rule_fields(prepared, "texto_anotable"), model))
+    """Arriving (guid, filename, texto) rows to response rows; no state.
+
+    A missing or blank text is refused: ``entrada_error`` tells which, and all
+    else of its row is null. It is null for texts that were scored.
+    """
+    error = F.when(F.col("texto").isNull(), "missing").when(F.length(strip(F.col("texto"))) == 0, "blank")
+    checked = texts.withColumn("entrada_error", error)
+    prepared = preprocess(checked).select("guid", "filename", "texto_anotable", "entrada_error")
+    scored = score_enriched(rule_fields(prepared, "texto_anotable"), model)
+    rows = response_rows(scored, "entrada_error")
+    return rows.select("guid", "entrada_error", *[
+        F.when(F.col("entrada_error").isNull(), F.col(name)).alias(name)
+        for name in rows.columns if name not in ("guid", "entrada_error")
+    ])
 
 
 def running_state_counts(log: DataFrame) -> DataFrame:
@@ -52,15 +64,18 @@ def first_arrivals(files: DataFrame, late: str = "1 day", salts: int = ARRIVAL_S
 
 def paired_latencies(log: DataFrame, started: str, ended: str, late: str = "1 day",
                      within: str = "1 day") -> DataFrame:
-    """Seconds from a case's first start to its last end, per case and day.
+    """Seconds from a case's first start to its last end, per case and session.
 
-    Start and end are paired by aggregation, not by a stream-stream join: a
-    case with many starts and ends would otherwise emit every pair of them.
+    A session ends when a case is quiet for ``within``; it may run over
+    midnight. Start and end are paired by aggregation, not by a stream-stream
+    join: a case with many starts and ends would otherwise emit every pair of
+    them. Sessions are put out when the watermark has passed their end, so
+    this stream appends.
     """
     is_start, is_end = F.col("estado") == started, F.col("estado") == ended
     return (
         log.where(is_start | is_end).withWatermark("ts", late)
-        .groupBy("guid", F.window("ts", within).alias("w"))
+        .groupBy("guid", F.session_window("ts", within).alias("w"))
         .agg(F.min(F.when(is_start, F.col("ts"))).alias("started_at"),
              F.max(F.when(is_end, F.col("ts"))).alias("ended_at"))
         .where(F.col("ended_at") >= F.col("started_at"))

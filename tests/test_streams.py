@@ -49,9 +49,23 @@ def test_windows(spark, tmp_path):
 
 
 def test_pairs(spark, tmp_path):
-    got, want = run(spark, tmp_path, lambda df: jobs.paired_latencies(df, "ENRICHED", "COMPLETADA"), ["guid"])
-    same(got, want)
-    assert {r["guid"]: r["seconds"] for r in got.collect()} == {"a": 9000.0, "b": 14400.0}
+    """Over batches and midnight; a case that is quiet for a day starts anew."""
+    folder = str(tmp_path / "log")
+    batches = [
+        [("a", "ENRICHED", "2024-01-01 23:55:00"), ("b", "ENRICHED", "2024-01-01 02:00:00")],
+        [("a", "COMPLETADA", "2024-01-02 00:05:00"), ("b", "COMPLETADA", "2024-01-01 06:00:00"), ("c", "COMPLETADA", "2024-01-02 05:00:00")],
+        [("a", "COMPLETADA", "2024-01-02 00:10:00"), ("a", "ENRICHED", "2024-01-05 00:00:00"), ("a", "COMPLETADA", "2024-01-05 00:00:07")],
+        [("", "ENRICHED", "2024-06-01 00:00:00")],
+    ]
+    for batch in batches:
+        rows = spark.createDataFrame(batch, "guid string, estado string, t string")
+        rows.select("guid", "estado", F.col("t").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(folder)
+    stream = inputs.parquet_stream(spark, folder, maxFilesPerTrigger=1)
+    out = str(tmp_path / "pairs")
+    sinks.append_to(jobs.paired_latencies(stream, "ENRICHED", "COMPLETADA", late="2 days"), out, out + "-checkpoint").awaitTermination()
+    got = spark.read.parquet(out)
+    assert sorted((r["guid"], r["seconds"]) for r in got.collect()) == [("a", 7.0), ("a", 900.0), ("b", 14400.0)]
+    same(got, jobs.paired_latencies(spark.read.parquet(folder), "ENRICHED", "COMPLETADA"))
 
 
 def test_first_arrivals_over_batches(spark, tmp_path):

@@ -21,17 +21,22 @@ def upserted(t, df, keys):
     return sinks.read_upserts(t.spark, path, keys)
 
 
-@query("r1_score_stream", f"""SELECT guid, {_LEVEL} AS nivel_triaje_llm, true AS in_scale FROM results""")
+@query("r1_score_stream", f"""SELECT guid, CASE doc_id % 41 WHEN 0 THEN 'blank' WHEN 1 THEN 'missing' ELSE 'ok' END AS outcome,
+  CASE WHEN doc_id % 41 > 1 THEN {_LEVEL} ELSE -9 END AS level, doc_id % 41 > 1 AS in_scale FROM interviews""")
 def r1_score_stream(t):
-    """Arriving texts, scored with the newest forest."""
+    """All texts arriving, some of them blank or missing, scored with the newest forest."""
     _, forest = trained(t)
     arrived = scratch_path(t.spark, "arrived")
-    t.planted.select("guid", F.col("nombre_fichero").alias("filename"), "texto").write.parquet(arrived)
+    odd = F.col("doc_id") % 41
+    text = F.when(odd == 0, " \n").when(odd > 1, F.col("texto"))
+    t.planted.select("guid", F.col("nombre_fichero").alias("filename"), text.alias("texto")).write.parquet(arrived)
     scored = jobs.score_stream(inputs.parquet_stream(t.spark, arrived), forest)
     path = scratch_path(t.spark, "stream")
     sinks.append_to(scored, path, f"{path}-checkpoint").awaitTermination()
     return t.spark.read.parquet(path).select(
-        "guid", "nivel_triaje_llm", F.col("nivel_triaje_predicho").between(1, 5).alias("in_scale"))
+        "guid", F.coalesce("entrada_error", F.lit("ok")).alias("outcome"),
+        F.coalesce("nivel_triaje_llm", F.lit(-9)).alias("level"),
+        F.coalesce(F.col("nivel_triaje_predicho").between(1, 5), F.lit(False)).alias("in_scale"))
 
 
 @query("r2_running_state_counts", "SELECT estado, count(*) AS n FROM state_log GROUP BY estado")
@@ -71,10 +76,27 @@ def r4_first_arrivals(t):
     return t.spark.read.parquet(path).select("nombre_fichero")
 
 
-@query("r5_paired_latencies", """WITH c AS (SELECT guid, min(ts) FILTER (WHERE event_type = 'view') AS a,
-  max(ts) FILTER (WHERE event_type = 'purchase') AS b FROM state_log GROUP BY guid)
+@query("r5_paired_latencies", """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS guid, event_type, ts FROM state_log
+  WHERE event_type IN ('view', 'purchase')),
+f AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY guid ORDER BY ts) < INTERVAL 1 DAY THEN 0 ELSE 1 END AS fresh FROM e),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY guid ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM f),
+c AS (SELECT guid, n, min(ts) FILTER (WHERE event_type = 'view') AS a, max(ts) FILTER (WHERE event_type = 'purchase') AS b
+  FROM s GROUP BY guid, n)
 SELECT guid, epoch_us(a) AS started_us, epoch_us(b) AS ended_us, (epoch_us(b) - epoch_us(a)) / 1000000 AS seconds FROM c WHERE b >= a""")
 def r5_paired_latencies(t):
-    rows = upserted(t, jobs.paired_latencies(log_stream(t), "ENRICHED", "COMPLETADA"), ["guid"])
-    return rows.select("guid", F.unix_micros("started_at").alias("started_us"),
-                       F.unix_micros("ended_at").alias("ended_us"), "seconds")
+    """Cases run over days and midnights; their events come in several batches.
+
+    A last event far behind all others lets the watermark pass every session.
+    """
+    folder = scratch_path(t.spark, "log")
+    log = t.state_log.withColumn("guid", F.col("user_id").cast("string"))
+    log.repartition(4, "seq").write.parquet(folder)
+    closing = log.agg(F.max("ts").alias("ts")).select(
+        F.lit("").alias("guid"), F.lit("ENRICHED").alias("estado"), F.expr("ts + INTERVAL 400 DAYS").alias("ts"))
+    t.spark.createDataFrame([], log.schema).unionByName(closing, allowMissingColumns=True).write.mode("append").parquet(folder)
+    stream = inputs.parquet_stream(t.spark, folder, maxFilesPerTrigger=1)
+    path = scratch_path(t.spark, "stream")
+    pairs = jobs.paired_latencies(stream, "ENRICHED", "COMPLETADA", late="180 days")
+    sinks.append_to(pairs, path, f"{path}-checkpoint").awaitTermination()
+    return t.spark.read.parquet(path).select(
+        "guid", F.unix_micros("started_at").alias("started_us"), F.unix_micros("ended_at").alias("ended_us"), "seconds")
