@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.replies import entity_rows, parse_replies
 from ..functions.text import clean_text, patient_text, text_to_annotate
 from ..operators.annotate import Client, annotate, rule_replies
-from ..operators.metrics import batch_report
+from ..operators.metrics import batch_report, fail_on_errors
 from ..operators.state import by_file_name, missing_cases, pending, transition
 from ..schemas import (
     ENRICHED, ENRICHING, ERROR_ENRICHMENT, PREPROCESSED, PREPROCESSING, REPLY_FIELDS,
@@ -28,18 +28,21 @@ def preprocess(texts: DataFrame, text: str = "texto") -> DataFrame:
 
 
 def enrich_texts(
-    texts: DataFrame, connect: Callable[[], Client] | None = None, partitions: int | None = None
+    texts: DataFrame, connect: Callable[[], Client] | None = None, partitions: int | None = None, **request
 ) -> DataFrame:
     """guid and text in; guid, reply fields and an error column out, written
-    once. The rule annotator runs when no client is given."""
-    prepared = preprocess(texts.where(F.col("texto").isNotNull())).select("guid", "texto_anotable")
+    once. The rule annotator runs when no client is given. ``request`` is the
+    ``template``, ``examples`` and ``model`` of what a client is sent."""
+    # Texts are often the end of a join: written once, read by both branches.
+    prepared = materialize(preprocess(texts).select("guid", "texto_anotable"), "prepared")
+    present = prepared.where("texto_anotable IS NOT NULL")
     if connect is None:
-        raw = rule_replies(prepared, "texto_anotable")
+        raw = rule_replies(present, "texto_anotable")
     else:
-        raw = annotate(prepared, "texto_anotable", connect, partitions)
+        raw = annotate(present, "texto_anotable", connect, partitions, **request)
     parsed = parse_replies(materialize(raw, "replies"))
     error = F.coalesce("annotate_error", "reply_error")
-    missing = texts.where(F.col("texto").isNull()).select("guid")
+    missing = prepared.where("texto_anotable IS NULL").select("guid")
     return parsed.withColumn("error", error).unionByName(
         missing.withColumn("error", F.lit("text_not_found")), allowMissingColumns=True
     ).select("guid", "error", "urgencia_ausente", *REPLY_FIELDS)
@@ -67,29 +70,36 @@ def store_enriched(store: Store, enriched: DataFrame, started: datetime) -> None
 
 def enrich_pending(
     store: Store, connect: Callable[[], Client] | None = None, limit: int = 0,
-    partitions: int | None = None,
+    partitions: int | None = None, strict: bool = False, **request,
 ) -> DataFrame:
     """Enriches new and failed cases; failed ones stay pending for the next
-    run. ``limit`` is the size of a batch, 0 for all. Returns the report."""
+    run. ``limit`` is the size of a batch, 0 for all. Returns the report.
+
+    Whatever succeeded is stored first; with ``strict`` the job then fails if
+    any case did.
+    """
     started = datetime.now(timezone.utc)
     waiting = by_file_name(pending(store.cases(["nombre_fichero", "especialidad"])).where(
         "nombre_fichero IS NOT NULL"
     ), limit)
     texts = texts_of(materialize(waiting, "pending"), store.read("transcripts"))
-    enriched = materialize(enrich_texts(texts, connect, partitions), "enriched")
+    enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
     store_enriched(store, enriched, started)
-    return batch_report(enriched.select(
+    report = batch_report(enriched.select(
         F.when(F.col("error").isNull(), "ok").otherwise("error").alias("outcome")
     ))
+    if strict:
+        fail_on_errors(report, "cases could not be enriched")
+    return report
 
 
 def enrich_given(
     store: Store, texts: DataFrame, connect: Callable[[], Client] | None = None,
-    partitions: int | None = None,
+    partitions: int | None = None, **request,
 ) -> DataFrame:
     """Enriches given (guid, texto) rows; unknown ids become cases first."""
     started = datetime.now(timezone.utc)
     store.append("case_log", missing_cases(texts, store.cases([]), started))
-    enriched = materialize(enrich_texts(texts, connect, partitions), "enriched")
+    enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
     store_enriched(store, enriched, started)
     return enriched

@@ -21,8 +21,9 @@ def ingest(
     Names are compared on the listing alone; contents are read for the second
     scan. ``modified_after`` keeps files of earlier runs out of both.
 
-    The case log is written last: a job that dies before that leaves no case,
-    and the next run repeats the files under the same ids.
+    The case log is written last: a job that dies before that leaves no case.
+    The next run finds the same ids, as they follow from name and content, and
+    adds only the texts that are not stored yet.
     """
     at = datetime.now(timezone.utc)
     names = scan_corpus(store.spark, folder, modified_after=modified_after).select("nombre_fichero")
@@ -36,7 +37,8 @@ def ingest(
     )
     key = object_key(F.col("especialidad"), F.col("nombre_fichero"))
     written = materialize(texts, "ingest")
-    write_transcripts(written, store.path("transcripts"))
+    stored = store.read("transcripts").select("guid")
+    write_transcripts(written.join(stored, "guid", "left_anti"), store.path("transcripts"))
     rows = written.withColumn("url", object_url(base_url, bucket, key))
     store.append("case_log", new_batch_cases(rows, at))
     outcomes = names.join(fresh_names.withColumn("_new", F.lit(True)), "nombre_fichero", "left").select(

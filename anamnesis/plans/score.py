@@ -16,7 +16,7 @@ from ..schemas import COMPLETED, FEATURES
 from ..session import materialize
 from ..sources.artifacts import latest_model
 from ..sources.store import Store
-from ..sources.texts import archive_on_demand, on_demand_input, write_transcripts
+from ..sources.texts import archive_on_demand, on_demand_input, with_stored_texts, write_transcripts
 from .enrich import enrich_texts, store_enriched
 
 RESPONSE = [
@@ -44,9 +44,9 @@ def score_enriched(enriched: DataFrame, model: PipelineModel, filename: str = "f
             *[name for name in FEATURES if not name.startswith("score_")])
 
 
-def response_rows(scored: DataFrame) -> DataFrame:
+def response_rows(scored: DataFrame, *kept: str) -> DataFrame:
     return scored.select(
-        "guid",
+        "guid", *kept,
         F.col("prediccion_modelo").alias("nivel_triaje_predicho"),
         F.concat(F.lit("C"), F.col("prediccion_modelo").cast("string")).alias("nivel_manchester"),
         "nivel_triaje_llm", "score_urgencia", "score_ansiedad",
@@ -60,11 +60,14 @@ def score(
     store: Store, requests: DataFrame, connect: Callable[[], Client] | None = None,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Scores requests (filename, contenido, texto). Returns response rows and
-    refused requests. Without a model nothing is written."""
+    """Scores requests (filename, contenido, texto, maybe especialidad). A request
+    that names a stored file and brings no bytes is scored by the stored text.
+    Returns response rows and refused requests. Without a model nothing is
+    written."""
     model_name, model = latest_model(store.spark, store.models)
     started = datetime.now(timezone.utc)
-    checked = materialize(on_demand_input(requests).withColumn("guid", F.uuid()), "requests")
+    asked = with_stored_texts(requests, store.read("transcripts"))
+    checked = materialize(on_demand_input(asked).withColumn("guid", F.uuid()), "requests")
     accepted = checked.where("entrada_error IS NULL").drop("entrada_error")
     write_transcripts(archive_on_demand(accepted), store.path("transcripts"))
     store.append("case_log", new_on_demand_cases(accepted, started))

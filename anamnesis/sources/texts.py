@@ -9,6 +9,8 @@ from ..functions.text import (
 # Byte order marks that announce UTF-16.
 UTF16_MARKS = ["FFFE", "FEFF"]
 ON_DEMAND_FOLDER = "fase2"
+# The folder of texts whose name has no letters, hence no specialty.
+NO_SPECIALTY_FOLDER = "sin_especialidad"
 TRANSCRIPTS = "especialidad string, nombre_fichero string, guid string, texto string"
 
 
@@ -72,11 +74,16 @@ def read_transcripts(corpus: DataFrame) -> DataFrame:
     )
 
 
+def text_folder(specialty: Column) -> Column:
+    """Where texts of a specialty are stored; an empty one has a folder too."""
+    return F.when(specialty == "", NO_SPECIALTY_FOLDER).otherwise(specialty)
+
+
 def write_transcripts(transcripts: DataFrame, path: str) -> None:
     """Append, one folder per specialty, so a keyed read prunes folders."""
-    transcripts.select("especialidad", "nombre_fichero", "guid", "texto").write.partitionBy(
-        "especialidad"
-    ).mode("append").parquet(path)
+    transcripts.select(
+        text_folder(F.col("especialidad")).alias("especialidad"), "nombre_fichero", "guid", "texto",
+    ).write.partitionBy("especialidad").mode("append").parquet(path)
 
 
 def stored_transcripts(spark: SparkSession, path: str) -> DataFrame:
@@ -93,23 +100,25 @@ def archive_on_demand(texts: DataFrame) -> DataFrame:
 
 
 def texts_of(cases: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Texts of cases by (specialty, file name). A case without a name is left
-    out; one whose text is missing keeps a null text, to be reported."""
-    named = cases.where(F.col("nombre_fichero").isNotNull())
-    stored = transcripts.select("especialidad", "nombre_fichero", "texto")
-    return named.select("guid", "especialidad", "nombre_fichero").join(
-        stored, ["especialidad", "nombre_fichero"], "left"
-    )
+    """Texts of cases by (specialty, file name), one row per case. A case without
+    a name is left out; one whose text is missing keeps a null text, to be
+    reported."""
+    named = cases.where(F.col("nombre_fichero").isNotNull()).select("guid", "especialidad", "nombre_fichero")
+    stored = transcripts.select(
+        text_folder(F.col("especialidad")).alias("_folder"), "nombre_fichero", "texto")
+    found = named.withColumn("_folder", text_folder(F.col("especialidad"))).join(
+        stored, ["_folder", "nombre_fichero"], "left").drop("_folder")
+    return found.dropDuplicates(["guid"])
 
 
 def requested_texts(requests: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Scoring requests (filename, especialidad, texto) with their text: from
     the store when a file is named, else as given."""
-    keyed = requests.withColumn(
-        "_folder", F.when(F.length("filename") > 0, specialty_in_job(F.col("especialidad"), F.col("filename")))
+    keyed = requests.withColumn("filename", strip(F.col("filename"))).withColumn(
+        "_folder", F.when(F.length("filename") > 0, text_folder(specialty_in_job(F.col("especialidad"), F.col("filename"))))
     )
     stored = transcripts.select(
-        F.col("especialidad").alias("_folder"), F.col("nombre_fichero").alias("filename"),
+        text_folder(F.col("especialidad")).alias("_folder"), F.col("nombre_fichero").alias("filename"),
         F.col("texto").alias("_stored"),
     )
     chosen = F.when(F.length("filename") > 0, F.col("_stored")).otherwise(F.col("texto"))
@@ -118,17 +127,31 @@ def requested_texts(requests: DataFrame, transcripts: DataFrame) -> DataFrame:
     }).drop("_folder", "_stored")
 
 
+def with_stored_texts(requests: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Requests (filename, contenido, texto, maybe especialidad) that name a file
+    and bring no bytes get the stored text of that file; ``almacenado`` marks
+    them. A name that is not stored leaves no text."""
+    if "especialidad" not in requests.columns:
+        requests = requests.withColumn("especialidad", F.lit(None).cast("string"))
+    asked = F.coalesce(F.col("contenido").isNull() & (F.length(strip(F.col("filename"))) > 0), F.lit(False))
+    looked_up = requested_texts(
+        requests.withColumn("almacenado", asked).withColumn("_name", F.col("filename"))
+        .withColumn("filename", F.when(asked, F.col("filename"))), transcripts)
+    return looked_up.withColumn("filename", F.coalesce("filename", "_name")).drop("_name", "objeto", "especialidad")
+
+
 def on_demand_input(requests: DataFrame) -> DataFrame:
     """Requests hold file bytes or a text. Adds the text, the file name and
     ``entrada_error`` (null when usable). The file wins over the text."""
     from_file = F.col("contenido").isNotNull()
+    named = from_file | F.col("almacenado") if "almacenado" in requests.columns else from_file
     text = F.when(from_file, decode_lossy(F.col("contenido"))).when(F.length("texto") > 0, F.col("texto"))
     return (
         requests.withColumn("_text", text)
-        .withColumn("filename", F.when(from_file, F.coalesce("filename", F.lit(""))).otherwise(""))
+        .withColumn("filename", F.when(named, F.coalesce("filename", F.lit(""))).otherwise(""))
         .withColumn("entrada_error", F.when(F.col("_text").isNull(), "missing")
                     .when(F.length(strip(F.col("_text"))) == 0, "blank"))
-        .withColumn("texto", F.col("_text")).drop("_text", "contenido")
+        .withColumn("texto", F.col("_text")).drop("_text", "contenido", "almacenado")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from anamnesis.operators.state import current_entities, duplicate_keys
 from anamnesis.plans import enrich, ingest, learn, report, score
 from anamnesis.schemas import FEATURES, LEVELS
-from anamnesis.sources import artifacts
+from anamnesis.sources import artifacts, texts
 from anamnesis.sources.store import Store
 
 TEXTS = {
@@ -114,6 +114,56 @@ def test_batch_then_on_demand(spark, store):
     assert duplicate_keys(report.results(store)).count() == 0
 
 
+def test_ingest_is_repeatable(spark, tmp_path, monkeypatch):
+    """A run that dies between texts and cases, and a name without letters."""
+    (tmp_path / "in").mkdir()
+    for name in ("99.txt", "CAR1.txt"):
+        (tmp_path / "in" / name).write_text("P: me ahogo")
+    made = Store(spark, str(tmp_path / "t")).prepare()
+    append = Store.append
+
+    def broken(self, name, rows):
+        raise OSError("down")
+
+    monkeypatch.setattr(Store, "append", broken)
+    with pytest.raises(OSError):
+        ingest.ingest(made, str(tmp_path / "in"))
+    monkeypatch.setattr(Store, "append", append)
+    assert made.read("transcripts").count() == 2 and made.read("case_log").count() == 0
+    ingest.ingest(made, str(tmp_path / "in"))
+    assert made.read("transcripts").count() == 2
+    done = enrich.enrich_pending(made, strict=True)
+    assert {r["outcome"]: r["n"] for r in done.collect()} == {"ok": 2}
+    assert current_entities(made.read("entities"), made.read("annotations")).count() == 2
+
+
+def test_strict_enrichment_fails_after_storing(spark, tmp_path):
+    def connect():
+        def client(texts):
+            raise OSError("down")
+        return client
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "CAR1.txt").write_text("P: me ahogo")
+    made = Store(spark, str(tmp_path / "t")).prepare()
+    ingest.ingest(made, str(tmp_path / "in"))
+    with pytest.raises(RuntimeError, match="1 cases could not be enriched"):
+        enrich.enrich_pending(made, connect, strict=True)
+    assert states(made) == {"ERROR_ENRICHMENT": 1}
+
+
+def test_requests_by_stored_name(spark):
+    stored = spark.createDataFrame([("CAR", "CAR1.txt", "g", "stored")], "especialidad string, nombre_fichero string, guid string, texto string")
+    asked = spark.createDataFrame([
+        (" CAR1.txt ", None, None, None), ("CAR1.txt", bytearray(b"bytes"), None, None), ("CAR2.txt", None, None, None),
+        (" ", None, "text", None), (None, None, "text", "CAR"),
+    ], "filename string, contenido binary, texto string, especialidad string")
+    got = texts.on_demand_input(texts.with_stored_texts(asked, stored)).collect()
+    assert sorted((r["filename"], r["texto"], r["entrada_error"]) for r in got if r["texto"]) == [
+        ("", "text", None), ("", "text", None), ("CAR1.txt", "bytes", None), ("CAR1.txt", "stored", None)]
+    assert [r["entrada_error"] for r in got if r["texto"] is None] == ["missing"]
+
+
 def test_enriching_a_given_text_makes_a_case(spark, store):
     texts = spark.createDataFrame([("case-x", "P: me ahogo")], "guid string, texto string")
     enrich.enrich_given(store, texts)

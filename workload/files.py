@@ -98,6 +98,14 @@ def s5_text_by_key(t):
     return found.select("guid", F.md5("texto").alias("digest"))
 
 
+@query("s5_text_of_every_name", """SELECT guid, md5(texto) AS digest FROM transcripts""")
+def s5_text_of_every_name(t):
+    """Cases as ingest makes them, names without letters among them, all find their text."""
+    stored, _ = store_transcripts(t)
+    cases = t.transcripts.withColumn("especialidad", fx.specialty_at_ingest(F.col("nombre_fichero")))
+    return tx.texts_of(cases, stored).select("guid", F.md5("texto").alias("digest"))
+
+
 @query("s6_lossy_decode", "SELECT doc_id, md5(CASE doc_id % 2 WHEN 0 THEN text || chr(65533) || 'x' ELSE text END) AS digest FROM documents")
 def s6_lossy_decode(t):
     bad = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF78")))

@@ -160,7 +160,7 @@ def m14_score_texts(t):
 
 
 @query("m14_annotated_side", f"""
-WITH told AS (SELECT *, {_LEVEL} AS nivel FROM results)
+WITH told AS (SELECT *, {_LEVEL} AS nivel FROM interviews)
 SELECT guid, nivel AS nivel_triaje_llm, 0.2::DOUBLE AS score_ansiedad, true AS rating_in_range,
   true AS code_matches FROM told""")
 def m14_annotated_side(t):

@@ -128,8 +128,23 @@ _LEVEL = """CASE WHEN perdida_consciencia THEN 1 WHEN irradiacion THEN 2
   WHEN dolor_intensidad IS NOT NULL OR fiebre THEN 4 ELSE 5 END"""
 
 
+@query("j2_numbers_out_of_range", """
+SELECT guid, CASE doc_id % 4 WHEN 3 THEN CAST(doc_id % 90 AS INT) ELSE -9 END AS age, 3 AS level,
+  CASE doc_id % 4 WHEN 2 THEN 7 ELSE -9 END AS pain, 'ok' AS outcome FROM doc_cases JOIN transcripts USING (guid)""")
+def j2_numbers_out_of_range(t):
+    """A number that no int holds is a missing one; its row and the others stay."""
+    kind = F.col("doc_id") % 4
+    age = F.when(kind == 0, "99999999999").when(kind == 1, "-1e300").when(kind == 2, '"old"').otherwise((F.col("doc_id") % 90).cast("string"))
+    pain = F.when(kind == 2, "7.9").otherwise("3000000000")
+    raw = F.concat(F.lit('{"edad": '), age, F.lit(', "nivel_triaje": 3, "dolor_intensidad": '), pain, F.lit("}"))
+    parsed = rp.parse_replies(t.transcripts.select("guid", raw.alias("raw")))
+    return parsed.select(
+        "guid", F.coalesce("edad", F.lit(-9)).alias("age"), F.col("nivel_triaje").alias("level"),
+        F.coalesce("dolor_intensidad", F.lit(-9)).alias("pain"), F.coalesce("reply_error", F.lit("ok")).alias("outcome"))
+
+
 @query("m3_rule_level", f"""
-WITH told AS (SELECT *, {_LEVEL} AS nivel FROM results)
+WITH told AS (SELECT *, {_LEVEL} AS nivel FROM interviews)
 SELECT guid, nivel AS nivel_triaje, least(100.0, CASE nivel WHEN 1 THEN 95.0 WHEN 2 THEN 80.0 WHEN 3 THEN 50.0 WHEN 4 THEN 25.0 ELSE 5.0 END
   + coalesce(dolor_intensidad, 0) * CAST(0.5 AS DOUBLE) + 2.0 * (CAST(coalesce(disnea, false) AS INT) + CAST(fiebre AS INT)
   + CAST(perdida_consciencia AS INT) + CAST(irradiacion AS INT) + CAST(antecedentes_cardiacos AS INT) + CAST(fumador AS INT))) AS score_urgencia
@@ -143,7 +158,7 @@ def m3_rule_level(t):
 @query("m4_rule_extraction", """
 SELECT guid, coalesce(edad, -9) AS edad, CASE WHEN sexo IN ('M', 'F') THEN sexo ELSE '?' END AS sexo,
   coalesce(dolor_intensidad, -9) AS dolor_intensidad, coalesce(disnea, false) AS disnea, fiebre,
-  perdida_consciencia, irradiacion, antecedentes_cardiacos, fumador FROM results""")
+  perdida_consciencia, irradiacion, antecedentes_cardiacos, fumador FROM interviews""")
 def m4_rule_extraction(t):
     """Age, sex, pain and signs, denials and relatives included."""
     texts = preprocess(t.planted).select("guid", "texto_anotable")
@@ -154,7 +169,7 @@ def m4_rule_extraction(t):
 
 
 @query("m2_injected_annotator", """
-WITH told AS (SELECT guid, antecedentes_cardiacos AS refused FROM results)
+WITH told AS (SELECT guid, antecedentes_cardiacos AS refused FROM interviews)
 SELECT guid, refused, CASE WHEN refused THEN 'ValueError: refused' ELSE 'ok' END AS outcome FROM told""")
 def m2_injected_annotator(t):
     """An injected client that fails on some rows; failures are data."""
@@ -176,7 +191,7 @@ def m2_injected_annotator(t):
 
 @query("m1_enrich", f"""SELECT guid, coalesce(antecedentes_cardiacos, false) AS cardiac, {_LEVEL} AS nivel_triaje,
   CAST(irradiacion AS INT) * 2 + CAST(coalesce(disnea, false) AS INT) + CAST(fiebre AS INT)
-  + CAST(perdida_consciencia AS INT) + CAST(antecedentes_cardiacos AS INT) AS n_entities FROM results""")
+  + CAST(perdida_consciencia AS INT) + CAST(antecedentes_cardiacos AS INT) AS n_entities FROM interviews""")
 def m1_enrich(t):
     """Texts to parsed findings, through the reply format, written once."""
     done = enrich_texts(t.planted.select("guid", "texto"))

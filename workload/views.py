@@ -55,6 +55,11 @@ SELECT concat('doc-', CAST(d.doc_id AS {{text}})) AS guid, d.doc_id, d.lang, d.s
     WHEN d.n_chars % 8 = 0 THEN 5 ELSE 3 END AS nivel_triaje
 FROM {{documents}} d JOIN {{labels}} l ON d.doc_id = l.doc_id"""
 
+# What is told in an interview: the same for every document, labelled or not.
+_INTERVIEWS = _RESULTS.replace(
+    "l.toxic = 1 AS perdida_consciencia", "coalesce(l.toxic = 1, false) AS perdida_consciencia"
+).replace("}} d JOIN", "}} d LEFT JOIN").replace("} d JOIN", "} d LEFT JOIN")
+
 _PREDICTIONS = """
 SELECT r.*, CASE WHEN doc_id % 19 = 0 THEN NULL ELSE least(5, greatest(1, nivel_triaje +
     CASE WHEN doc_id % 7 = 0 THEN 1 WHEN doc_id % 13 = 0 THEN -1 ELSE 0 END)) END AS prediccion_modelo,
@@ -147,6 +152,12 @@ class Tables:
             _RESULTS.replace("{text}", "STRING"), documents=self.documents, labels=self.labels
         )
 
+    @cached_property
+    def interviews(self) -> DataFrame:
+        return self.sql(
+            _INTERVIEWS.replace("{text}", "STRING"), documents=self.documents, labels=self.labels
+        )
+
     @cached_property
     def predictions(self) -> DataFrame:
         return self.sql(_PREDICTIONS, results=self.results)
@@ -165,9 +176,9 @@ class Tables:
 
     @cached_property
     def planted(self) -> DataFrame:
-        """Transcripts with the result fields told in the patient's words."""
+        """All transcripts with the fields of an interview told in the patient's words."""
         lines = _PLANTED.replace("{newline}", r"'\n'").replace("{text}", "STRING").replace("don''t", r"don\'t")
-        told = self.results.selectExpr("guid", "doc_id", f"{lines} AS lines")
+        told = self.interviews.selectExpr("guid", "doc_id", f"{lines} AS lines")
         texts = self.transcripts.select("doc_id", "nombre_fichero", "texto")
         return told.join(texts, "doc_id").selectExpr(
             "guid", "doc_id", "nombre_fichero", "concat(texto, lines) AS texto"
@@ -197,6 +208,7 @@ CHECK_VIEWS = {
     "cases": f"""SELECT guid, arg_max(estado, row(ts, seq)) AS estado, min(ts) AS inicio_solicitud,
         max(ts) AS fin_solicitud, {_PHASE_TIMES}, {_CASE_NAMES} FROM state_log GROUP BY guid""",
     "results": _RESULTS.replace("{text}", "VARCHAR").format(documents="documents", labels="labels"),
+    "interviews": _INTERVIEWS.replace("{text}", "VARCHAR").format(documents="documents", labels="labels"),
     "predictions": _PREDICTIONS.format(results="results"),
     "doc_cases": _DOC_CASES.replace("{text}", "VARCHAR").format(documents="documents"),
     "transcripts": f"""SELECT doc_id, concat('doc-', CAST(doc_id AS VARCHAR)) AS guid,
