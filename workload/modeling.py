@@ -50,14 +50,18 @@ def m5_forest_predictions(t):
                          F.aggregate("probabilidades", F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
-@query("m5_forest_invariants", """
+# The held-out part as SQL tells it: quotas by level, filled in the order of a hash.
+_HELD = """
 WITH c AS (SELECT guid, nivel_triaje FROM results WHERE score_urgencia IS NOT NULL),
 o AS (SELECT *, row_number() OVER (PARTITION BY nivel_triaje ORDER BY md5('42:' || guid), guid) - 1 AS place FROM c),
 s AS (SELECT nivel_triaje, count(*) AS n_c, sum(count(*)) OVER () AS n FROM c GROUP BY 1),
 w AS (SELECT *, ceil(n::DOUBLE * 0.2::DOUBLE)::BIGINT AS wanted FROM s),
 f AS (SELECT nivel_triaje, (n_c * wanted) // n AS whole, (n_c * wanted) % n AS rest, wanted FROM w),
 q AS (SELECT nivel_triaje, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, nivel_triaje)
-  <= wanted - (SELECT sum(whole) FROM f) THEN 1 ELSE 0 END AS quota FROM f)
+  <= wanted - (SELECT sum(whole) FROM f) THEN 1 ELSE 0 END AS quota FROM f)"""
+
+
+@query("m5_forest_invariants", f"""{_HELD}
 SELECT guid, o.nivel_triaje, true AS in_scale, true AS votes_sum_to_one, true AS confidence_is_top_vote
 FROM o JOIN q USING (nivel_triaje) WHERE place < quota""")
 def m5_forest_invariants(t):
@@ -187,3 +191,88 @@ def s14_model_round_trip(t):
     return md.predict(loaded, parts).join(before, "guid").select(
         "guid", F.lit(name).alias("model"), (F.col("prediccion_modelo") == F.col("level")).alias("same_level"),
         (F.col("confianza") == F.col("confidence")).alias("same_confidence"))
+
+
+@query("m6_logistic_invariants", f"""{_HELD}
+SELECT guid, o.nivel_triaje, true AS in_scale, true AS votes_sum_to_one FROM o JOIN q USING (nivel_triaje) WHERE place < quota""")
+def m6_logistic_invariants(t):
+    parts, _ = trained(t)
+    baseline = md.fit_logistic(parts.where(~F.col("is_test")))
+    total = F.aggregate("probabilidades", F.lit(0.0), lambda a, x: a + x)
+    return md.predict(baseline, parts.where("is_test")).select(
+        "guid", TARGET, F.col("prediccion_modelo").between(1, 5).alias("in_scale"), (F.abs(total - 1) < 1e-9).alias("votes_sum_to_one"))
+
+
+@query("m7_report_over_predictions", f"""{_HELD}
+SELECT nivel_triaje, CAST(quota AS BIGINT) AS support, true AS same_hits, true AS same_recall, true AS same_accuracy FROM q WHERE quota > 0""")
+def m7_report_over_predictions(t):
+    """The report's figures against plain counts over the predictions it is about."""
+    parts, forest = trained(t)
+    test = materialize(md.predict(forest, parts.where("is_test")).select(TARGET, "prediccion_modelo"), "held-out")
+    scores, overall = learn.hold_out_scores(forest, parts.where("is_test"))
+    hit = (F.col(TARGET) == F.col("prediccion_modelo")).cast("int")
+    plain = test.groupBy(TARGET).agg(F.count("*").alias("n"), F.sum(hit).alias("hits"))
+    accuracy = test.agg(F.avg(hit)).scalar()
+    return scores.join(plain, F.col("clase") == F.col(TARGET)).select(
+        TARGET, F.col("support").cast("long").alias("support"), (F.col("tp") == F.col("hits")).alias("same_hits"),
+        (F.abs(F.col("recall") - F.col("hits") / F.col("n")) < 1e-9).alias("same_recall"),
+        (F.abs(overall.select("accuracy").scalar() - accuracy) < 1e-9).alias("same_accuracy"))
+
+
+@query("m8_scores_over_folds", """WITH c AS (SELECT guid, nivel_triaje FROM results WHERE score_urgencia IS NOT NULL),
+f AS (SELECT (row_number() OVER (ORDER BY nivel_triaje, md5('42:' || guid), guid) - 1) % 5 AS fold FROM c)
+SELECT CAST(fold AS INT) AS fold, count(*) AS n, true AS same_mean FROM f GROUP BY fold""")
+def m8_scores_over_folds(t):
+    rows = cross_validated(t)
+    scores = ev.fold_scores(rows)
+    summary = ev.cross_validation_summary(scores).select("cv_f1_macro").scalar()
+    mean = scores.agg(F.avg("f1_macro")).scalar()
+    return rows.groupBy("fold").agg(F.count("*").alias("n")).select(
+        F.col("fold").cast("int").alias("fold"), "n", (F.abs(summary - mean) < 1e-4).alias("same_mean"))
+
+
+@query("m9_votes_by_class", f"""{_HELD}
+SELECT guid, CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS nivel, true AS in_range, true AS top_is_predicted
+FROM o JOIN q USING (nivel_triaje) WHERE place < quota""")
+def m9_votes_by_class(t):
+    rows = m9_class_probabilities(t)
+    return rows.select(
+        "guid", F.col("nivel").cast("int").alias("nivel"), F.col("p").between(0, 1).alias("in_range"),
+        ((F.col("nivel") != F.col("prediccion_modelo")) | (F.col("p") == F.col("confianza"))).alias("top_is_predicted"))
+
+
+@query("m11_importances_sum_to_one", "SELECT unnest([" + ", ".join(f"'{name}'" for name in md.FEATURES) + """]) AS feature,
+  true AS in_range, true AS sum_to_one""")
+def m11_importances_sum_to_one(t):
+    _, forest = trained(t)
+    rows = md.feature_importances(t.spark, forest).select(F.explode("feature_importances").alias("feature", "importance"))
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sum_to_one"))
+
+
+@query("m12_summary_over_predictions", """SELECT count(*) AS n_samples, count(DISTINCT nivel_triaje) AS n_classes,
+  true AS same_forest, true AS same_baseline FROM results WHERE score_urgencia IS NOT NULL""")
+def m12_summary_over_predictions(t):
+    parts, forest = trained(t)
+    test = parts.where("is_test")
+    baseline = md.fit_logistic(parts.where(~F.col("is_test")))
+    hit = F.avg((F.col(TARGET) == F.col("prediccion_modelo")).cast("int"))
+    told = m12_training_summary(t)
+    return told.select(
+        "n_samples", "n_classes",
+        (F.abs(F.col("rf_accuracy") - md.predict(forest, test).agg(hit).scalar()) < 1e-9).alias("same_forest"),
+        (F.abs(F.col("lr_accuracy") - md.predict(baseline, test).agg(hit).scalar()) < 1e-9).alias("same_baseline"))
+
+
+@query("m13_document_rows", """SELECT CAST(nivel_triaje AS INT) AS nivel, count(*) AS support, count(*) AS row_sum
+  FROM results WHERE score_urgencia IS NOT NULL GROUP BY 1""")
+def m13_document_rows(t):
+    """Supports and matrix rows of the stored document, by level."""
+    parts, forest = trained(t)
+    made = learn.evaluation_document(
+        md.predict(forest, parts).drop("probabilidades"), ev.fold_scores(cross_validated(t)),
+        md.feature_importances(t.spark, forest), "modelo_1", "dataset_1")
+    supports = F.array(*[F.col(f"classification_report.C{level}.support").cast("long") for level in range(1, 6)])
+    return made.select(F.posexplode(F.arrays_zip(supports.alias("s"), F.col("confusion_matrix").alias("m"))).alias("pos", "r")).select(
+        (F.col("pos") + 1).cast("int").alias("nivel"), F.col("r.s").alias("support"),
+        F.aggregate("r.m", F.lit(0).cast("long"), lambda a, x: a + x).alias("row_sum")).where("row_sum > 0")
