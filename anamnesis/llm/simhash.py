@@ -13,8 +13,9 @@ from .common import materialize
 from .components import components
 
 SEED = 42
-BLOCK_BITS = 16
-BLOCKS = 64 // BLOCK_BITS
+#: The three blocks of a fingerprint: lowest bit and width.
+BLOCKS = [(0, 22), (22, 21), (43, 21)]
+WIDEST = 22
 CHUNK = 1 << 16
 
 
@@ -49,9 +50,19 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keys: list[str] | None = Non
     return source.mapInArrow(hashed, schema)
 
 
-def _turned(bits: Column, by: Column) -> Column:
-    return F.call_function("shiftleft", bits, by).bitwiseOR(
-        F.call_function("shiftrightunsigned", bits, (F.lit(64) - by).cast("int")))
+def _turned(bits: Column, by: int) -> Column:
+    """A rotation to the right."""
+    return F.shiftrightunsigned(bits, by).bitwiseOR(F.shiftleft(bits, 64 - by)) if by else bits
+
+
+def _low(width: int) -> Column:
+    return F.lit((1 << width) - 1).cast("long")
+
+
+def _by_block(of) -> Column:
+    """What ``of(lowest bit, width)`` gives for the block that a key names in its last two bits."""
+    k = F.col("key").bitwiseAND(_low(2))
+    return F.when(k == 0, of(*BLOCKS[0])).when(k == 1, of(*BLOCKS[1])).otherwise(of(*BLOCKS[2]))
 
 
 def _flips(bits: Column, masks: list[int]) -> Column:
@@ -73,10 +84,10 @@ def links(fps: DataFrame) -> DataFrame:
 
     Every pair in reach is linked or joined through links, and every link is
     verified. Half of three bits is one flip on either side and one bit left
-    over, so each fingerprint is emitted four times, each time with one 16-bit
-    block set apart, and within radius one on the other 48 bits: 196 keys each.
-    Under a key (block, 48 bits) two fingerprints are within two bits besides
-    their blocks. So
+    over, so each fingerprint is emitted three times, each time with one block of
+    21 or 22 bits set apart, and within radius one on the other bits: 131 keys
+    each. Under a key (block, other bits) two fingerprints are within two bits
+    besides their blocks. So
 
     * equal blocks are within reach: each row is linked to the next;
     * blocks one bit apart are within reach: the first rows of the two are linked;
@@ -86,45 +97,43 @@ def links(fps: DataFrame) -> DataFrame:
 
     All links are chains and stars, so a dense group of copies costs what its
     members cost, not its pairs. Only keys that two fingerprints share live on
-    after the one large shuffle.
+    after the one large shuffle; chance alone shares three keys in ten billion pairs.
     """
-    turned = fps.select(F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("k"), "fp").select(
-        "k", F.when(F.col("k") == 0, F.col("fp")).otherwise(_turned(F.col("fp"), (F.col("k") * BLOCK_BITS).cast("int"))).alias("r"))
-    low = F.lit((1 << BLOCK_BITS) - 1).cast("long")
-    ball = [0, *_masks(64 - BLOCK_BITS, (1,), BLOCK_BITS)]
-    rows = turned.select("r", F.explode(_flips(F.col("r").bitwiseAND(F.lit(~((1 << BLOCK_BITS) - 1))).bitwiseOR(F.col("k").cast("long")), ball)).alias("key"))
+    rows = None
+    for k, (lowest, width) in enumerate(BLOCKS):
+        turned = fps.select(_turned(F.col("fp"), lowest).alias("r"))
+        bare = F.col("r").bitwiseAND(F.lit(~((1 << width) - 1))).bitwiseOR(F.lit(k).cast("long"))
+        part = turned.select("r", F.explode(_flips(bare, [0, *_masks(64 - width, (1,), width)])).alias("key"))
+        rows = part if rows is None else rows.unionByName(part)
     # One sort serves: neighbours in the order of (key, block, rest) tell which keys are shared.
     order = Window.partitionBy("key").orderBy("block", "r")
     shared = (
-        rows.withColumn("block", F.col("r").bitwiseAND(low).cast("int"))
+        rows.withColumn("block", _by_block(lambda _, width: F.col("r").bitwiseAND(_low(width))))
         .withColumn("last", F.lag("r").over(order)).withColumn("next", F.lead("r").over(order))
         .where("last is not null or next is not null")
     )
     shared = materialize(shared.select("key", "block", "r", "last"), "shared-keys")
 
     def back(r: str) -> Column:
-        by = (F.col("key").bitwiseAND(F.lit(BLOCKS - 1).cast("long")) * BLOCK_BITS).cast("int")
-        return F.when(by == 0, F.col(r)).otherwise(_turned(F.col(r), (F.lit(64) - by).cast("int")))
+        return _by_block(lambda lowest, _: _turned(F.col(r), 64 - lowest if lowest else 0))
 
-    same_block = F.col("last").isNotNull() & (F.col("last").bitwiseAND(low) == F.col("block"))
+    same_block = F.col("last").isNotNull() & (_by_block(lambda _, width: F.col("last").bitwiseAND(_low(width))) == F.col("block"))
     chain = shared.where(same_block).select(back("r").alias("a"), back("last").alias("b"))
 
     first = shared.where(~same_block).select("key", "block", back("r").alias("a"))
-    up = first.select("key", F.col("a").alias("b"), F.explode(_flips(F.col("block").cast("long"), _masks(BLOCK_BITS, (1,)))).alias("block"))
-    up = up.where(F.col("block") >= 0)
-    beside = first.withColumn("block", F.col("block").cast("long")).join(up, ["key", "block"]).where("a > b").select("a", "b")
+    up = first.select("key", F.col("a").alias("b"), F.explode(_flips(F.col("block"), _masks(WIDEST, (1,)))).alias("block"))
+    beside = first.join(up, ["key", "block"]).where("a > b").select("a", "b")
 
-    high = F.lit(~((1 << BLOCK_BITS) - 1))
-    plain = shared.where(F.col("r").bitwiseAND(high) == F.col("key").bitwiseAND(high)).select(
-        "key", F.col("block").cast("long").alias("block"), back("r").alias("a"))
+    unflipped = _by_block(lambda _, width: F.shiftrightunsigned(F.col("r").bitwiseXOR(F.col("key")), width)) == 0
+    plain = shared.where(unflipped).select("key", "block", back("r").alias("a"))
     by_block = Window.partitionBy("key").orderBy("block")
     plain = (
         plain.withColumn("under", F.lag("block").over(by_block)).withColumn("over", F.lead("block").over(by_block))
         .where("under is not null or over is not null").drop("under", "over")
     )
-    near = plain.select("key", "a", F.explode(_flips(F.col("block"), _masks(BLOCK_BITS, (0, 1)))).alias("block"))
+    near = plain.select("key", "a", F.explode(_flips(F.col("block"), _masks(WIDEST, (0, 1)))).alias("block"))
     centre = near.groupBy("key", "block").agg(F.min("a").alias("b"))
-    far = plain.select("key", "a", F.explode(_flips(F.col("block"), _masks(BLOCK_BITS, (1, 2)))).alias("block"))
+    far = plain.select("key", "a", F.explode(_flips(F.col("block"), _masks(WIDEST, (1, 2)))).alias("block"))
     inside = far.join(centre, ["key", "block"]).where("a <> b").select("a", "b")
 
     found = chain.unionByName(beside).unionByName(inside)

@@ -3,7 +3,6 @@
 import random
 
 import xxhash
-from pyspark.sql import functions as F
 
 from anamnesis.llm import simhash
 
@@ -58,7 +57,7 @@ def test_links_join_exactly_what_is_in_reach(spark):
     for centre in [rng.getrandbits(64) for _ in range(12)] + [0, (1 << 64) - 1]:
         for _ in range(40):
             flips = rng.choice([1, 2, 3, 3, 4, 5, 6])
-            bits = rng.sample(range(64), flips) if rng.random() < 0.5 else rng.sample(range(b := rng.choice([0, 16, 32, 48]), b + 16), flips)
+            bits = rng.sample(range(64), flips) if rng.random() < 0.5 else rng.sample(range(b := rng.choice([0, 22, 43]), b + 21), flips)
             fp = centre
             for bit in bits:
                 fp ^= 1 << bit
@@ -67,8 +66,8 @@ def test_links_join_exactly_what_is_in_reach(spark):
                 centre = fp  # chains
     for _ in range(60):  # pairs that stand alone, all bits in one block or spread
         a = rng.getrandbits(64)
-        b0 = rng.choice([0, 16, 32, 48])
-        for bit in rng.sample(range(b0, b0 + 16), 3) if rng.random() < 0.5 else rng.sample(range(64), 3):
+        b0 = rng.choice([0, 22, 43])
+        for bit in rng.sample(range(b0, b0 + 21), 3) if rng.random() < 0.5 else rng.sample(range(64), 3):
             a2 = a ^ (1 << bit)
             fps.add(a)
             a = a2
@@ -84,8 +83,8 @@ def test_lone_pairs_at_three_bits(spark):
     prints, want = [], {}
     for i in range(300):
         a = rng.getrandbits(64)
-        start = rng.choice([0, 16, 32, 48])
-        bits = rng.sample(range(start, start + 16), 3) if i % 3 else rng.sample(range(64), 3)
+        start, width = rng.choice(simhash.BLOCKS)
+        bits = rng.sample(range(start, start + width), 3) if i % 3 else rng.sample(range(64), 3)
         b = a ^ sum(1 << x for x in bits)
         prints += [(2 * i, signed(a)), (2 * i + 1, signed(b))]
         want |= {signed(a): 2 * i, signed(b): 2 * i}
@@ -117,5 +116,5 @@ def test_empty_table(docs_of):
 
 
 def test_links_are_verified(spark):
-    df = spark.range(200).select((F.col("id") * 7919).alias("fp"))
+    df = spark.range(200).selectExpr("id * 7919 as fp")
     assert simhash.links(df).where("bit_count(a ^ b) > 3").count() == 0
