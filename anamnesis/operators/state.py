@@ -92,9 +92,9 @@ def pending(cases: DataFrame) -> DataFrame:
 
 
 def by_file_name(cases: DataFrame, limit: int = 0) -> DataFrame:
-    """Sorted by name, nulls last; 0 means no limit."""
-    ordered = cases.orderBy(F.asc_nulls_last("nombre_fichero"), "guid")
-    return ordered.limit(limit) if limit > 0 else ordered
+    """The first ``limit`` cases by name, nulls last. 0 means all: as the order
+    ends with the next shuffle, nothing is sorted for them."""
+    return cases.orderBy(F.asc_nulls_last("nombre_fichero"), "guid").limit(limit) if limit > 0 else cases
 
 
 def move_all(

@@ -56,13 +56,6 @@ DEFAULT_LEVEL = 3
 ANXIETY_BANDS = [(0.86, "panic"), (0.7, "high"), (0.4, "moderate")]
 ANXIETY_FLOOR_BAND = "calm"
 ANXIETY_NO_BAND = "none"
-ANXIETY_BAND_LABELS = {
-    "panic": "Pánico extremo",
-    "high": "Ansiedad alta",
-    "moderate": "Ansiedad moderada",
-    "calm": "Paciente tranquilo",
-    "none": "",
-}
 AUDIT_ANXIETY = 0.7
 AUDIT_VERDICT = "❌ Under-triage"
 AUDIT_CAUSE = "El modelo RF priorizó ansiedad sobre clínica"
@@ -112,15 +105,6 @@ DATASET = T.StructType([
     T.StructField("nivel_triaje", T.IntegerType()),
 ])
 
-STATE_LOG = T.StructType([
-    T.StructField("guid", T.StringType()),
-    T.StructField("estado", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("times", T.MapType(T.StringType(), T.TimestampType())),
-])
-
 CLASS_SCORES = T.StructType([
     T.StructField("precision", T.DoubleType()),
     T.StructField("recall", T.DoubleType()),

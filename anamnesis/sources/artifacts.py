@@ -7,6 +7,7 @@ written, so a half-written version is never picked up.
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,11 +29,6 @@ def _manifest(folder: str) -> str:
     return f"{folder}/manifest"
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def publish(spark: SparkSession, folder: str, name: str) -> str:
     """Puts a written version on record."""
     spark.createDataFrame([(name,)], MANIFEST).coalesce(1).write.mode("append").parquet(_manifest(folder))
@@ -40,9 +36,13 @@ def publish(spark: SparkSession, folder: str, name: str) -> str:
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
-    if not _exists(spark, _manifest(folder)):
+    """Names on record; a folder without a manifest has none."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(_manifest(folder))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(_manifest(folder))
 
 
 def latest_artifact(spark: SparkSession, folder: str, prefix: str) -> str | None:

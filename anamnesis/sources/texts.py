@@ -1,5 +1,8 @@
 """Text files in, transcript table out."""
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import (
@@ -8,6 +11,8 @@ from ..functions.text import (
 
 # Byte order marks that announce UTF-16.
 UTF16_MARKS = ["FFFE", "FEFF"]
+GLOB_SIGNS = r"([\[\]{}*?\\])"
+_ESCAPED = r"\\\1"
 ON_DEMAND_FOLDER = "fase2"
 # The folder of texts whose name has no letters, hence no specialty.
 NO_SPECIALTY_FOLDER = "sin_especialidad"
@@ -39,8 +44,14 @@ def scan_corpus(
 
 def list_objects(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
     """Paths below a folder whose relative name starts with the prefix. Only
-    the path column is read, so no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    what the prefix leads to is listed, and no file is opened."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.load(f"{folder.rstrip('/')}/{re.sub(GLOB_SIGNS, _ESCAPED, prefix)}*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "name string")
     tail = F.substring_index("path", folder.rstrip("/") + "/", -1)
     return files.select(F.url_decode(tail).alias("name")).where(F.col("name").startswith(prefix))
 

@@ -1,5 +1,7 @@
 """File streams."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.texts import decode, file_name
@@ -10,13 +12,11 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 
 def parquet_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """Stream of a Parquet folder, or of one Parquet file in a folder."""
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).options(**options)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if system.getFileStatus(target).isDirectory():
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema).options(**options)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    if [unquote(file.rsplit("/", 1)[-1]) for file in table.inputFiles()] != [name]:
         return reader.parquet(path)
-    folder, name = path.rsplit("/", 1)
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
