@@ -75,6 +75,14 @@ def _pain(text: Column) -> Column:
     return F.when(score.between(0, 10), score)
 
 
+def _answered(dialogue: Column, anchors: list[str], asked: str) -> Column:
+    """The number in the patient's answer to a question, in digits or words."""
+    answer = _matched(dialogue, anchors, asked, 1)
+    digits = F.nullif(F.regexp_extract(answer, lex.ANSWERED_NUMBER, 1), F.lit("")).cast("int")
+    tens, units = (F.nullif(F.regexp_extract(answer, lex.ANSWERED_WORDS, group), F.lit("")) for group in (1, 2))
+    return F.coalesce(digits, _number_word(tens) + F.coalesce(_number_word(units), F.lit(0)))
+
+
 def _level() -> Column:
     """Most urgent rule first, so the first hit is the answer. Feelings are not
     consulted: clinical signs alone set the level."""
@@ -106,9 +114,11 @@ def _urgency() -> Column:
     return F.least(base + extra, F.lit(100.0))
 
 
-def rule_fields(df: DataFrame, text: str) -> DataFrame:
+def rule_fields(df: DataFrame, text: str, dialogue: str | None = None) -> DataFrame:
     """Adds the reply fields, taken from the whole text by rules; a null text
-    has neither level nor urgency.
+    has neither level nor urgency. With ``dialogue``, the column with both
+    speakers' lines, age and pain are also read from answers to the doctor's
+    questions, where the patient's words alone do not tell.
 
     ``_raw`` is the text in lower case, ``_said`` the same without denials and
     relatives, ``_words`` that with blanks around words. Each finding is kept
@@ -126,10 +136,18 @@ def rule_fields(df: DataFrame, text: str) -> DataFrame:
         "_tachycardia": _which(said, lex.TACHYCARDIA),
     }
     raw_words = F.col("_raw_words")
+    asked_age = asked_pain = F.lit(None).cast("int")
+    if dialogue is not None:
+        lines = F.lower(F.col(dialogue))
+        # A one-row generator: both are referred to often, and would be inlined each time.
+        df = df.select("*", F.inline(F.array(F.struct(
+            _answered(lines, lex.AGE_ASKED_ANCHORS, lex.AGE_ASKED).alias("_asked_age"),
+            _answered(lines, lex.PAIN_ASKED_ANCHORS, lex.PAIN_ASKED).alias("_asked_pain")))))
+        asked_age, asked_pain = F.col("_asked_age"), F.col("_asked_pain")
     scalars = {
-        "edad": _age(_without(raw, lex.YEAR_ANCHORS, lex.NOT_AN_AGE)),
+        "edad": F.coalesce(_age(_without(raw, lex.YEAR_ANCHORS, lex.NOT_AN_AGE)), F.when(asked_age.between(0, 120), asked_age)),
         "sexo": F.when(_any_word(raw_words, lex.FEMALE_WORDS), "F").when(_any_word(raw_words, lex.MALE_WORDS), "M"),
-        "dolor_intensidad": _pain(raw),
+        "dolor_intensidad": F.coalesce(_pain(raw), F.when(asked_pain.between(0, 10), asked_pain)),
         "fumador": _any_word(words, lex.SMOKER_WORDS),
         "_vital": _any(raw, lex.VITAL_THREAT),
         "_acute": _any(said, lex.ACUTE)
@@ -174,7 +192,7 @@ def rule_fields(df: DataFrame, text: str) -> DataFrame:
         ))
         .withColumns({"urgencia_ausente": F.lit(False), "reply_error": F.lit(None).cast("string")})
         .drop("_raw", "_said", "_words", "_raw_words", "_terms", "_vital", "_acute", "_high_fever",
-              "_trauma", "_symptom", *findings)
+              "_trauma", "_symptom", "_asked_age", "_asked_pain", *findings)
     )
 
 
@@ -183,9 +201,10 @@ def reply_json(columns: list[str] = REPLY_FIELDS) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def rule_replies(df: DataFrame, text: str) -> DataFrame:
+def rule_replies(df: DataFrame, text: str, dialogue: str | None = None) -> DataFrame:
     """The rule annotator in the shape of an injected one: guid and raw reply."""
-    return rule_fields(df.select("guid", text), text).select(
+    columns = [text] if dialogue is None else [text, dialogue]
+    return rule_fields(df.select("guid", *columns), text, dialogue).select(
         "guid", reply_json().alias("raw"), F.lit(None).cast("string").alias("annotate_error")
     )
 

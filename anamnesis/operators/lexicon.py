@@ -116,6 +116,15 @@ PAIN_WORDS = (
     r"|two|three|four|five|six|seven|eight|nine|ten)(?:$|[,.!?]| quizás| out of)"
 )
 
+# What a patient answers to a question, on the line after the doctor's.
+_ANSWER = r"[^\n]*\n+ *p: *([^\n]*)"
+AGE_ASKED_ANCHORS = ["edad", "años", "how old", "your age"]
+AGE_ASKED = r"(?:qué edad|su edad|cuántos años|how old|your age)" + _ANSWER
+PAIN_ASKED_ANCHORS = ["a diez", "a 10", "al diez", "al 10", "to ten", "to 10"]
+PAIN_ASKED = r"(?:(?:cero|uno|0|1) al? (?:diez|10)|(?:zero|one|0|1) to (?:ten|10))" + _ANSWER
+ANSWERED_NUMBER = r"(?:^|[^0-9,.])([0-9]{1,3})(?:$|[^0-9%/])"
+ANSWERED_WORDS = EDGE + f"({_TENS}|{_LOW}|{_UNITS}|one|two|three|four|five|six|seven|eight|nine|ten)(?: y ({_UNITS}))?(?:$|[^a-záéíóúüñ])"
+
 # Where a finding is kept -> its normalised term, in the order of listing.
 ENTITY_TERMS = {
     "_chest": "dolor torácico",

@@ -34,10 +34,10 @@ def enrich_texts(
     once. The rule annotator runs when no client is given. ``request`` is the
     ``template``, ``examples`` and ``model`` of what a client is sent."""
     # Texts are often the end of a join: written once, read by both branches.
-    prepared = materialize(preprocess(texts).select("guid", "texto_anotable"), "prepared")
+    prepared = materialize(preprocess(texts).select("guid", "texto_anotable", "texto_completo"), "prepared")
     present = prepared.where("texto_anotable IS NOT NULL")
     if connect is None:
-        raw = rule_replies(present, "texto_anotable")
+        raw = rule_replies(present, "texto_anotable", "texto_completo")
     else:
         raw = annotate(present, "texto_anotable", connect, partitions, **request)
     parsed = parse_replies(materialize(raw, "replies"))

@@ -20,8 +20,8 @@ def score_stream(texts: DataFrame, model: PipelineModel) -> DataFrame:
     """
     error = F.when(F.col("texto").isNull(), "missing").when(F.length(strip(F.col("texto"))) == 0, "blank")
     checked = texts.withColumn("entrada_error", error)
-    prepared = preprocess(checked).select("guid", "filename", "texto_anotable", "entrada_error")
-    scored = score_enriched(rule_fields(prepared, "texto_anotable"), model)
+    prepared = preprocess(checked).select("guid", "filename", "texto_anotable", "texto_completo", "entrada_error")
+    scored = score_enriched(rule_fields(prepared, "texto_anotable", "texto_completo"), model)
     rows = response_rows(scored, "entrada_error")
     return rows.select("guid", "entrada_error", *[
         F.when(F.col("entrada_error").isNull(), F.col(name)).alias(name)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anamnesis.operators import annotate as an
+from anamnesis.plans.enrich import preprocess
 
 CASES = {
     "chest pain that spreads": ("Me duele: tengo un dolor muy fuerte en el pecho y me cuesta respirar. Un ocho. Me llega hasta el brazo "
@@ -34,6 +35,20 @@ def test_fields(fields):
     assert len(fear["entidades"]) == len(fear["entidades_normalizadas"])
 
 
+@pytest.mark.parametrize("lines, age, pain", [
+    ("D: Buenos días. ¿Qué edad tiene?\nP: Setenta y uno.\nD: ¿Del uno al diez?\nP: Un ocho, doctor.", 71, 8),
+    ("D: ¿Cuántos años tiene usted?\n\nP: Pues 34, recién cumplidos.\nD: ¿Y de 0 a 10, cuánto duele?\nP: Tres.", 34, 3),
+    ("D: How old are you?\nP: 52\nD: From one to ten?\nP: maybe seven", 52, 7),
+    ("D: ¿Qué edad tiene?\nP: No quiero decirlo.\nD: ¿De cero a diez?\nP: Mucho.", None, None),
+    ("D: ¿Qué edad tiene su hijo?\nD: Perdone.\nP: Nueve.", None, None),
+    ("D: ¿Qué edad tiene?\nP: Tengo 40 años, mi madre 71.", 40, None),
+])
+def test_answers_are_read_with_their_questions(spark, lines, age, pain):
+    df = preprocess(spark.createDataFrame([("g", lines)], "guid string, texto string"))
+    got = an.rule_fields(df, "texto_anotable", "texto_completo").first()
+    assert (got["edad"], got["dolor_intensidad"]) == (age, pain)
+
+
 def test_injected_client_errors_are_rows(spark):
     def flaky():
         def client(texts):
