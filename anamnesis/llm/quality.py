@@ -112,14 +112,14 @@ def judged(docs: DataFrame, limits: Limits = Limits(), host: str = "source") ->
 
 def passing(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
     """The rows of ``docs`` that are kept, as they are; repeated rows stay repeated."""
-    named = docs.withColumn("_text", F.xxhash64("text"))
+    named = docs.withColumn("_llm_text", F.xxhash64("text"))
     # A verdict depends on text and host only, so rows may share one.
     keyed = docs.select(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n")).alias("doc_id"), F.col(host).alias("source"), "text")
     verdicts = judged(keyed, limits).where("kept").select(
-        F.col("doc_id.h").alias("_h"), F.col("doc_id.n").alias("_n"), F.col("host").alias("_host")).distinct()
+        F.col("doc_id.h").alias("_llm_h"), F.col("doc_id.n").alias("_llm_n"), F.col("host").alias("_llm_host")).distinct()
     return named.join(
-        verdicts, (named["_text"] == verdicts["_h"]) & F.length(named["text"]).eqNullSafe(verdicts["_n"])
-        & named[host].eqNullSafe(verdicts["_host"]), "left_semi").drop("_text")
+        verdicts, (named["_llm_text"] == verdicts["_llm_h"]) & F.length(named["text"]).eqNullSafe(verdicts["_llm_n"])
+        & named[host].eqNullSafe(verdicts["_llm_host"]), "left_semi").drop("_llm_text")
 
 
 def host_sql(limits: Limits = Limits()) -> str:

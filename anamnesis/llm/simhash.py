@@ -172,11 +172,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """Keeps of each near-duplicate group the row with the smallest doc_id (nulls last, then by content)."""
-    named = docs.withColumn("_row", F.xxhash64(F.struct(*docs.columns)))
-    prints = materialize(fingerprints(named, shingle, ["doc_id", "_row"]), "doc-fingerprints")
+    hashable = [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    named = docs.withColumn("_llm_row", F.xxhash64(*(docs[name] for name in hashable)))
+    prints = materialize(fingerprints(named, shingle, ["doc_id", "_llm_row"]), "doc-fingerprints")
     grouped = prints.join(groups(prints), "fp")
     kept = grouped.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("_id"), F.col("kept._row").alias("_kept"))
-    found = named.join(kept, (named["_row"] == kept["_kept"]) & named["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_row"]).select(*docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_llm_row")).alias("kept"))
+    kept = kept.select(F.col("kept.doc_id").alias("_llm_id"), F.col("kept._llm_row").alias("_llm_kept"))
+    found = named.join(kept, (named["_llm_row"] == kept["_llm_kept"]) & named["doc_id"].eqNullSafe(kept["_llm_id"]), "left_semi")
+    return found.dropDuplicates(["doc_id", "_llm_row"]).select(*docs.columns)
