@@ -10,13 +10,43 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pieces a Python worker remembers; beyond, it starts afresh. Only speed depends on it.
-REMEMBERED = 200_000
+#: Distinct pieces that each half of a Python worker's memory holds. Only speed depends on it.
+REMEMBERED = 350_000
 REMEMBERED_BYTES = 64
+#: Characters from which on a text's pieces are not listed at once.
+LONG = 1 << 20
 #: Ids that go into one Arrow batch before it is handed over (a single text may exceed it).
 BATCH_IDS = 1 << 20
 
 
+#: Children of a node of the segment tree.
+FAN = 32
+
+
+class _Known(dict):
+    """Piece -> its ids as 32-bit numbers; a piece not yet known is encoded.
+
+    When it is full, what it holds becomes the elder half, from which pieces that
+    come again are taken over.
+    """
+
+    def __init__(self, merge):
+        self.merge, self.elder = merge, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.elder.get(piece)
+        if ids is None:
+            data = piece.encode()
+            ids = array("i", self.merge(data)).tobytes()
+            if len(data) > REMEMBERED_BYTES:
+                return ids
+        if len(self) >= REMEMBERED:
+            self.elder = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Vocabulary:
     """Token bytes by rank, and the pattern that cuts a text into pieces."""
 
@@ -25,81 +55,63 @@ class Vocabulary:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.cut = regex.compile(pattern)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Known(self.merge)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: always the leftmost pair of least rank is merged.
 
-        ``tree`` holds at its leaves ``rank * width + position`` of the pair that
-        starts at each live byte position, and in every inner node the smaller
-        of its children, so that the root is the next merge. A merge updates the
-        three leaves it touches and their ancestors.
+        A segment tree over the byte positions: its leaves hold, for the pair that
+        starts at each live position, rank and position as one number, and every
+        node above the least of the ``FAN`` below it, so that the least at the top
+        is the next merge. A merge sets the leaves of the merged token and of its
+        two neighbours, at most three, and renews the nodes above them, as many
+        as the logarithm of the length to base ``FAN``.
         """
-        ranks, n = self.ranks, len(piece)
-        whole = ranks.get(piece)
+        rank_of, n = self.ranks.get, len(piece)
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        width = 1 << max(1, (n - 1).bit_length())
-        none = len(ranks) * width + (1 << 62)
+        bits, absent = n.bit_length(), 1 << 40
+        none, mask = absent << bits, (1 << bits) - 1
+        leaves = [(rank_of(piece[i:i + 2], absent) << bits) + i for i in range(n - 1)]
+        levels = [leaves]
+        while len(levels[-1]) > FAN:
+            below = levels[-1]
+            levels.append([min(below[i:i + FAN]) for i in range(0, len(below), FAN)])
+        top, above = levels[-1], list(zip(levels, levels[1:]))
         ends = list(range(1, n + 1))  # where the token that starts here ends
-        starts = list(range(-1, n))  # where the token before the one here starts, at n that of the last
-        tree = [none] * (2 * width)
-        for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
-            if rank is not None:
-                tree[width + i] = rank * width + i
-        for node in range(width - 1, 0, -1):
-            left, right = tree[2 * node], tree[2 * node + 1]
-            tree[node] = left if left < right else right
-
-        while tree[1] < none:
-            at = tree[1] % width
+        starts = list(range(-1, n))  # where the token that ends here starts
+        while (least := min(top)) < none:
+            at = least & mask
             middle = ends[at]
-            end = ends[middle]
-            ends[at] = end
+            end = ends[at] = ends[middle]
             starts[end] = at
-            for leaf, stop in ((at, end), (middle, 0), (starts[at], end)):
-                if leaf < 0:
-                    continue
-                value = none
-                if leaf == at:
-                    stop = ends[end] if end < n else 0
-                if stop:
-                    rank = ranks.get(piece[leaf:stop])
-                    if rank is not None:
-                        value = rank * width + leaf
-                node = width + leaf
-                if tree[node] == value:
-                    continue
-                tree[node] = value
-                node >>= 1
-                while node:
-                    left, right = tree[2 * node], tree[2 * node + 1]
-                    least = left if left < right else right
-                    if tree[node] == least:
-                        break
-                    tree[node] = least
-                    node >>= 1
+            if end < n:
+                leaves[middle] = none
+                leaves[at] = (rank_of(piece[at:ends[end]], absent) << bits) + at
+            else:
+                leaves[at] = none
+                middle = at
+            before = starts[at] if at else at
+            if at:
+                leaves[before] = (rank_of(piece[before:end], absent) << bits) + before
+            for below, level in above:
+                before, at, middle = before // FAN, at // FAN, middle // FAN
+                for node in {before, at, middle}:
+                    level[node] = min(below[node * FAN:node * FAN + FAN])
         ids, at = [], 0
         while at < n:
-            ids.append(ranks[piece[at:ends[at]]])
+            ids.append(self.ranks[piece[at:ends[at]]])
             at = ends[at]
         return ids
 
-    def encode(self, text: str) -> array:
-        ids, known = array("i"), self.known
-        for found in self.cut.finditer(text):
-            piece = found.group()
-            part = known.get(piece)
-            if part is None:
-                data = piece.encode()
-                part = tuple(self.merge(data))
-                if len(data) <= REMEMBERED_BYTES:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[piece] = part
-            ids.extend(part)
-        return ids
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, as 32-bit numbers one after another."""
+        if len(text) < LONG:
+            pieces = self.cut.findall(text)
+        else:
+            pieces = (found.group() for found in self.cut.finditer(text))
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -138,15 +150,16 @@ def encode(docs: DataFrame, path: str, pattern: str, keys: list[str] | None = No
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(ranks_file.value, pattern)
         for batch in batches:
-            texts, start, ids, offsets = batch.column(len(keys)), 0, array("i"), [0]
+            texts, start, ids, offsets = batch.column(len(keys)), 0, [], [0]
             for row in range(batch.num_rows):
-                ids.extend(vocabulary.encode(texts[row].as_py()))
-                offsets.append(len(ids))
-                if len(ids) >= BATCH_IDS or row + 1 == batch.num_rows:
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)]))
+                ids.append(vocabulary.encode(texts[row].as_py()))
+                offsets.append(offsets[-1] + len(ids[-1]) // 4)
+                if offsets[-1] >= BATCH_IDS or row + 1 == batch.num_rows:
+                    values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(ids))])
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
                     same = [c.slice(start, row + 1 - start) for c in batch.columns[:-1]]
                     yield pa.RecordBatch.from_arrays([*same, lists], [*keys, "ids"])
-                    start, ids, offsets = row + 1, array("i"), [0]
+                    start, ids, offsets = row + 1, [], [0]
 
     return source.mapInArrow(encoded, schema)
 
@@ -167,7 +180,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, keys: list[str] | None =
             # Offsets are 32 bits: hand over in parts.
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = [vocabulary.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ()) for x in part.column(len(keys))]
+                texts = [vocabulary.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else []) for x in part.column(len(keys))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*keys, "ids", "decoded"])
 
     return source.mapInArrow(decoded, schema)
