@@ -47,8 +47,54 @@ def _chance(*of: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*of), 11).cast("double") / float(1 << 53)
 
 
+OPEN = "struct<unit:bigint,size:double,mass:double>"
+DONE = "array<struct<unit:bigint,extra:int>>"
+
+
+def _decide(state: Column, new: Column, seed: int) -> Column:
+    """Pairs the next unit of a block with all units after it, taken together.
+
+    All of them are fractional by the same ``share``. Words move between the two
+    until one is whole or empty: raising the unit by ``up`` or lowering it by
+    ``down``, with chances down and up to up + down, keeps their sum and leaves
+    every expectation as it was; what the rest gives or gets is spread evenly
+    over its words. If the unit is decided, the next one is paired; if it is the
+    rest that is whole or empty, the unit stays open.
+    """
+    size, share, done = new["size"], state["share"], state["done"]
+    room = F.greatest(state["room"] - size, F.lit(0.0))
+    mass, rest = share * size, share * room
+    up, down = F.least(size - mass, rest), F.least(mass, room - rest)
+    raised = _chance(new["unit"], F.lit("raise"), F.lit(seed)) * (up + down) < down
+
+    def decided(extra: Column, left: Column) -> Column:
+        more = F.concat(done, F.array(F.struct(new["unit"].alias("unit"), extra.cast("int").alias("extra"))))
+        return F.struct(room.alias("room"), F.least(F.greatest(left, F.lit(0.0)), F.lit(1.0)).alias("share"), state["open"].alias("open"), more.alias("done"))
+
+    def stays(at: Column, left: float) -> Column:
+        unit = F.struct(new["unit"].alias("unit"), size.alias("size"), at.alias("mass"))
+        return F.struct(room.alias("room"), F.lit(left).alias("share"), unit.alias("open"), done.alias("done"))
+
+    return (
+        F.when(state["open"].isNotNull(), decided(share > 0.5, share))
+        .when(room <= 0, stays(mass, 0.0))
+        .when(raised & (size - mass <= rest), decided(F.lit(1), (rest - up) / room))
+        .when(raised, stays(mass + rest, 0.0))
+        .when(mass <= room - rest, decided(F.lit(0), (rest + down) / room))
+        .otherwise(stays(mass - (room - rest), 1.0)))
+
+
+def _deal(units: Column, seed: int) -> Column:
+    """(open, done) of units that share one fraction, from large to small."""
+    first = F.get(units, F.lit(0))
+    start = F.struct(
+        F.aggregate(units, F.lit(0.0), lambda t, u: t + u["size"]).alias("room"), (first["mass"] / first["size"]).alias("share"),
+        F.lit(None).cast(OPEN).alias("open"), F.array().cast(DONE).alias("done"))
+    return F.aggregate(units, start, lambda s, u: _decide(s, u, seed), lambda s: F.struct(s["open"].alias("open"), s["done"].alias("done")))
+
+
 def _pair(state: Column, new: Column, seed: int) -> Column:
-    """Moves words between the carried unit and the next until one of the two is whole or empty.
+    """For units of unlike fractions: moves words between the carried unit and the next until one of the two is whole or empty.
 
     Raising one by ``a`` or the other by ``b``, with chances b and a to a + b,
     keeps their sum and leaves each unit's expectation as it was.
@@ -56,7 +102,7 @@ def _pair(state: Column, new: Column, seed: int) -> Column:
     one = state["open"]
     a = F.least(one["size"] - one["mass"], new["mass"])
     b = F.least(one["mass"], new["size"] - new["mass"])
-    raise_one = _chance(one["unit"], new["unit"], F.lit(seed)) * (a + b) <= b
+    raise_one = _chance(one["unit"], new["unit"], F.lit("raise"), F.lit(seed)) * (a + b) <= b
     one_full = one["size"] - one["mass"] <= new["mass"]
     new_full = new["size"] - new["mass"] <= one["mass"]
 
@@ -79,27 +125,32 @@ def _fold(units: Column, seed: int) -> Column:
     first = F.get(units, F.lit(0))
     start = F.struct(
         F.struct(first["unit"].alias("unit"), first["size"].alias("size"), first["mass"].alias("mass")).alias("open"),
-        F.array().cast("array<struct<unit:bigint,extra:int>>").alias("done"))
+        F.array().cast(DONE).alias("done"))
     return F.aggregate(F.slice(units, F.lit(2), F.greatest(F.size(units) - 1, F.lit(0))), start, lambda s, u: _pair(s, u, seed))
 
 
 def rounded(units: DataFrame, largest: int, seed: int = 0, block: int = BLOCK) -> DataFrame:
     """(source, unit, extra 0 or 1) from units (source, unit, size, mass), 0 < mass < size.
 
-    ``mass`` is the expected number of words beyond whole copies, ``largest`` the
-    number of units of the largest source. A tree of rounds: each deals a
-    source's open units by hash into blocks of about ``block``, pairs them off
-    there and hands one on per block. A source's words are kept to the last unit,
-    which is rounded to the nearer side; so a source is off its target by less
-    than one document. Rounds: the logarithm of ``largest`` to base ``block``.
+    ``mass`` is the expected number of words beyond whole copies, the same
+    fraction of the size for all units of a source; ``largest`` is the number
+    of units of the largest source. A tree of rounds: each deals a source's open
+    units by hash into blocks of about ``block``, pairs them off there from large
+    to small until one is open, mostly a small one, and hands that on. In the
+    first round a unit is paired with the rest of its block as a whole, later,
+    where fractions differ, with the next. A source's words are kept to the last
+    unit, which is rounded to the nearer side; so a source is off its target by
+    half of one document at most. Rounds: the logarithm of ``largest`` to base
+    ``block``.
     """
     decided, level, open_units = [], 0, units
     while True:
         blocks = max(1, -(-largest // block))
         dealt = open_units.withColumn("part", F.pmod(F.xxhash64("unit", F.lit(seed + level)), F.lit(blocks)).cast("int"))
         folded = dealt.groupBy("source", "part").agg(
-            F.sort_array(F.collect_list(F.struct("unit", "size", "mass"))).alias("units"))
-        folded = computed(folded, f=_fold(F.col("units"), seed)).select("source", "f")
+            F.sort_array(F.collect_list(F.struct("size", "unit", "mass")), asc=False).alias("units"))
+        fold = _fold if level else _deal
+        folded = computed(folded, f=fold(F.col("units"), seed + level)).select("source", "f")
         folded = materialize(folded, "pivotal-round")
         decided.append(folded.select("source", F.explode("f.done").alias("d")).select("source", "d.unit", "d.extra"))
         open_units = folded.select("source", "f.open.*")
@@ -154,7 +205,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     found = plan(docs, **settings).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    both = sized.join(found, sized["doc_id"].eqNullSafe(found["_id"]) & sized["source"].eqNullSafe(found["_source"]) & (sized["_words"] == found["_size"]))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
+        F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_source"), F.col("size").alias("_llm_size"), F.col("copies").alias("_llm_copies"))
+    sized = docs.withColumn("_llm_words", word_count(F.col("text")))
+    both = sized.join(found, sized["doc_id"].eqNullSafe(found["_llm_id"]) & sized["source"].eqNullSafe(found["_llm_source"]) & (sized["_llm_words"] == found["_llm_size"]))
+    return both.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_llm_copies"))).select(*docs.columns)

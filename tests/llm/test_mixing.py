@@ -61,17 +61,23 @@ def test_reruns_and_partitions_agree(docs_of, rng):
 
 def test_expectation(spark):
     """Over seeds, each document gets its fraction; whatever the seed, words are kept."""
-    units = [("s", i, float(10 + i % 7), (10 + i % 7) * (0.2 + 0.6 * (i % 5) / 5)) for i in range(150)]
+    shares = {"a": 0.2, "b": 0.32, "c": 0.44, "d": 0.56, "e": 0.7}
+    sizes = [10 + i % 7 if i % 10 else 300 for i in range(60)]
+    units = [(s, 1000 * n + i, float(size), share * size) for n, (s, share) in enumerate(shares.items()) for i, size in enumerate(sizes)]
     df = spark.createDataFrame(units, "source string, unit long, size double, mass double").cache()
-    hits = defaultdict(int)
-    for seed in range(12):
-        rows = mixing.rounded(df, 150, seed * 100, block=16).collect()
-        assert sorted(r.unit for r in rows) == list(range(150)) and {r.extra for r in rows} <= {0, 1}
-        assert abs(sum(units[r.unit][2] * r.extra for r in rows) - sum(u[3] for u in units)) <= 16
+    hits, big = defaultdict(int), defaultdict(int)
+    for seed in range(25):
+        rows = mixing.rounded(df, 60, seed * 100, block=16).collect()
+        assert sorted(r.unit for r in rows) == [u[1] for u in units] and {r.extra for r in rows} <= {0, 1}
+        words = defaultdict(float)
         for r in rows:
-            hits[round(units[r.unit][3] / units[r.unit][2], 3)] += r.extra
-    for share, n in hits.items():
-        assert n / (12 * 30) == pytest.approx(share, abs=0.11)
+            size = sizes[r.unit % 1000]
+            words[r.source] += size * r.extra
+            (big if size == 300 else hits)[r.source] += r.extra
+        for s, share in shares.items():
+            assert abs(words[s] - share * sum(sizes)) <= 150
+    for s, share in shares.items():
+        assert hits[s] / (25 * 54) == pytest.approx(share, abs=0.07) and big[s] / (25 * 6) == pytest.approx(share, abs=0.13)
 
 
 def test_rows_as_often_as_taken(docs_of, rng):
