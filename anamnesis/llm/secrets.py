@@ -1,5 +1,7 @@
 """Secret scans: strong patterns, and weak candidates that other parts of a credential bear out."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,8 +17,22 @@ SHORTEST_VALUE, SHORTEST_ACCESS = 8, 16
 #: Weak kinds, each one part of a credential; alone they are ordinary text.
 IDENTIFIER = r"""(?i:access_?key_?id|key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
 SECRET = r"""(?i:passphrase|credential|pwd|private_?key|auth_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}|(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"""
+LONG_RUN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}"
 ENDPOINT = r"""(?i:https?|jdbc:[a-z]{1,20}|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\x00-\x20"'<>]+|(?i:endpoint|hostname)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]{4,}|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9.])"""
 
+ADDRESS = r"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\."
+
+#: What a text must hold, in small letters, for a pattern to be tried on it at
+#: all; and the patterns of parts that have no such words.
+HINTS = {
+    "assign": ["passw", "secret", "token", "api_key", "apikey"],
+    "access": ["akia"],
+    "identifier": ["key_id", "keyid", "client_id", "clientid", "account_id", "accountid", "user_name", "username", "login"],
+    "secret": ["passphrase", "credential", "pwd", "private_key", "privatekey", "auth_key", "authkey"],
+    "endpoint": ["://", "endpoint", "hostname"],
+}
+BARE = {"hex": HEX, "secret": LONG_RUN, "endpoint": ADDRESS}
+
 KINDS = ["assign", "access", "hex", "identifier", "secret", "endpoint"]
 PATTERNS = dict(zip(KINDS, [ASSIGN, ACCESS, HEX, IDENTIFIER, SECRET, ENDPOINT]))
 STRONG = 3
@@ -34,11 +50,15 @@ def _matches(texts: DataFrame) -> DataFrame:
 
     Spark gives matches without places; the pieces between them, from the same
     leftmost search, give the places by their lengths. A text is cut only where
-    it has a match.
+    it has a match, and a pattern of many branches is tried only where the text
+    holds one of its words.
     """
+    texts = computed(texts, small=F.lower("text"))
     columns = {}
     for kind, pattern in PATTERNS.items():
-        has = F.col("text").rlike(pattern)
+        hints = [F.contains("small", F.lit(word)) for word in HINTS.get(kind, [])]
+        hints += [F.col("text").rlike(BARE[kind])] if kind in BARE else []
+        has = reduce(Column.__or__, hints) & F.col("text").rlike(pattern)
         columns[f"m_{kind}"] = F.when(has, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
         columns[f"g_{kind}"] = F.when(has, F.split("text", pattern, -1)).otherwise(F.array().cast("array<string>"))
     return computed(texts, **columns)
@@ -158,15 +178,15 @@ def redacted(docs: DataFrame, mark: str = "[REDACTED]", reach: int = 400) -> Dat
     order = Window.partitionBy("doc_id", "text_hash", "text_length").orderBy("s.at", "s.upto").rowsBetween(Window.unboundedPreceding, -1)
     cuts = found.select("doc_id", "text_hash", "text_length", F.explode("spans").alias("s")).withColumn("past", F.max("s.upto").over(order))
     cuts = cuts.groupBy("doc_id", "text_hash", "text_length").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("s.at").alias("at"), F.col("s.upto").alias("upto"), F.coalesce("past", F.lit(0).cast("long")).alias("past")))).alias("_cuts"),
-        F.max("s.upto").alias("_end"))
-    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("text_length").alias("_length"), "_cuts", "_end")
-    keyed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = keyed.join(cuts, keyed["doc_id"].eqNullSafe(cuts["_id"]) & (keyed["_text_hash"] == cuts["_hash"]) & (F.length(keyed["text"]) == cuts["_length"]), "left")
+        F.sort_array(F.collect_list(F.struct(F.col("s.at").alias("at"), F.col("s.upto").alias("upto"), F.coalesce("past", F.lit(0).cast("long")).alias("past")))).alias("_llm_cuts"),
+        F.max("s.upto").alias("_llm_end"))
+    cuts = cuts.select(F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_hash"), F.col("text_length").alias("_llm_length"), "_llm_cuts", "_llm_end")
+    keyed = docs.withColumn("_llm_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    both = keyed.join(cuts, keyed["doc_id"].eqNullSafe(cuts["_llm_id"]) & (keyed["_llm_text_hash"] == cuts["_llm_hash"]) & (F.length(keyed["text"]) == cuts["_llm_length"]), "left")
     data = both["text"].cast("binary")
     piece = lambda at, n: F.substring(data, (at + 1).cast("int"), n.cast("int")).cast("string")
-    pieces = F.transform("_cuts", lambda c: F.when((c.at > c.past) | (c.at == 0), F.concat(
+    pieces = F.transform("_llm_cuts", lambda c: F.when((c.at > c.past) | (c.at == 0), F.concat(
         F.when(c.at > c.past, piece(c.past, c.at - c.past)).otherwise(F.lit("")), F.lit(mark))).otherwise(F.lit("")))
-    text = F.when(both["_cuts"].isNull(), both["text"]).otherwise(
-        F.concat(F.array_join(pieces, ""), F.coalesce(piece(F.col("_end"), F.octet_length(both["text"]) - F.col("_end")), F.lit(""))))
+    text = F.when(both["_llm_cuts"].isNull(), both["text"]).otherwise(
+        F.concat(F.array_join(pieces, ""), F.coalesce(piece(F.col("_llm_end"), F.octet_length(both["text"]) - F.col("_llm_end")), F.lit(""))))
     return both.withColumn("text", text).select(*docs.columns)
