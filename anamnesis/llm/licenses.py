@@ -3,6 +3,7 @@
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,23 +95,26 @@ class Index:
             for position, word in enumerate(template.words):
                 self.postings.setdefault(word, []).append((number, position))
 
+    def enough(self, number: int) -> int:
+        """How many words to look up: more than may miss at an alignment of ``least`` share, so that one of them hits."""
+        size = len(self.known[number].words)
+        return max(self.rare_words, size - ceil(self.least * size) + 1)
+
     def match(self, words: list[bytes], spaced: bytes) -> dict[str, float]:
         """Label -> share of the template's words that stand at one alignment, for those verified."""
         present = self.vocabulary.intersection(words)
         possible = {i for i, t in enumerate(self.known) if t.required_words <= present and all(p in spaced for p in t.required)}
         if not possible:
             return {}
-        # The rarest words of this text that a possible template has, each looked up in the index.
-        wanted = {w for w in present if any(i in possible for i, _ in self.postings[w])}
-        rare = set(sorted(wanted, key=self.order.__getitem__)[:self.rare_words])
-        hits = Counter()
-        for at, word in enumerate(words):
-            if word in rare:
-                for number, position in self.postings[word]:
-                    if number in possible:
-                        hits[number, at - position] += 1
+        # The rarest words of this text that each possible template has, looked up in the index.
+        rare: dict[bytes, list[tuple[int, int]]] = {}
+        for number in possible:
+            wanted = sorted(present.intersection(self.known[number].words), key=self.order.__getitem__)
+            for word in wanted[:self.enough(number)]:
+                rare.setdefault(word, []).extend(p for p in self.postings[word] if p[0] == number)
+        hits = {(number, at - position) for at, word in enumerate(words) if word in rare for number, position in rare[word]}
         best: dict[str, float] = {}
-        for (number, shift), _ in hits.items():
+        for number, shift in hits:
             template = self.known[number].words
             same = sum(0 <= shift + i < len(words) and words[shift + i] == w for i, w in enumerate(template))
             share = same / len(template)
@@ -141,10 +145,11 @@ def scan(docs: DataFrame, rare_words: int = 8, least: float = 0.75) -> DataFrame
     share of a template's words (0 without one, 1 where a phrase alone stands).
 
     A first pass counts in how many documents each word of the templates stands;
-    its result has as many rows as the templates have words. The second looks
-    up each text's ``rare_words`` rarest of them, intersects their postings by
-    relative position, keeps alignments of ``least`` share, and verifies the
-    template's mandatory phrases. Null and empty texts have no words; repeated
+    its result has as many rows as the templates have words. The second verifies
+    a template's mandatory phrases, looks up at least ``rare_words`` of the
+    text's rarest words for each template that has them all, takes their relative
+    positions, and keeps alignments of ``least`` share; so a text may hold any
+    number of notices. Null and empty texts have no words; repeated
     rows stay; other columns are ignored; an empty table gives no rows.
     """
     known = templates()

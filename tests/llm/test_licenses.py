@@ -1,5 +1,6 @@
 """License scans against a plain reading of every place."""
 
+import math
 import random
 import re
 
@@ -47,6 +48,35 @@ def test_notices_without_their_names(docs_of):
     assert got[7].labels == "gpl"
 
 
+def test_several_full_notices_in_one_text(docs_of):
+    """Whichever notice has the rarest words, the others keep their labels."""
+    notices = {"mit": MIT, "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+               "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "cc-by-nc": "Licensed under CC BY-NC 4.0.",
+               "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License."}
+    whole = "\n\n".join(notices.values())
+    for rarest in notices:
+        others = "\n".join(text for label, text in notices.items() if label != rarest)
+        rows = [(0, whole), *((i, others) for i in range(1, 4))]
+        got = {r.doc_id: r for r in licenses.scan(docs_of(rows)).collect()}
+        assert got[0].labels == ",".join(sorted(notices)) and got[0].score == 1
+        assert got[1].labels == ",".join(sorted(set(notices) - {rarest}))
+
+
+def test_every_alignment_of_enough_words_is_found(docs_of):
+    """The words that miss in a notice stand elsewhere in the text, and few are looked up."""
+    rng = random.Random(9)
+    known = licenses.templates()
+    for _ in range(300):
+        template = rng.choice(known)
+        size = len(template.words)
+        index = licenses.Index(known, {w: rng.randrange(9) for w in licenses.license_words(known)}, 1, 0.75)
+        missing = set(rng.sample(range(size), size - math.ceil(0.75 * size)))
+        words = [b"x" if i in missing else w for i, w in enumerate(template.words)]
+        words += [b"y", *template.words[::-1]]
+        words += [w for p in template.required for w in (b"y", *p.split())]
+        assert template.label in index.match(words, b" " + b" ".join(words) + b" ")
+
+
 def test_counts_cover_all_documents(docs_of):
     rows = [(i, "license license of") for i in range(30)] + [(99, None)]
     got = {r.word: r.n for r in licenses.document_counts(docs_of(rows), frozenset([b"license", b"of", b"mit"])).collect()}
