@@ -142,19 +142,20 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame) -> DataFrame:
-    """From rows (doc_id, fp): one row per fingerprint with ``component_id``.
+    """From rows (doc_id, fp): one row per fingerprint with ``component_id`` and ``root``.
 
-    That is the smallest doc_id of all documents reachable over links of 3 or
-    fewer bits. Null doc_ids count only where there is no other; equal
-    fingerprints are one node, so a group of exact copies is one row from the
-    first shuffle on.
+    The first is the smallest doc_id of all documents reachable over links of 3 or
+    fewer bits. Null doc_ids count only where there is no other, and groups of
+    repeated or null doc_ids may share it; ``root``, the smallest fingerprint
+    reachable, tells them apart. Equal fingerprints are one node, so a group of
+    exact copies is one row from the first shuffle on.
     """
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = materialize(components(links(nodes.select("fp"))), "roots")
     named = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.join(smallest, "root").select("fp", "component_id")
+    return named.join(smallest, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -176,7 +177,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
     named = docs.withColumn("_llm_row", F.xxhash64(*(docs[name] for name in hashable)))
     prints = materialize(fingerprints(named, shingle, ["doc_id", "_llm_row"]), "doc-fingerprints")
     grouped = prints.join(groups(prints), "fp")
-    kept = grouped.groupBy("component_id").agg(
+    kept = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_llm_row")).alias("kept"))
     kept = kept.select(F.col("kept.doc_id").alias("_llm_id"), F.col("kept._llm_row").alias("_llm_kept"))
     found = named.join(kept, (named["_llm_row"] == kept["_llm_kept"]) & named["doc_id"].eqNullSafe(kept["_llm_id"]), "left_semi")

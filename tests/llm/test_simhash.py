@@ -110,6 +110,19 @@ def test_documents_with_odd_rows(docs_of, rng):
     assert sorted((r.doc_id is None, r.doc_id) for r in left if r.doc_id) == sorted((False, g) for g in set(groups.values()) if g)
 
 
+def test_one_row_stays_of_each_group_of_fingerprints(docs_of):
+    """Unrelated texts stay whatever their doc_ids: null, repeated, or both."""
+    alone = [(None, f"text number{i} stands alone{i} here{i}") for i in range(6)] + [(7, "x"), (7, "y z"), (7, "one more thing")]
+    copies = [(None, "a copy without a name"), (4, "a copy without a name"), (None, "all copies unnamed"), (None, "all copies unnamed")]
+    rows = alone + copies + [(None, None), (8, "")]
+    fps = sorted({slow_print(t) for _, t in rows})
+    linked = slow_groups([(n, fp) for n, fp in enumerate(fps)])
+    assert len(set(linked.values())) == len(fps) == 12
+    left = simhash.one_of_each(docs_of(rows)).collect()
+    want = [*alone, (4, "a copy without a name"), (None, "all copies unnamed"), (8, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left))) == sorted(map(str, want))
+
+
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.one_of_each(docs_of([])).count() == 0
