@@ -14,10 +14,11 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 SHORTEST_VALUE, SHORTEST_ACCESS = 8, 16
 
-#: Weak kinds, each one part of a credential; alone they are ordinary text.
+#: Weak kinds, each one part of a credential; alone they are ordinary text. An access key that is
+#: an identifier (AKIA) is no secret part, or it would bear itself out.
 IDENTIFIER = r"""(?i:access_?key_?id|key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
-SECRET = r"""(?i:passphrase|credential|pwd|private_?key|auth_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}|(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"""
-LONG_RUN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}"
+SECRET = r"""(?i:passphrase|credential|pwd|private_?key|auth_?key|secret_?(?:access_?)?key|access_?key(?!["']?\x20*[:=]\x20*["']?(?-i:AKIA[A-Z0-9]{12})))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,}|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"""
+LONG_RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}"
 ENDPOINT = r"""(?i:https?|jdbc:[a-z]{1,20}|postgres|postgresql|mysql|mongodb|redis|amqp|s3)://[^\x00-\x20"'<>]+|(?i:endpoint|hostname)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.:/-]{4,}|(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9.])"""
 
 ADDRESS = r"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\."
@@ -28,7 +29,8 @@ HINTS = {
     "assign": ["passw", "secret", "token", "api_key", "apikey"],
     "access": ["akia"],
     "identifier": ["key_id", "keyid", "client_id", "clientid", "account_id", "accountid", "user_name", "username", "login"],
-    "secret": ["passphrase", "credential", "pwd", "private_key", "privatekey", "auth_key", "authkey"],
+    "secret": ["passphrase", "credential", "pwd", "private_key", "privatekey", "auth_key", "authkey",
+               "secret_key", "secretkey", "access_key", "accesskey"],
     "endpoint": ["://", "endpoint", "hostname"],
 }
 BARE = {"hex": HEX, "secret": LONG_RUN, "endpoint": ADDRESS}
