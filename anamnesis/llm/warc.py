@@ -26,13 +26,14 @@ LEVEL = 3
 def chunk_rows(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``pages`` (with binary ``payload``) as rows (record columns, chunk_no, n_chunks, data), in order.
 
-    An empty payload is one empty chunk. ``data`` is cut from the payload row by
-    row, so a record's chunks follow each other in one partition.
+    An empty payload is one empty chunk. The numbers of the chunks are spread out
+    and each row's ``data`` is cut from the payload by itself, so a record's chunks
+    follow each other in one partition and never stand in one array.
     """
-    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length("payload") / chunk).cast("int") - 1, F.lit(0)))
-    cut = F.transform(numbers, lambda i: F.substring(F.col("payload"), i * chunk + 1, F.lit(chunk)))
+    n_chunks = F.greatest(F.ceil(F.octet_length("payload") / chunk).cast("int"), F.lit(1))
     others = [c for c in pages.columns if c != "payload"]
-    return pages.select(*others, cut.alias("cut")).select(*others, F.size("cut").alias("n_chunks"), F.posexplode("cut").alias("chunk_no", "data"))
+    spread = pages.select(*others, "payload", n_chunks.alias("n_chunks"), F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("chunk_no"))
+    return spread.select(*others, "n_chunks", "chunk_no", F.substring(F.col("payload"), F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"))
 
 
 def plan(pages: DataFrame, least: int = LEAST) -> DataFrame:

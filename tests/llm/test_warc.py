@@ -86,5 +86,20 @@ def test_a_changed_archive_is_refused(spark):
         warc.read(manifest).collect()
 
 
+def test_chunks_never_stand_in_one_array(spark):
+    texts = ["", "a", "b" * 63, "c" * 64, "d" * 65, "e" * 1000, None]
+    pages = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "page_id long, text string").selectExpr("page_id", "cast(text as binary) payload")
+    chunks = warc.chunk_rows(pages, 64)
+    optimized = chunks._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in optimized and "posexplode" not in optimized
+    got = {}
+    for r in chunks.collect():
+        got.setdefault(r.page_id, []).append((r.n_chunks, r.chunk_no, None if r.data is None else bytes(r.data)))
+    for i, text in enumerate(texts):
+        data = None if text is None else text.encode()
+        cut = [data] if not data else [data[at:at + 64] for at in range(0, len(data), 64)]
+        assert got[i] == [(len(cut), n, part) for n, part in enumerate(cut)]
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark, pages_of(spark, [])).count() == 0
