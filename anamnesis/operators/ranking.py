@@ -17,12 +17,20 @@ def shuffle_key(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """As ``left.join(right, on)``, but null equals null."""
+    named = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    both = left.join(named, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return both.select(*on, *(c for c in (*left.columns, *right.columns) if c not in on))
+
+
 def class_positions(
     df: DataFrame, label: str, key: str, seed: int = SEED, digits: int = BUCKET_DIGITS,
     per_class: DataFrame | None = None,
 ) -> DataFrame:
     """Adds 0-based ``position`` (all rows, class by class), ``class_position``,
-    ``class_size`` and ``n_rows``. ``key`` must be unique.
+    ``class_size`` and ``n_rows``. ``key`` must be unique. A null label is a class
+    like others, the first; a null key comes first in its class.
 
     Columns of ``per_class`` ride along on the bucket counts, so that they need
     no join of their own on the class, where one key may hold most rows.
@@ -44,12 +52,12 @@ def class_positions(
         )
     )
     if per_class is not None:
-        offsets = offsets.join(per_class, label)
+        offsets = _join_null_safe(offsets, per_class, [label])
     in_bucket = Window.partitionBy(label, "_bucket").orderBy("_mix", key)
     ranked = keyed.withColumn("_rn", F.row_number().over(in_bucket))
     position = F.col("_before") + F.col("_rn") - 1
     return (
-        ranked.join(offsets, [label, "_bucket"])
+        _join_null_safe(ranked, offsets, [label, "_bucket"])
         .withColumn("position", position)
         .withColumn("class_position", F.col("position") - F.col("_class_start"))
         .drop("_mix", "_bucket", "_rn", "_before", "_class_start")

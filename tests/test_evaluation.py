@@ -107,3 +107,14 @@ def test_quality_report(spark):
     df = spark.createDataFrame([(9, 101.0, "x"), (None, 5.0, "M")], "nivel_triaje int, score_urgencia double, sexo string")
     got = {r["columna"]: (r["n_null"], r["n_violations"]) for r in ev.quality_report(df).collect()}
     assert got == {"nivel_triaje": (1, 1), "score_urgencia": (0, 1), "sexo": (0, 1)}
+
+
+def test_null_labels_and_keys_are_kept(spark):
+    rows = [(f"k{i}", i % 3 if i % 4 else None) for i in range(60)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "guid string, y int")
+    placed = class_positions(df, "y", "guid").collect()
+    assert sorted(r.position for r in placed) == list(range(61))
+    assert sorted(r.class_position for r in placed if r.y is None) == list(range(15))
+    for got in (stratified_folds(df, "y", "guid"), stratified_split(df, "y", "guid")):
+        assert got.columns[0] == "y" and sorted(map(str, ((r.guid, r.y) for r in got.collect()))) == sorted(map(str, rows))
+    assert stratified_split(df, "y", "guid").where("is_test and y is null").count() > 0
