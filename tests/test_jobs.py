@@ -182,3 +182,29 @@ def test_empty_sources(spark, tmp_path):
         learn.require_model(empty)
     document = report.metrics_document(empty).first()
     assert document["textos"]["total"] == 0 and document["throughput_batch"]["duracion_s"] is None
+
+
+def test_the_end_to_end_query_fits_what_the_jobs_fit(monkeypatch):
+    """The query hands no smaller forest to the jobs than their default."""
+    from types import SimpleNamespace
+
+    from anamnesis.plans import learn as plan
+    from workload import jobs
+
+    class Ended(Exception):
+        pass
+
+    given = []
+
+    def evaluated(*_, **settings):
+        given.append(settings)
+        raise Ended
+
+    monkeypatch.setattr(jobs, "store_of", lambda t: None)
+    monkeypatch.setattr(jobs.enrich, "enrich_given", lambda *_: None)
+    monkeypatch.setattr(plan, "build_dataset", lambda *_: None)
+    monkeypatch.setattr(plan, "train", lambda *_, **settings: given.append(settings))
+    monkeypatch.setattr(plan, "evaluate", evaluated)
+    with pytest.raises(Ended):
+        jobs.jobs_end_to_end(SimpleNamespace(planted=SimpleNamespace(select=lambda *_: None)))
+    assert given == [{}, {}]

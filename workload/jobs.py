@@ -34,8 +34,8 @@ def jobs_end_to_end(t):
     store = store_of(t)
     enrich.enrich_given(store, t.planted.select("guid", "texto"))
     learn.build_dataset(store)
-    summary = learn.train(store, trees=10)
-    learn.evaluate(store, trees=10)
+    summary = learn.train(store)
+    learn.evaluate(store)
     asked = t.planted.select(F.lit(None).cast("string").alias("filename"), F.lit(None).cast("binary").alias("contenido"), "texto")
     score.score(store, asked)
     states = report.metrics_document(store).select(F.explode("textos.por_estado").alias("estado", "n"))
