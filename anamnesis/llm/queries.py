@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, classifier, licenses, mixing, quality, secrets, simhash, topk, warc
+from . import bpe, chat, classifier, licenses, mixing, quality, runs, secrets, simhash, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ordinal_quality")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_grammar_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(table(spark, sf_dir, "documents"), repeats=True)
