@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, classifier, licenses, lines, mixing, quality, runs, secrets, simhash, topk, warc
+from . import bpe, chat, classifier, lexical, licenses, lines, mixing, quality, runs, secrets, simhash, topk, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_line_dedup", lines.sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digests(table(spark, sf_dir, "documents"), least_documents=10, least_chars=1)
+
+
+@query("op12_dual_tree_search", lexical.sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)

@@ -74,4 +74,4 @@ def test_odd_tables(spark, docs_of):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
