@@ -25,7 +25,7 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, least_chars: int = 1) -> DataFrame:
-    """(h, g, doc_id, text_hash, row, position, is_first) of every line with a key of ``least_chars`` or more.
+    """(block, h, g, doc_id, text_hash, row, position, is_first) of every line with a key of ``least_chars`` or more.
 
     No text goes on from here, only hashes of keys, dealt into ranges of hashes and
     sorted there by document and position. So the lines of one key stream by in
@@ -45,13 +45,18 @@ def occurrences(docs: DataFrame, least_chars: int = 1) -> DataFrame:
     dealt = rows.repartitionByRange(partitions(docs.sparkSession), *within)
     # The ranges already hold a document's lines of one key together: this window sorts, and shuffles nothing.
     number = F.row_number().over(Window.partitionBy(*within).orderBy("position"))
-    return dealt.withColumn("is_first", number == 1)
+    return dealt.withColumn("is_first", number == 1).withColumn("block", F.spark_partition_id())
 
 
 def shared_keys(found: DataFrame, least_documents: int = 10) -> DataFrame:
-    """(h, g, n_documents) of the keys that stand in ``least_documents`` or more; counted before the shuffle."""
-    counts = found.groupBy(*KEY).agg(F.sum(F.col("is_first").cast("long")).alias("n_documents"))
-    return counts.where(F.col("n_documents") >= least_documents)
+    """(block, h, g) of the keys that stand in ``least_documents`` or more, for every block that holds them.
+
+    Documents are counted before the shuffle. As blocks are ranges of keys, a key
+    stands in all blocks from its first to its last.
+    """
+    counts = found.groupBy(*KEY).agg(
+        F.sum(F.col("is_first").cast("long")).alias("n_documents"), F.min("block").alias("low"), F.max("block").alias("high"))
+    return counts.where(F.col("n_documents") >= least_documents).select(F.explode(F.sequence("low", "high")).alias("block"), *KEY)
 
 
 def bitmaps(docs: DataFrame, least_documents: int = 10, least_chars: int = 1) -> DataFrame:
@@ -62,7 +67,8 @@ def bitmaps(docs: DataFrame, least_documents: int = 10, least_chars: int = 1) ->
     without a row keeps every line.
     """
     found = materialize(occurrences(docs, least_chars), "line-occurrences")
-    gone = found.join(shared_keys(found, least_documents), KEY, "left_semi")
+    # By block and key, so that a key with many lines is parted here as well.
+    gone = found.join(shared_keys(found, least_documents), ["block", *KEY], "left_semi")
     # Rows equal in id and text have the same lines: one bitmap serves them all.
     dropped = gone.groupBy(*DOCUMENT).agg(F.sort_array(F.collect_set("position")).alias("at"))
     heads = F.filter("at", lambda x, i: ~(F.get("at", i - 1) + 1).eqNullSafe(x))
