@@ -91,12 +91,13 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, scale: int = SCALE,
     into shards and queries into blocks; every block meets every shard once, as
     one group of bounded size, and gives k rows a query. Shards are merged by
     rank. Rows of the query's own vec_id are no candidates; ties go to the
-    smaller vec_id; repeated rows are candidates each, and a query repeated is
-    answered once; shorter vectors are filled with zeros; null ids take no
+    smaller vec_id; repeated rows are candidates each. Equal query rows are answered
+    once; unlike vectors under one vec_id are queries each, so that query_id has a
+    list, ranked from 1, for every one of them. Shorter vectors are filled with zeros; null ids take no
     part; extra columns are ignored; no vectors give no rows.
     """
     found = materialize(terms(vectors, scale).where("vec_id is not null"), "terms")
-    asked = materialize(found.where(queries).distinct(), "queries")
+    asked = materialize(found.where(queries).distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     n_shards = max(1, -(-found.count() // shard))
     n_blocks = max(1, -(-asked.count() // block))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -105,18 +106,19 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, scale: int = SCALE,
     left = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "terms"), F.lit(n_blocks)).cast("int")).withColumn("shard", every(n_shards))
 
     def meet(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query": [], "query_id": [], "vec_id": [], "score": []}
         if len(asked) and len(there):
-            query_ids, ids = asked["vec_id"].to_numpy(), there["vec_id"].to_numpy()
+            numbers, query_ids, ids = asked["query"].to_numpy(), asked["vec_id"].to_numpy(), there["vec_id"].to_numpy()
             for q, chosen, scores in max_score(_matrix(asked["terms"]), query_ids, _matrix(there["terms"]), ids, k):
+                out["query"].append(np.full(len(chosen), numbers[q]))
                 out["query_id"].append(np.full(len(chosen), query_ids[q]))
                 out["vec_id"].append(ids[chosen])
                 out["score"].append(scores.astype(np.int64))
         return pd.DataFrame({name: np.concatenate(parts) if parts else np.array([], np.int64) for name, parts in out.items()})
 
     keys = ["block", "shard"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -52,6 +52,15 @@ def test_few_and_repeated_rows(spark):
     assert topk.search(frame(spark, rows[:1]), F.col("vec_id") == 0, 5).count() == 0
 
 
+def test_unlike_vectors_under_one_id_have_a_list_each(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), *((i, [0.1 * i, 1 - 0.1 * i]) for i in range(1, 10))]
+    got = topk.search(frame(spark, rows), F.col("vec_id") == 50, 5).collect()
+    want = []
+    for query in ([1.0, 0.0], [0.0, 1.0]):
+        want += plain([(50, query), *rows[3:]], 50, 5)
+    assert sorted(map(tuple, got)) == sorted(want) and len(got) == 10
+
+
 def test_pruning_keeps_the_best():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 32)) * np.geomspace(100, 1, 32)
