@@ -12,10 +12,14 @@ def frame(spark, rows):
 
 def plain(rows):
     clean = lambda x: (x or "").replace("<|", "< |").replace("|>", "| >")
+    looks = lambda r: re.sub(r"[\x00-\x20\x7f]+", "_", r.replace("<|", "< |")) if r and r.strip(" ") else "unknown"
+    roles = {}
+    for c, _, r, _ in rows:
+        roles.setdefault((c, looks(r)), set()).add(r)
     convs = {}
     for c, t, r, x in rows:
-        name = re.sub(r"[\x00-\x20\x7f]+", "_", r.replace("<|", "< |")) if r and r.strip(" ") else "unknown"
-        convs.setdefault(c, []).append((t, name, clean(x)))
+        before = sorted(roles[c, looks(r)], key=lambda r: (r is not None, r or "")).index(r)
+        convs.setdefault(c, []).append((t, looks(r) + (f" ({before + 1})" if before else ""), clean(x)))
     out = {}
     for c, turns in convs.items():
         for me in {s for _, s, _ in turns} - set(chat.SCENE):
@@ -55,6 +59,28 @@ def test_perspectives(spark):
     assert got[100, "user"][0].startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end| ><|im_end|>\n")
 
 
+def test_roles_that_look_alike_stay_apart(spark):
+    rows = [(1, 0, "a b", "one"), (1, 1, "a_b", "two"), (1, 2, None, "three"), (1, 3, "unknown", "four"), (1, 4, "", "five"), (1, 5, "a b", "six"), (2, 0, "a_b", "x")]
+    got = rendered(chat.perspectives(frame(spark, rows)))
+    assert got == plain(rows)
+    assert sorted(p for c, p in got if c == 1) == ["a_b", "a_b (2)", "unknown", "unknown (2)", "unknown (3)"]
+    assert all(len(mask) == (2 if p == "a_b" else 1) for (c, p), (_, mask) in got.items() if c == 1)
+
+
+def test_training_rows(spark):
+    rows = [(1, t, "ab"[t % 2], f"turn {t} " * 5) for t in range(30)] + [(2, 0, "a", "é" * 700_000), (2, 1, "b", None)]
+    whole = plain(rows)
+    for most in (1 << 20, 500):
+        parts = sorted(chat.training_rows(frame(spark, rows), most).collect(), key=lambda r: (r.conv_id, r.perspective, r.part))
+        out = {}
+        for r in parts:
+            text, masks = out.setdefault((r.conv_id, r.perspective), ["", []])
+            masks += [(len(text) + m.start, len(text) + m.stop) for m in r.masks]
+            out[r.conv_id, r.perspective][0] = text + r.text
+        assert {k: (t, m) for k, (t, m) in out.items()} == whole
+        assert len(parts) == 4 if most > 500 else len(parts) > 8
+
+
 def test_ties_and_repeated_rows(spark):
     rows = [(1, 0, "a", "x")] * 400 + [(1, 0, "b", "z")] * 3
     got = rendered(chat.perspectives(frame(spark, rows)))
