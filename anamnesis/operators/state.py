@@ -27,6 +27,14 @@ CASE_LOG = T.StructType([
     *[T.StructField(name, T.TimestampType()) for name in PHASE_TIMES],
 ])
 
+#: What a case has, and the snapshot's row of a case: each value with the (ts, seq) that set it.
+CASE_VALUES = ["estado", *CASE_ATTRIBUTES, *PHASE_TIMES]
+VERSION = T.StructType([CASE_LOG["ts"], CASE_LOG["seq"]])
+CASE_SNAPSHOT = T.StructType([
+    CASE_LOG["guid"],
+    *[kind for name in CASE_VALUES for kind in (CASE_LOG[name], T.StructField(f"{name}_version", VERSION))],
+])
+
 
 def newest(value: str, order: list[str]) -> Column:
     """The latest set value of a column; usable in any aggregation."""
@@ -44,6 +52,44 @@ def current_cases(log: DataFrame, columns: list[str] | None = None) -> DataFrame
     )
 
 
+def _versioned(log: DataFrame, names: list[str]) -> DataFrame:
+    """Log rows in the shape of a snapshot."""
+    at = F.struct("ts", "seq")
+    return log.select("guid", *[
+        column for name in names
+        for column in (F.col(name), F.when(F.col(name).isNotNull(), at).alias(f"{name}_version"))])
+
+
+def compacted_cases(snapshot: DataFrame | None, tail: DataFrame) -> DataFrame:
+    """The next snapshot: a row per case with each newest value and its version.
+
+    Versions make a later merge exact, also for rows that arrive late.
+    """
+    rows = _versioned(tail, CASE_VALUES)
+    rows = rows if snapshot is None else snapshot.unionByName(rows)
+    return rows.groupBy("guid").agg(*[
+        column for name in CASE_VALUES
+        for column in (F.max_by(name, f"{name}_version").alias(name), F.max(f"{name}_version").alias(f"{name}_version"))])
+
+
+def merged_cases(snapshot: DataFrame | None, tail: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """What ``current_cases`` gives for the whole log, from a snapshot and the log since.
+
+    Cases that the tail does not touch pass as they are: where its ids are few
+    enough to be broadcast, the snapshot is scanned and never shuffled.
+    """
+    if snapshot is None:
+        return current_cases(tail, columns)
+    names = ["estado", *(CASE_ATTRIBUTES + PHASE_TIMES if columns is None else columns)]
+    versions = [f"{name}_version" for name in names]
+    touched = tail.select("guid").distinct()
+    still = snapshot.select("guid", *names).join(touched, "guid", "left_anti")
+    moved = snapshot.select("guid", *names, *versions).join(touched, "guid", "left_semi")
+    moved = moved.unionByName(_versioned(tail, names)).groupBy("guid").agg(*[
+        F.max_by(name, version).alias(name) for name, version in zip(names, versions)])
+    return still.unionByName(moved)
+
+
 def transition(
     guids: DataFrame, state: str | None, at: datetime, seq: int, **changes
 ) -> DataFrame:
@@ -128,12 +174,13 @@ def replace_children(old: DataFrame, new: DataFrame, parents: DataFrame, key: st
     return kept.unionByName(new)
 
 
-def current_entities(entities: DataFrame, annotations: DataFrame) -> DataFrame:
+def current_entities(entities: DataFrame, annotations: DataFrame, versions: bool = False) -> DataFrame:
     """Children written with the newest annotation of their case. A case that
     was annotated again without findings loses its old ones."""
     newest_run = annotations.groupBy("guid").agg(F.max(F.struct("ts", "seq")).alias("_run"))
     runs = newest_run.select("guid", F.col("_run.ts").alias("ts"), F.col("_run.seq").alias("seq"))
-    return entities.join(runs, ["guid", "ts", "seq"]).drop("ts", "seq")
+    found = entities.join(runs, ["guid", "ts", "seq"])
+    return found if versions else found.drop("ts", "seq")
 
 
 def orphans(children: DataFrame, cases: DataFrame, key: str = "guid") -> DataFrame:

@@ -48,13 +48,11 @@ def enrich_texts(
     ).select("guid", "error", "urgencia_ausente", *REPLY_FIELDS)
 
 
-def store_enriched(store: Store, enriched: DataFrame, started: datetime) -> None:
-    """Appends findings, entities and transitions of one enriched batch."""
+def enriched_tables(enriched: DataFrame, started: datetime) -> dict[str, DataFrame]:
+    """Findings, entities and transitions of one enriched batch, by table."""
     ended = datetime.now(timezone.utc)
     good, bad = enriched.where("error IS NULL"), enriched.where("error IS NOT NULL")
     stamped = {"ts": F.lit(ended), "seq": F.lit(4).cast("long")}
-    store.append("annotations", good.withColumns({**stamped, "timestamp_pred": F.lit(ended)}))
-    store.append("entities", entity_rows(good).withColumns(stamped))
     steps = enriched.select("guid")
     log = transition(steps, PREPROCESSING, started, 1, inicio_preprocesamiento=started)
     log = log.unionByName(transition(steps, PREPROCESSED, started, 2, fin_preprocesamiento=started))
@@ -65,7 +63,10 @@ def store_enriched(store: Store, enriched: DataFrame, started: datetime) -> None
         good, ENRICHED, ended, 4, fin_extraccion_entidades=ended, **done
     ))
     log = log.unionByName(transition(bad, ERROR_ENRICHMENT, ended, 4))
-    store.append("case_log", log)
+    return {
+        "annotations": good.withColumns({**stamped, "timestamp_pred": F.lit(ended)}),
+        "entities": entity_rows(good).withColumns(stamped), "case_log": log,
+    }
 
 
 def enrich_pending(
@@ -75,7 +76,8 @@ def enrich_pending(
     """Enriches new and failed cases; failed ones stay pending for the next
     run. ``limit`` is the size of a batch, 0 for all. Returns the report.
 
-    Whatever succeeded is stored first; with ``strict`` the job then fails if
+    Findings, entities and transitions enter the store as one batch, so no reader
+    sees results of a case that is still pending. Whatever succeeded is stored first; with ``strict`` the job then fails if
     any case did.
     """
     started = datetime.now(timezone.utc)
@@ -84,7 +86,7 @@ def enrich_pending(
     ), limit)
     texts = texts_of(materialize(waiting, "pending"), store.read("transcripts"))
     enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
-    store_enriched(store, enriched, started)
+    store.write(enriched_tables(enriched, started))
     report = batch_report(enriched.select(
         F.when(F.col("error").isNull(), "ok").otherwise("error").alias("outcome")
     ))
@@ -99,7 +101,8 @@ def enrich_given(
 ) -> DataFrame:
     """Enriches given (guid, texto) rows; unknown ids become cases first."""
     started = datetime.now(timezone.utc)
-    store.append("case_log", missing_cases(texts, store.cases([]), started))
+    fresh = materialize(missing_cases(texts, store.cases([]), started), "new-cases")
     enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
-    store_enriched(store, enriched, started)
+    tables = enriched_tables(enriched, started)
+    store.write({**tables, "case_log": fresh.unionByName(tables["case_log"])})
     return enriched

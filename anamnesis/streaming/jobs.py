@@ -1,25 +1,29 @@
 """The streams themselves: plain DataFrame transformations."""
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.encoding import seconds_between
 from ..functions.text import strip
 from ..operators.annotate import rule_fields
+from ..operators.models import Model
 from ..plans.enrich import preprocess
 from ..plans.score import response_rows, score_enriched
 
 ARRIVAL_SALTS = 32
 
 
-def score_stream(texts: DataFrame, model: PipelineModel) -> DataFrame:
+def text_error(text: Column) -> Column:
+    """Why a text cannot be scored; null if it can."""
+    return F.when(text.isNull(), "missing").when(F.length(strip(text)) == 0, "blank")
+
+
+def score_stream(texts: DataFrame, model: Model) -> DataFrame:
     """Arriving (guid, filename, texto) rows to response rows; no state.
 
     A missing or blank text is refused: ``entrada_error`` tells which, and all
     else of its row is null. It is null for texts that were scored.
     """
-    error = F.when(F.col("texto").isNull(), "missing").when(F.length(strip(F.col("texto"))) == 0, "blank")
-    checked = texts.withColumn("entrada_error", error)
+    checked = texts.withColumn("entrada_error", text_error(F.col("texto")))
     prepared = preprocess(checked).select("guid", "filename", "texto_anotable", "texto_completo", "entrada_error")
     scored = score_enriched(rule_fields(prepared, "texto_anotable", "texto_completo"), model)
     rows = response_rows(scored, "entrada_error")

@@ -1,8 +1,18 @@
-"""Running a stream to a folder, and reading back what it said last."""
+"""Running a stream to a folder or into the store, and reading back what it said last."""
+
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.annotate import Client
+from ..plans.learn import require_model
+from ..plans.score import score_batch
+from ..session import materialize
+from ..sources.artifacts import latest_model
+from ..sources.store import Store
+from .jobs import text_error
+
 
 def append_to(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append-mode stream to Parquet; exactly once through the sink's own log."""
@@ -33,3 +43,33 @@ def read_upserts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     values = [name for name in rows.columns if name not in (*keys, "batch_id")]
     picked = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
     return picked.select(*keys, "_last.*")
+
+
+def scores_to_store(
+    arrivals: DataFrame, store: Store, name: str, checkpoint: str,
+    connect: Callable[[], Client] | None = None, partitions: int | None = None, trigger: dict | None = None, **request,
+) -> StreamingQuery:
+    """Stream of (guid, filename, texto) into the store's tables, with the newest model.
+
+    Each micro-batch is one batch of the store, named by the stream and its number.
+    A micro-batch that runs twice adds its rows once: one case, one prediction, one
+    completion. Missing and blank texts are refused; they end in the table
+    ``refused`` below the checkpoint, a folder per micro-batch.
+    """
+    require_model(store)
+    model_name, model = latest_model(store.spark, store.models)
+
+    def write(batch: DataFrame, number: int) -> None:
+        label = f"{name}_{number:010d}"
+        if store.has(label):
+            return
+        checked = materialize(batch.withColumn("entrada_error", text_error(F.col("texto"))), "arrivals")
+        checked.where("entrada_error IS NOT NULL").select("guid", "filename", "entrada_error").write.mode(
+            "overwrite").parquet(f"{checkpoint}/refused/batch_id={number}")
+        texts = checked.where("entrada_error IS NULL").select("guid", "filename", "texto").dropDuplicates(["guid"])
+        score_batch(store, texts, model_name, model, label, connect, partitions, **request)
+
+    return (
+        arrivals.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/stream")
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )

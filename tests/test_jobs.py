@@ -104,9 +104,31 @@ def test_batch_then_on_demand(spark, store):
     assert report.latencies(store).count() == 2
     assert report.audit(store).count() == 0
 
-    before = store.read("case_log").count()
-    copies = report.reset_for_enrichment(store)
-    assert spark.read.parquet(copies[0]).count() == before and states(store) == {"INGESTED": 48, "COMPLETADA": 2}
+    # After a reset, or two, everything can be seen and had again as it was.
+    def reports(as_of=None):
+        shown = [report.metrics_document(store, as_of), report.audit(store, as_of), report.latencies(store, as_of=as_of), report.results(store, as_of),
+                 store.cases(as_of=as_of), current_entities(store.read("entities", as_of), store.read("annotations", as_of))]
+        return [sorted(map(str, df.collect())) for df in shown]
+
+    was = reports()
+    version = report.reset_for_enrichment(store)
+    assert states(store) == {"INGESTED": 48, "COMPLETADA": 2} and reports(version) == was
+    enrich.enrich_pending(store)
+    store.compact()
+    assert states(store) == {"ENRICHED": 48, "COMPLETADA": 2} and reports(version) == was
+    store.restore(version)
+    assert reports() == was and states(store) == {"EVALUATED": 48, "COMPLETADA": 2}
+    store.compact()
+    assert reports() == was
+    report.reset_for_enrichment(store)
+    assert states(store) == {"INGESTED": 48, "COMPLETADA": 2}
+
+    # Requests that run again under their job's name add nothing.
+    for _ in range(2):
+        again, _ = score.score(store, asked, job="monday")
+        assert again.count() == 2
+    assert states(store) == {"INGESTED": 48, "COMPLETADA": 4}
+    assert report.results(store).where("prediccion_modelo IS NOT NULL").count() == 4
 
     # A second run replaces findings and entities, and keeps predictions.
     enrich.enrich_pending(store)

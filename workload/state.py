@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from anamnesis.functions import replies as rp
 from anamnesis.operators import features as ft, metrics as mt, state as st
 from anamnesis.plans.enrich import enrich_texts
+from anamnesis.plans.report import reset_for_enrichment
 from anamnesis.schemas import FLAGS
-from anamnesis.session import materialize
+from anamnesis.session import materialize, scratch_path
 from anamnesis.sources import texts as tx
+from anamnesis.sources.store import Store
 
 from .registry import query
 from .replies import reply_fields
@@ -42,14 +44,17 @@ def micros(name):
     return F.coalesce(F.unix_micros(name), F.lit(-1)).alias(name)
 
 
-@query("p16_current_cases", """
+_P16 = """
 SELECT guid, arg_max(estado, row(ts, seq)) AS estado,
   coalesce(epoch_us(max(ts) FILTER (WHERE event_type = 'signup')), -1) AS inicio_solicitud,
   coalesce(epoch_us(max(ts) FILTER (WHERE event_type = 'view')), -1) AS inicio_extraccion_entidades,
   coalesce(epoch_us(max(ts) FILTER (WHERE event_type = 'click')), -1) AS fin_extraccion_entidades,
   coalesce(epoch_us(max(ts) FILTER (WHERE event_type = 'purchase')), -1) AS fin_solicitud,
   coalesce(arg_max('w' || seq, row(ts, seq)) FILTER (WHERE event_type <> 'error'), '?') AS workflow_id
-FROM state_log GROUP BY guid""")
+FROM state_log GROUP BY guid"""
+
+
+@query("p16_current_cases", _P16)
 def p16_current_cases(t):
     names = ["inicio_solicitud", "inicio_extraccion_entidades", "fin_extraccion_entidades", "fin_solicitud"]
     cases = st.current_cases(case_log(t), [*names, "workflow_id"])
@@ -57,6 +62,29 @@ def p16_current_cases(t):
                         F.coalesce("workflow_id", F.lit("?")).alias("workflow_id"))
 
 
+def compacted_store(t):
+    """The log in a store: three parts, a snapshot after each of the first two, the last beside them.
+
+    Parts are dealt by seq, so later parts hold rows older than the snapshot's.
+    """
+    store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
+    log = materialize(case_log(t), "log")
+    for part in range(3):
+        store.append("case_log", log.where(F.col("seq") % 3 == part))
+        if part < 2:
+            store.compact()
+    return store
+
+
+@query("p16_compacted_cases", _P16)
+def p16_compacted_cases(t):
+    """The current cases from the second snapshot and the log since."""
+    names = ["inicio_solicitud", "inicio_extraccion_entidades", "fin_extraccion_entidades", "fin_solicitud"]
+    cases = compacted_store(t).cases([*names, "workflow_id"])
+    return cases.select("guid", "estado", *[micros(name) for name in names],
+                        F.coalesce("workflow_id", F.lit("?")).alias("workflow_id"))
+
+
 @query("p6_pending_cases", "SELECT guid, estado FROM cases WHERE estado IN ('INGESTED', 'ERROR_ENRICHMENT')")
 def p6_pending_cases(t):
     return st.pending(st.current_cases(case_log(t), [])).select("guid", "estado")
@@ -231,10 +259,38 @@ def o8_latest_row(t):
     return st.latest_rows(t.state_log, "guid", ["ts", "seq"]).select("guid", "estado", "seq")
 
 
-@query("d6_bulk_transition", f"""
+@query("o8_compacted_rows", f"""WITH ranked AS (SELECT guid, seq, epoch_us(ts) AS at, row_number() OVER (PARTITION BY guid ORDER BY ts DESC, seq DESC) AS rn FROM state_log)
+SELECT guid, CAST(seq % 5 + 1 AS INT) AS prediccion_modelo, at, seq FROM ranked WHERE rn = 1""")
+def o8_compacted_rows(t):
+    """The newest prediction of each case, from two snapshots and the rows since."""
+    store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
+    rows = materialize(t.state_log.select(
+        "guid", (F.col("seq") % 5 + 1).cast("int").alias("prediccion_modelo"), F.lit(1.0).alias("confianza"),
+        F.lit(1.0).alias("valoracion"), "ts", F.col("seq").cast("long").alias("seq")), "predictions")
+    for part in range(3):
+        store.append("predictions", rows.where(F.col("seq") % 3 == part))
+        if part < 2:
+            store.compact()
+    newest = st.latest_rows(store.read("predictions"), "guid", ["ts", "seq"])
+    return newest.select("guid", "prediccion_modelo", F.unix_micros("ts").alias("at"), "seq")
+
+
+_D6 = f"""
 WITH latest AS (SELECT guid, arg_max(estado, row(ts, seq)) AS estado FROM state_log GROUP BY guid)
 SELECT CASE estado WHEN 'ENRICHED' THEN 'DATASET_READY' ELSE estado END AS estado, count(*) AS n,
-  count(*) FILTER (WHERE estado = 'ENRICHED') AS with_url FROM latest GROUP BY 1""")
+  count(*) FILTER (WHERE estado = 'ENRICHED') AS with_url FROM latest GROUP BY 1"""
+
+
+@query("d6_compacted_transition", _D6)
+def d6_compacted_transition(t):
+    """The move is appended to a compacted store, which is then compacted again."""
+    store = compacted_store(t)
+    store.append("case_log", st.move_all(materialize(store.cases([]), "read"), "ENRICHED", "DATASET_READY", AT, 5, url_dataset_generado="datasets/v1"))
+    store.compact()
+    return store.cases(["url_dataset_generado"]).groupBy("estado").agg(F.count("*").alias("n"), F.count("url_dataset_generado").alias("with_url"))
+
+
+@query("d6_bulk_transition", _D6)
 def d6_bulk_transition(t):
     log = case_log(t)
     moves = st.move_all(st.current_cases(log, []), "ENRICHED", "DATASET_READY", AT, 5, url_dataset_generado="datasets/v1")
@@ -296,6 +352,20 @@ def d11_backup_and_reset(t):
     )
 
 
+@query("d11_restored_cases", """SELECT guid, arg_max(estado, row(ts, seq)) AS estado, true AS was_reset FROM state_log GROUP BY guid
+  HAVING arg_max(estado, row(ts, seq)) = 'COMPLETADA' UNION ALL SELECT guid, arg_max(estado, row(ts, seq)), false FROM state_log GROUP BY guid
+  HAVING arg_max(estado, row(ts, seq)) <> 'COMPLETADA'""")
+def d11_restored_cases(t):
+    """Cases after a reset, a snapshot and the way back; beside them, whom the reset had moved."""
+    store = compacted_store(t)
+    version = reset_for_enrichment(store, "COMPLETADA")
+    store.compact()
+    after = store.cases([]).select("guid", F.col("estado").alias("reset"))
+    store.restore(version)
+    cases = store.cases([]).join(after, "guid")
+    return cases.select("guid", "estado", (F.col("estado") != F.col("reset")).alias("was_reset"))
+
+
 @query("a1_state_counts", "SELECT estado, count(*) AS n FROM cases GROUP BY estado")
 def a1_state_counts(t):
     return mt.state_counts(t.cases)
