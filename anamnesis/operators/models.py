@@ -1,28 +1,41 @@
-"""Class-weighted forest and logistic baseline with pyspark.ml."""
+"""Class-weighted forest and logistic baseline with pyspark.ml.
 
+A forest is grown in parts, each from a seed of its own, which are written and
+dropped one by one; scoring adds the parts' votes. So the driver holds a few
+parts, whatever the number of trees and folds.
+"""
+
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
-from ..session import materialize, shared_folder
+from ..session import materialize, scratch_path, shared_folder
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
 
 LABEL = "label"
 WEIGHT = "weight"
-# Constants of a fit; none follows the number of rows or of cores. Trees live on
-# the driver: the rows bound them, as no tree has more leaves than rows.
+# Constants of a fit; none follows the number of rows or of cores. The rows bound
+# a tree, as none has more leaves than rows; PART_TREES of them grow together, in
+# FITS_AT_ONCE parts side by side. Which part a tree belongs to is part of the model;
+# how many parts are held at once to score, at most MOST_NODES nodes, is not.
 MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
 MAX_FIT_ROWS = 200_000
 FIT_PARTITIONS = 8
+PART_TREES = 20
 FITS_AT_ONCE = 2
+MOST_NODES = 4_000_000
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -43,15 +56,15 @@ def _assembler() -> VectorAssembler:
 
 
 def forest(trees: int = TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
-           min_rows_per_leaf: int = MIN_ROWS_PER_LEAF) -> Pipeline:
+           min_rows_per_leaf: int = MIN_ROWS_PER_LEAF) -> RandomForestClassifier:
     """Node ids are cached because deep trees otherwise ship the growing forest
     to every task at every level."""
-    return Pipeline(stages=[_assembler(), RandomForestClassifier(
+    return RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
         numTrees=trees, maxDepth=max_depth, maxBins=128, featureSubsetStrategy="sqrt",
         minInstancesPerNode=min_rows_per_leaf,
         seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024,
-    )])
+    )
 
 
 def logistic(n_train: int) -> Pipeline:
@@ -63,8 +76,80 @@ def logistic(n_train: int) -> Pipeline:
     )])
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class PartedForest:
+    """A forest in a folder: a saved model per part, and a table of the parts with their trees and nodes."""
+
+    spark: SparkSession
+    path: str
+    parts: tuple[tuple[str, int, int], ...]
+
+    TABLE = "name string, trees int, nodes bigint"
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "PartedForest":
+        rows = spark.read.schema(cls.TABLE).parquet(f"{path}/parts").collect()
+        return cls(spark, path, tuple(sorted((r["name"], r["trees"], r["nodes"]) for r in rows)))
+
+    @classmethod
+    def write(cls, spark: SparkSession, path: str, parts: Iterable[tuple[str, int, int]]) -> "PartedForest":
+        """Puts the parts of a folder on record, when all of them are there."""
+        spark.createDataFrame(sorted(parts), cls.TABLE).coalesce(1).write.parquet(f"{path}/parts")
+        return cls.load(spark, path)
+
+    def part(self, name: str) -> RandomForestClassificationModel:
+        return RandomForestClassificationModel.load(f"{self.path}/{name}")
+
+    def save(self, path: str) -> None:
+        """A copy elsewhere, part by part."""
+        for name, _, _ in self.parts:
+            self.part(name).save(f"{path}/{name}")
+        self.write(self.spark, path, self.parts)
+
+    def groups(self, most_nodes: int = MOST_NODES) -> list[list[str]]:
+        """Parts in order, as many together as hold ``most_nodes``, one at least."""
+        out, held = [], 0
+        for name, _, nodes in self.parts:
+            if not out or held + nodes > most_nodes:
+                out.append([])
+                held = 0
+            out[-1].append(name)
+            held += nodes
+        return out
+
+    def votes(self, rows: DataFrame, most_nodes: int = MOST_NODES) -> DataFrame:
+        """Adds ``votes`` by class, added in the order of the parts, so that the sums
+        do not follow ``most_nodes``.
+
+        Between two groups the rows are written, and the group is dropped. A stream
+        has no such step: there all parts are in its plan.
+        """
+        voted = rows.withColumn("votes", F.array(*[F.lit(0.0)] * len(LEVELS)))
+        groups = self.groups(most_nodes)
+        for number, group in enumerate(groups):
+            voted = _assembler().transform(voted)
+            for name in group:
+                model = self.part(name).setFeaturesCol("features").setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
+                voted = model.transform(voted).withColumn(
+                    "votes", F.zip_with("votes", vector_to_array("_raw"), lambda a, b: a + b)).drop("_raw")
+            voted = voted.drop("features")
+            if number + 1 < len(groups) and not rows.isStreaming:
+                voted = materialize(voted, "votes")
+        return voted
+
+
+Model = PipelineModel | PartedForest
+
+
+def predict(model: Model, rows: DataFrame, most_nodes: int = MOST_NODES) -> DataFrame:
     """Adds predicted level, class probabilities and confidence."""
+    if isinstance(model, PartedForest):
+        voted = model.votes(rows, most_nodes)
+        total = F.aggregate("votes", F.lit(0.0), lambda a, x: a + x)
+        return voted.withColumn("probabilidades", F.transform("votes", lambda v: v / total)).withColumns({
+            "prediccion_modelo": F.array_position("votes", F.array_max("votes")).cast("int"),
+            "confianza": F.array_max("probabilidades"),
+        }).drop("votes")
     inner = [name for name in ("rawPrediction", "probability", "prediction", "features")]
     scored = model.transform(rows).withColumn("probabilidades", vector_to_array("probability"))
     return scored.withColumns({
@@ -77,6 +162,10 @@ def split(rows: DataFrame, key: str = "guid") -> DataFrame:
     return stratified_split(labelled(rows), TARGET, key)
 
 
+def _dealt(chosen: DataFrame, key: str, fit_partitions: int) -> DataFrame:
+    return chosen.repartition(fit_partitions, key).sortWithinPartitions(key, *FEATURES)
+
+
 def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int = MAX_FIT_ROWS,
              fit_partitions: int = FIT_PARTITIONS) -> DataFrame:
     """The rows a forest is fitted on, dealt alike on every cluster.
@@ -89,14 +178,35 @@ def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int = MAX_FIT_RO
     if total > max_fit_rows:
         place = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 53)).cast("double") / float(1 << 53)
         chosen = train.where(place < max_fit_rows / total)
-    return chosen.repartition(fit_partitions, key).sortWithinPartitions(key, *FEATURES)
+    return _dealt(chosen, key, fit_partitions)
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Iterable, at_once: int = FITS_AT_ONCE) -> list:
+    """Runs jobs from a few driver threads."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str = "guid",
-               max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Node ids are checkpointed to the shared folder, every ten levels."""
-    shared_folder(train.sparkSession)
-    return forest(trees, seed).fit(fit_rows(train, key, max_fit_rows, fit_partitions))
+               max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS,
+               part_trees: int = PART_TREES, at_once: int = FITS_AT_ONCE) -> PartedForest:
+    """Grows the parts from the same rows, each with its own seed, and writes each to
+    the shared folder as soon as it is grown. Node ids are checkpointed there,
+    every ten levels."""
+    spark = train.sparkSession
+    shared_folder(spark)
+    path = scratch_path(spark, "forest")
+    chosen = materialize(fit_rows(train, key, max_fit_rows, fit_partitions).select(key, *FEATURES, LABEL, WEIGHT), "fit-rows")
+
+    def grow(number: int) -> tuple[str, int, int]:
+        count = min(part_trees, trees - number * part_trees)
+        rows = _assembler().transform(_dealt(chosen, key, fit_partitions))
+        model = forest(count, seed + 1_000_003 * number).fit(rows)
+        name = f"part={number:05d}"
+        model.save(f"{path}/{name}")
+        return name, count, model.totalNumNodes
+
+    return PartedForest.write(spark, path, side_by_side(spark, grow, range(-(-trees // part_trees)), at_once))
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:
@@ -109,23 +219,18 @@ def fold_predictions(rows: DataFrame, key: str = "guid", folds: int = FOLDS,
                      trees: int = TREES, seed: int = SEED) -> DataFrame:
     """Out-of-fold predictions of all rows.
 
-    Rows are placed once and written; a few fits run side by side from driver
-    threads, each an ordinary Spark job over that table. Weights come from all
-    rows, as for the final model.
+    Rows are placed once and written. Each fold's forest is grown, its fold
+    predicted and written, and the forest dropped before the next. Weights come
+    from all rows, as for the final model.
     """
     placed = materialize(stratified_folds(labelled(rows), TARGET, key, folds, seed), "folds")
-
-    @inheritable_thread_target(placed.sparkSession)
-    def fit(number: int) -> PipelineModel:
-        return fit_forest(placed.where(F.col("fold") != number), trees, seed, key)
-
-    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
-        models = list(pool.map(fit, range(folds)))
-    parts = [predict(model, placed.where(F.col("fold") == number)) for number, model in enumerate(models)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.select(key, "fold", TARGET, "prediccion_modelo")
+    whole = None
+    for number in range(folds):
+        model = fit_forest(placed.where(F.col("fold") != number), trees, seed, key)
+        part = predict(model, placed.where(F.col("fold") == number)).select(key, "fold", TARGET, "prediccion_modelo")
+        part = materialize(part, "fold-predictions")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
 
 
 def cross_validate(rows: DataFrame, key: str = "guid", trees: int = TREES) -> DataFrame:
@@ -133,12 +238,15 @@ def cross_validate(rows: DataFrame, key: str = "guid", trees: int = TREES) -> Da
     return fold_scores(fold_predictions(rows, key, trees=trees))
 
 
-def feature_importances(spark, model: PipelineModel) -> DataFrame:
-    """One row: feature name -> importance."""
-    values = [float(value) for value in model.stages[-1].featureImportances.toArray()]
+def feature_importances(spark: SparkSession, model: PartedForest) -> DataFrame:
+    """One row: feature name -> importance, the mean over trees; parts are looked at one by one."""
+    values = [0.0] * len(FEATURES)
+    for name, trees, _ in model.parts:
+        values = [a + trees * float(b) for a, b in zip(values, model.part(name).featureImportances.toArray())]
+    total = sum(values) or 1.0
     return spark.range(1, numPartitions=1).select(
         importance_map(F.array(*[F.lit(name) for name in FEATURES]),
-                       F.array(*[F.lit(value) for value in values])).alias("feature_importances")
+                       F.array(*[F.lit(value / total) for value in values])).alias("feature_importances")
     )
 
 

@@ -2,7 +2,6 @@
 
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import evaluation as ev, models
@@ -37,14 +36,14 @@ def build_dataset(store: Store, exclude_simulated: bool = False) -> str:
     return name
 
 
-def hold_out_scores(model: PipelineModel, test: DataFrame) -> tuple[DataFrame, DataFrame]:
+def hold_out_scores(model: models.Model, test: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per-class and overall scores on rows the model has not seen."""
     counts = ev.confusion_counts(models.predict(model, test), TARGET, "prediccion_modelo")
     scores = ev.class_scores(counts)
     return scores, ev.overall_scores(scores)
 
 
-def training_report(rows: DataFrame, key: str = "guid", trees: int = TREES) -> tuple[PipelineModel, DataFrame]:
+def training_report(rows: DataFrame, key: str = "guid", trees: int = TREES) -> tuple[models.PartedForest, DataFrame]:
     """Fits the forest on the training part and compares it with the baseline.
 
     Returns the forest and a one-row summary; the summary's map has one entry

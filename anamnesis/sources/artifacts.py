@@ -8,9 +8,9 @@ written, so a half-written version is never picked up.
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.models import PartedForest
 from ..schemas import DATASET, DATASET_PREFIX, EVALUATION, EVALUATION_PREFIX, MODEL_PREFIX
 
 MANIFEST = "name string"
@@ -71,15 +71,15 @@ def latest_dataset(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     return name, read_dataset(spark, f"{folder}/{name}")
 
 
-def write_model(spark: SparkSession, model: PipelineModel, folder: str, at: datetime) -> str:
+def write_model(spark: SparkSession, model: PartedForest, folder: str, at: datetime) -> str:
     name = versioned_name(MODEL_PREFIX, at)
-    model.write().save(f"{folder}/{name}")
+    model.save(f"{folder}/{name}")
     return publish(spark, folder, name)
 
 
-def latest_model(spark: SparkSession, folder: str) -> tuple[str, PipelineModel]:
+def latest_model(spark: SparkSession, folder: str) -> tuple[str, PartedForest]:
     name = require_artifact(spark, folder, MODEL_PREFIX, "MODEL_NOT_FOUND: no model has been trained")
-    return name, PipelineModel.load(f"{folder}/{name}")
+    return name, PartedForest.load(spark, f"{folder}/{name}")
 
 
 def write_evaluation(document: DataFrame, folder: str, at: datetime) -> str:
