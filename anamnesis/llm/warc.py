@@ -36,28 +36,58 @@ def chunk_rows(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return spread.select(*others, "n_chunks", "chunk_no", F.substring(F.col("payload"), F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"))
 
 
-def plan(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """``pages`` (page_id, url, payload) with payload_bytes, payload_digest, record_type and refers_to.
+def _named(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
 
-    Of equal payloads (by SHA-256) of at least ``least`` bytes, the rows of the
-    smallest page_id are responses and the others revisit it. The smallest ids
-    are aggregated before the shuffle, and only of payloads that stand twice.
-    Null page_ids come after all others.
+
+def marks(pages: DataFrame, least: int = LEAST) -> DataFrame:
+    """(page_id, payload_digest, refers_to, repeated): what is said of records besides plain responses.
+
+    The first pass over ``pages`` (page_id, url, payload): it carries ids and digests
+    alone. Of equal payloads (by SHA-256) of at least ``least`` bytes, the rows of the
+    smallest page_id are responses and the others revisit it; null page_ids come
+    after all others. ``repeated`` marks page_ids that stand more than once. The
+    smallest ids and the counts are aggregated before they are shuffled.
     """
-    named = pages.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
+    narrow = _named(pages).select("page_id", "payload_digest", "payload_bytes")
+    narrow = materialize(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("n")), "warc-digests")
     firsts = (
-        named.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-        .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-        .select(F.col("payload_digest").alias("of"), "first")
+        narrow.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
+        .agg(F.min("page_id").alias("refers_to"), F.sum("n").alias("n")).where("n > 1")
+        .select(F.col("payload_digest").alias("of"), "refers_to")
     )
-    both = named.join(firsts, F.col("payload_digest") == F.col("of"), "left").drop("of")
-    later = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-    return both.withColumn("record_type", F.when(later, "revisit").otherwise("response")).withColumn(
-        "refers_to", F.when(later, F.col("first"))).drop("first")
+    again = narrow.groupBy("page_id").agg(F.sum("n").alias("n")).where("n > 1").select(F.col("page_id").alias("id"), F.lit(True).alias("repeated"))
+    both = narrow.join(firsts, F.col("payload_digest") == F.col("of"), "left").join(again, F.col("page_id").eqNullSafe(F.col("id")), "left")
+    later = F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to"))
+    marked = both.select("page_id", "payload_digest", F.when(later, F.col("refers_to")).alias("refers_to"), F.coalesce("repeated", F.lit(False)).alias("repeated"))
+    return materialize(marked.where("refers_to is not null or repeated"), "warc-marks")
+
+
+def record_chunks(pages: DataFrame, least: int = LEAST, chunk: int = CHUNK) -> DataFrame:
+    """Chunk rows of every record, with record_type, refers_to and record_id.
+
+    The second pass cuts chunks straight from the scan; they meet the marks one by
+    one, so no shuffle or sort holds more of a payload than a chunk. A revisit
+    keeps one chunk without data. ``place`` keeps the chunks of a row together where
+    page_ids or whole rows are repeated, and makes their record ids unlike.
+    """
+    found = marks(pages, least)
+    found = found.select(F.col("page_id").alias("of_id"), F.col("payload_digest").alias("of_digest"), "refers_to", "repeated")
+    rows = chunk_rows(_named(pages).withColumn("place", F.monotonically_increasing_id()), chunk)
+    both = rows.join(found, rows["page_id"].eqNullSafe(found["of_id"]) & (rows["payload_digest"] == found["of_digest"]), "left")
+    revisit = F.col("refers_to").isNotNull()
+    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
+    unlike = F.concat(name, F.lit(":"), F.col("payload_digest"), F.lit(":"), F.col("place").cast("string"))
+    both = both.where(~revisit | (F.col("chunk_no") == 0))
+    return both.select(
+        "page_id", "url", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), "refers_to",
+        F.when(F.coalesce("repeated", F.lit(False)), unlike).otherwise(name).alias("record_id"), "place", "chunk_no",
+        F.when(revisit, 1).otherwise(F.col("n_chunks")).alias("n_chunks"), F.when(revisit, F.lit(b"")).otherwise(F.col("data")).alias("data"),
+    ).sortWithinPartitions("page_id", "payload_digest", "place", "chunk_no")
 
 
-def _id(page_id) -> bytes:
-    return RECORD_ID % (b"null" if page_id is None else str(page_id).encode())
+def _refers_to(page_id) -> bytes:
+    return RECORD_ID % str(page_id).encode()
 
 
 def _http_head(length: int) -> bytes:
@@ -68,7 +98,7 @@ def _head(row: dict, date: str) -> bytes:
     http = _http_head(row["payload_bytes"])
     revisit = row["record_type"] == "revisit"
     fields = [
-        b"WARC/1.1", b"WARC-Type: " + row["record_type"].encode(), b"WARC-Record-ID: " + _id(row["page_id"]),
+        b"WARC/1.1", b"WARC-Type: " + row["record_type"].encode(), b"WARC-Record-ID: <" + row["record_id"].encode() + b">",
         b"WARC-Date: " + date.encode(),
         b"WARC-Payload-Digest: sha256:" + row["payload_digest"].encode(),
         b"Content-Type: application/http; msgtype=response",
@@ -78,7 +108,7 @@ def _head(row: dict, date: str) -> bytes:
         fields.append(b"WARC-Target-URI: " + b"".join(row["url"].encode().split()))
     if revisit:
         fields += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                   b"WARC-Refers-To: " + _id(row["refers_to"])]
+                   b"WARC-Refers-To: " + _refers_to(row["refers_to"])]
     return CRLF.join(fields) + CRLF + CRLF + http
 
 
@@ -127,17 +157,16 @@ class _Writer:
         return {"path": self.path, "bytes": self.written, "records": self.records}
 
 
-def write(planned: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", chunk: int = CHUNK, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes the records of ``plan`` to WARC files in ``folder``; returns its manifest (path, bytes, records).
+def write(chunks: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes ``record_chunks`` to WARC files in ``folder``; returns its manifest (path, bytes, records).
 
     ``folder`` is a URI that all executors reach. Files are named at random per
     attempt of a task, and the manifest lists only those of attempts that
     succeeded, so a lost executor's files are never read. Revisits carry
     headers alone.
     """
-    wanted = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    payload = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    rows = chunk_rows(planned.select(*wanted, payload.alias("payload")), chunk)
+    wanted = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"]
+    rows = chunks.select(*wanted, "chunk_no", "n_chunks", "data")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, done = _Writer(folder, date, file_bytes), []
@@ -224,7 +253,8 @@ def records(stream: _Stream, chunk: int) -> Iterator[dict]:
         length = int(warc["content-length"])
         http = stream.head()
         told = int(_fields(http)["content-length"])
-        number = lambda name: None if warc.get(name, "<urn:page:null>") == "<urn:page:null>" else int(warc[name][len("<urn:page:"):-1])
+        numeral = lambda name: warc.get(name, "<urn:page:null>")[len("<urn:page:"):-1].partition(":")[0]
+        number = lambda name: None if numeral(name) == "null" else int(numeral(name))
         row = {"page_id": number("warc-record-id"), "record_type": warc["warc-type"], "url": warc.get("warc-target-uri"),
                "refers_to": number("warc-refers-to") if warc["warc-type"] == "revisit" else None, "payload_bytes": told}
         digest, seen, ready = hashlib.sha256(), 0, None
@@ -281,18 +311,21 @@ def _payload(pages: DataFrame) -> Column:
     return F.coalesce(F.col("html"), F.lit("")).cast("binary")
 
 
-def archive(pages: DataFrame, folder: str | None = None, **settings) -> DataFrame:
+def archive(pages: DataFrame, folder: str | None = None, least: int = LEAST, chunk: int = CHUNK, **settings) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) as WARC files, by default in the shared folder; returns the manifest.
 
-    A null html is empty, a null or empty url is left out, a null page_id is the
-    record id null and comes last in order. Rows that share the smallest page_id
-    of a payload are all responses; extra columns are ignored; an empty table
-    gives an empty manifest.
+    Records are named by page_id, and where a page_id stands more than once by digest
+    and place too, so that no two records of an archive share a name. A null html
+    is empty, a null or empty url is left out, a null page_id is the record id null
+    and comes last in order. Rows that share the smallest page_id of a payload are
+    all responses; revisits name that page_id. Extra columns are ignored; an empty
+    table gives an empty manifest.
     """
     folder = folder or scratch_path(pages.sparkSession, "warc")
     # The folder is made by a table of one file, through the same store that Spark writes to.
     pages.sparkSession.range(1).coalesce(1).write.mode("ignore").parquet(f"{folder}/made")
-    return write(plan(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", _payload(pages).alias("payload"))), folder, **settings)
+    named = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", _payload(pages).alias("payload"))
+    return write(record_chunks(named, least, chunk), folder, **settings)
 
 
 def digests(chunks: DataFrame) -> DataFrame:

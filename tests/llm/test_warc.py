@@ -76,6 +76,42 @@ def test_files_are_warc(spark):
     assert b"WARC-Refers-To: <urn:page:2>" in again and b"Content-Length: 100" in again and again.count(b"w" * 5) == 0
 
 
+def names_of(manifest):
+    found = []
+    for r in manifest.collect():
+        fs, path = pafs.FileSystem.from_uri(r.path)
+        data = gzip.decompress(fs.open_input_stream(path).read())
+        found += [line for line in data.split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    return found
+
+
+def test_no_two_records_share_a_name(spark):
+    found = names_of(warc.archive(pages_of(spark, rows())))
+    assert len(found) == len(rows()) == len(set(found))
+    assert b"WARC-Record-ID: <urn:page:54>" in found
+
+
+def test_payloads_meet_others_in_chunks_only(spark):
+    """No shuffle, sort or join holds a whole payload."""
+    chunks = warc.record_chunks(pages_of(spark, rows()).selectExpr("page_id", "url", "cast(html as binary) payload"), chunk=64)
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if any(f"{node} " in line or f"{node}[" in line for node in ("Exchange", "Sort", "SortMergeJoin", "BroadcastHashJoin")):
+            assert "payload#" not in line
+    narrow = warc.marks(pages_of(spark, rows()).selectExpr("page_id", "url", "cast(html as binary) payload"))
+    assert narrow.columns == ["page_id", "payload_digest", "refers_to", "repeated"]
+
+
+def test_oversized_and_many_equal_payloads(spark):
+    big = "é" * 8_000_000
+    many = [(i, "u", big) for i in (5, 3, 9)] + [(100 + i, "u", "same " * 60) for i in range(300)] + [(7, "u", "again " * 50)] * 40
+    pages = pages_of(spark, many).repartition(6)
+    got = warc.round_trip(spark, pages)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(plain(many), key=key)
+    chunks = warc.read(warc.archive(pages, chunk=1 << 20), 1 << 20)
+    assert max(len(r.data) for r in chunks.where("payload_bytes > 1000000").select("data").collect()) <= 1 << 20
+
+
 def test_a_changed_archive_is_refused(spark):
     manifest = warc.archive(pages_of(spark, [(1, "u", "hello")]))
     fs, path = pafs.FileSystem.from_uri(manifest.first().path)
