@@ -9,8 +9,6 @@ from ..operators.models import Model
 from ..plans.enrich import preprocess
 from ..plans.score import response_rows, score_enriched
 
-ARRIVAL_SALTS = 32
-
 
 def text_error(text: Column) -> Column:
     """Why a text cannot be scored; null if it can."""
@@ -50,22 +48,6 @@ def windowed_throughput(log: DataFrame, length: str = "3 hours", slide: str | No
     )
 
 
-def first_arrivals(files: DataFrame, late: str = "1 day", salts: int = ARRIVAL_SALTS) -> DataFrame:
-    """One row per file name among arrivals within the watermark.
-
-    Duplicates of one name may be a large part of the stream. They are first
-    thinned out per (name, salt), spread over all tasks, so the second step
-    sees at most ``salts`` rows of a name per watermark.
-    """
-    salted = files.withColumn("_salt", F.pmod(F.xxhash64("ts", "arrival"), F.lit(salts)))
-    return (
-        salted.withWatermark("ts", late)
-        .dropDuplicatesWithinWatermark(["nombre_fichero", "_salt"])
-        .dropDuplicatesWithinWatermark(["nombre_fichero"])
-        .drop("_salt")
-    )
-
-
 def paired_latencies(log: DataFrame, started: str, ended: str, late: str = "1 day",
                      within: str = "1 day") -> DataFrame:
     """Seconds from a case's first start to its last end, per case and session.

@@ -14,13 +14,28 @@ from ..sources.store import Store
 from .jobs import text_error
 
 
-def append_to(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Append-mode stream to Parquet; exactly once through the sink's own log."""
-    return (
-        df.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def append_to(df: DataFrame, path: str, checkpoint: str, rocksdb: bool = False, **trigger) -> StreamingQuery:
+    """Append-mode stream to Parquet; exactly once through the sink's own log.
+
+    A stream takes its state store from the session as it starts; ``rocksdb`` sets
+    the one that timers need for this stream alone.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    if rocksdb:
+        conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return (
+            df.writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start()
+        )
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def upsert_to(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

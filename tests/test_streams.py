@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from anamnesis.streaming import inputs, jobs, sinks
+from anamnesis.streaming import arrivals, inputs, jobs, sinks
 
 LOG = "guid string, estado string, ts timestamp"
 ROWS = [
@@ -68,13 +68,35 @@ def test_pairs(spark, tmp_path):
     same(got, jobs.paired_latencies(spark.read.parquet(folder), "ENRICHED", "COMPLETADA"))
 
 
+def arrived(spark, folder, batches):
+    for batch in batches:
+        rows = spark.createDataFrame(batch, "nombre_fichero string, t string, arrival long")
+        rows.select("nombre_fichero", F.col("t").cast("timestamp").alias("ts"), "arrival").coalesce(1).write.mode("append").parquet(folder)
+
+
+def told(spark, tmp_path, folder, late):
+    out = str(tmp_path / uuid.uuid4().hex)
+    stream = inputs.parquet_stream(spark, folder, maxFilesPerTrigger=1)
+    sinks.append_to(arrivals.first_arrivals(stream, late), out, out + "-checkpoint", rocksdb=True).awaitTermination()
+    return sorted((r["nombre_fichero"] or "", r["arrival"]) for r in spark.read.schema("nombre_fichero string, arrival long").parquet(out).collect())
+
+
 def test_first_arrivals_over_batches(spark, tmp_path):
-    folder, rows = log_files(spark, tmp_path)
-    stream = inputs.parquet_stream(spark, folder, maxFilesPerTrigger=1).select(
-        F.col("guid").alias("nombre_fichero"), "ts", F.col("estado").alias("arrival"))
-    out = str(tmp_path / "arrivals")
-    sinks.append_to(jobs.first_arrivals(stream, "1 day", salts=2), out, out + "-checkpoint").awaitTermination()
-    assert sorted(r["nombre_fichero"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+    """The earliest survives, whatever the batch and order it came in; equal times go by arrival."""
+    day = "2024-01-01 0{}:00:00".format
+    batches = [
+        [("a", day(5), 1), ("b", day(1), 2), (None, day(2), 3)],
+        [("a", day(3), 4), ("a", day(4), 5), ("b", day(1), 1), ("c", day(6), 6), (None, day(1), 7)],
+        [("a", day(3), 8), ("c", day(7), 9)] + [("hot", day(8), n) for n in range(500, 100, -1)],
+        [("z", "2024-01-05 00:00:00", 10)],
+        [("y", "2024-01-05 00:30:00", 15)],  # the watermark of the batch before now tells what is late
+        [("a", day(0), 11), ("b", "2024-01-05 01:00:00", 12), ("late", day(0), 13)],
+        [("end", "2024-02-01 00:00:00", 14)],
+    ]
+    folder = str(tmp_path / "files")
+    arrived(spark, folder, batches)
+    assert told(spark, tmp_path, folder, "1 day") == [("", 7), ("a", 4), ("b", 1), ("c", 6), ("hot", 101), ("y", 15), ("z", 10)]
+    assert spark.conf.get(sinks.STATE_STORE) != sinks.ROCKSDB
 
 
 def test_late_rows_are_dropped(spark, tmp_path):

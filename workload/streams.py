@@ -4,7 +4,7 @@ into a scratch folder, and the folder is read back."""
 from pyspark.sql import functions as F
 
 from anamnesis.session import materialize, scratch_path
-from anamnesis.streaming import inputs, jobs, sinks
+from anamnesis.streaming import arrivals, inputs, jobs, sinks
 
 from .modeling import trained
 from .registry import query
@@ -65,15 +65,24 @@ def r3_sliding_throughput(t):
     return rows.select(F.unix_micros("window_start").alias("window_start"), "n")
 
 
-@query("r4_first_arrivals", """SELECT DISTINCT concat('CAS', user_id, '.txt') AS nombre_fichero FROM state_log""")
+@query("r4_first_arrivals", """SELECT concat('CAS', user_id, '.txt') AS nombre_fichero, epoch_us(min(ts)) AS at,
+  arg_min(seq, row(ts, seq)) AS arrival FROM state_log GROUP BY user_id""")
 def r4_first_arrivals(t):
-    """Arrivals of one file name within the watermark count once. The watermark
-    here spans the whole table."""
+    """The earliest arrival of each file name. Files come one per micro-batch, dealt
+    by a hash, so a name's arrivals come in no order; the watermark spans the table,
+    and a last arrival far behind lets it pass."""
+    folder = scratch_path(t.spark, "files")
     name = F.concat(F.lit("CAS"), F.col("user_id").cast("string"), F.lit(".txt"))
-    files = log_stream(t).select(name.alias("nombre_fichero"), "ts", F.col("seq").alias("arrival"))
+    files = t.state_log.select(name.alias("nombre_fichero"), "ts", F.col("seq").cast("long").alias("arrival"))
+    files.repartition(3, F.xxhash64("arrival")).write.parquet(folder)
+    last = t.state_log.agg(F.max("ts").alias("ts")).select(
+        F.lit("closing").alias("nombre_fichero"), F.expr("ts + INTERVAL 400 DAYS").alias("ts"), F.lit(-1).cast("long").alias("arrival"))
+    last.coalesce(1).write.mode("append").parquet(folder)
     path = scratch_path(t.spark, "stream")
-    sinks.append_to(jobs.first_arrivals(files, "60 days"), path, f"{path}-checkpoint").awaitTermination()
-    return t.spark.read.parquet(path).select("nombre_fichero")
+    stream = inputs.parquet_stream(t.spark, folder, maxFilesPerTrigger=1, latestFirst=False)
+    sinks.append_to(arrivals.first_arrivals(stream, "180 days"), path, f"{path}-checkpoint", rocksdb=True).awaitTermination()
+    return t.spark.read.parquet(path).where("nombre_fichero <> 'closing'").select(
+        "nombre_fichero", F.unix_micros("ts").alias("at"), "arrival")
 
 
 @query("r5_paired_latencies", """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS guid, event_type, ts FROM state_log
