@@ -31,6 +31,14 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(fields)))
 
 
+def unreserved(docs: DataFrame) -> DataFrame:
+    """``docs``, unless one of its columns bears a name that helpers here need beside the caller's columns."""
+    taken = [name for name in docs.columns if name.lower().startswith("_llm_")]
+    if taken:
+        raise ValueError(f"column names that begin with _llm_ are reserved: {taken}")
+    return docs
+
+
 def word_count(text: Column) -> Column:
     """The number of words, counted without an array of them; null has none."""
     marked = F.regexp_replace(F.ltrim(text, F.lit(BLANKS)), f"{NOT_BLANK}++{BLANK}*+", "x")

@@ -3,12 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import before, computed, in_order, materialize, word_count
+from .common import before, computed, in_order, materialize, unreserved, word_count
 from pyspark.sql.window import Window
 
 WEIGHTS = (5, 2, 1)
 #: Documents whose fractions one task step pairs off. A block's size is random about this.
 BLOCK = 64
+#: Fractions that differ by less are one.
+ALIKE = 1e-9
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -132,13 +134,12 @@ def _fold(units: Column, seed: int) -> Column:
 def rounded(units: DataFrame, largest: int, seed: int = 0, block: int = BLOCK) -> DataFrame:
     """(source, unit, extra 0 or 1) from units (source, unit, size, mass), 0 < mass < size.
 
-    ``mass`` is the expected number of words beyond whole copies, the same
-    fraction of the size for all units of a source; ``largest`` is the number
-    of units of the largest source. A tree of rounds: each deals a source's open
+    ``mass`` is the expected number of words beyond whole copies; ``largest`` is
+    the number of units of the largest source. A tree of rounds: each deals a source's open
     units by hash into blocks of about ``block``, pairs them off there from large
-    to small until one is open, mostly a small one, and hands that on. In the
-    first round a unit is paired with the rest of its block as a whole, later,
-    where fractions differ, with the next. A source's words are kept to the last
+    to small until one is open, mostly a small one, and hands that on. In a block
+    of equal fractions, as nearly all are in the first round, a unit is paired with
+    the rest of its block as a whole; where fractions differ, with the next. A source's words are kept to the last
     unit, which is rounded to the nearer side; so a source is off its target by
     half of one document at most. Rounds: the logarithm of ``largest`` to base
     ``block``.
@@ -149,8 +150,11 @@ def rounded(units: DataFrame, largest: int, seed: int = 0, block: int = BLOCK) -
         dealt = open_units.withColumn("part", F.pmod(F.xxhash64("unit", F.lit(seed + level)), F.lit(blocks)).cast("int"))
         folded = dealt.groupBy("source", "part").agg(
             F.sort_array(F.collect_list(F.struct("size", "unit", "mass")), asc=False).alias("units"))
-        fold = _fold if level else _deal
-        folded = computed(folded, f=fold(F.col("units"), seed + level)).select("source", "f")
+        first = F.get("units", F.lit(0))
+        alike = F.forall("units", lambda u: F.abs(u["mass"] / u["size"] - first["mass"] / first["size"]) < ALIKE)
+        units, at = F.col("units"), seed + level
+        fold = F.when(alike, _deal(units, at)).otherwise(_fold(units, at)) if level == 0 else _fold(units, at)
+        folded = computed(folded, f=fold).select("source", "f")
         folded = materialize(folded, "pivotal-round")
         decided.append(folded.select("source", F.explode("f.done").alias("d")).select("source", "d.unit", "d.extra"))
         open_units = folded.select("source", "f.open.*")
@@ -163,49 +167,77 @@ def rounded(units: DataFrame, largest: int, seed: int = 0, block: int = BLOCK) -
     return last
 
 
+#: What rows have in common that count as one document.
+KEY = ["doc_id", "source", "text_hash", "size"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), F.xxhash64("text").alias("text_hash"),
+                       word_count(F.col("text")).alias("size"))
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """(doc_id, source, size, rows, source_size, target, copies) per different document.
-
-    Rows equal in doc_id, source and size are one unit, of ``rows`` rows, and get
-    the same number of ``copies``. A source's copies a document, target over
-    source size, are dealt as whole copies and a fraction; fractions are rounded
-    by moving words between documents (``rounded``). Documents without words get
-    the whole copies. All chances come from hashes of the rows, so a rerun, or
-    a task run twice, gives the same.
+    """(doc_id, source, text_hash, size, rows, source_size, target, copies, odd) per different document.
+
+    Rows equal in doc_id, source and text are one document, of ``rows`` rows. A
+    source's copies a row, target over source size, are dealt as whole copies and a
+    fraction. Of equal rows the fraction gives whole rows one more; what is then left
+    of it, less than a row, is rounded by moving words between documents
+    (``rounded``). ``copies`` is what every row gets, ``odd`` how many of the rows get
+    one more. Documents without words get the whole copies. All chances come from
+    hashes of the rows, so a rerun, or a task run twice, gives the same.
     """
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sizes = materialize(sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
+    sizes = materialize(_keyed(docs).groupBy(*KEY).agg(F.count("*").alias("rows")), "sizes")
     shares = materialize(targets(sizes.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, total, most), "targets")
     largest = shares.agg(F.max("n")).first()[0] or 0
     named = sizes.join(shares.withColumnRenamed("source", "of"), sizes["source"].eqNullSafe(F.col("of"))).drop("of", "n")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    named = named.withColumn("rate", rate).withColumn("unit", F.xxhash64("doc_id", "source", "size"))
-    fraction = F.col("rate") - F.floor("rate")
-    words = (F.col("size") * F.col("rows")).cast("double")
-    units = named.where((fraction > 0) & (F.col("size") > 0)).groupBy("source", "unit").agg(
-        F.sum(words).alias("size"), F.sum(words * fraction).alias("mass"))
+    named = named.withColumn("rate", rate).withColumn("unit", F.xxhash64(*KEY))
+    due = F.when(F.col("size") > 0, (F.col("rate") - F.floor("rate")) * F.col("rows")).otherwise(F.lit(0.0))
+    named = named.withColumn("whole", F.floor(due)).withColumn("left", due - F.floor(due))
+    words = F.col("size").cast("double")
+    units = named.where("left > 0").groupBy("source", "unit").agg(F.sum(words).alias("size"), F.sum(words * F.col("left")).alias("mass"))
     extra = rounded(units, largest, seed)
     extra = extra.select(F.col("source").alias("of"), F.col("unit").alias("u"), "extra")
     both = named.join(extra, (named["unit"] == extra["u"]) & named["source"].eqNullSafe(extra["of"]), "left")
-    return both.select("doc_id", "source", "size", "rows", "source_size", "target",
-                       (F.floor("rate") + F.coalesce("extra", F.lit(0))).cast("long").alias("copies"))
+    return both.select(*KEY, "rows", "source_size", "target", F.floor("rate").cast("long").alias("copies"),
+                       (F.col("whole") + F.coalesce("extra", F.lit(0))).cast("long").alias("odd"))
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """Per row of ``docs``: doc_id, size, source_size, target and taken (words the mix takes, repeats counted).
 
-    A null text has size 0, a null source is a source like others (the last),
-    extra columns are ignored, an empty table gives no rows.
+    A null text has size 0, a null source is a source like others (the last), of
+    equal rows some may be taken once more than others, extra columns are ignored,
+    an empty table gives no rows.
     """
-    found = plan(docs, **settings)
-    return found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    found = plan(docs, **settings).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    copies = F.col("copies") + (F.col("row") <= F.col("odd")).cast("long")
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    found = plan(docs, **settings).where("copies > 0").select(
-        F.col("doc_id").alias("_llm_id"), F.col("source").alias("_llm_source"), F.col("size").alias("_llm_size"), F.col("copies").alias("_llm_copies"))
-    sized = docs.withColumn("_llm_words", word_count(F.col("text")))
-    both = sized.join(found, sized["doc_id"].eqNullSafe(found["_llm_id"]) & sized["source"].eqNullSafe(found["_llm_source"]) & (sized["_llm_words"] == found["_llm_size"]))
-    return both.withColumn("_llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_llm_copies"))).select(*docs.columns)
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Where some of the rows equal in doc_id, source and text are taken once more, it
+    is the one whose columns hash least that is taken for all of them. Nulls, empty
+    texts and repeated rows are else treated as by ``mix``. All columns stay,
+    whatever their names, but for names that begin with _llm_, which are refused;
+    an empty table gives no rows.
+    """
+    found = plan(unreserved(docs), **settings).where("copies > 0 or odd > 0")
+    found = found.select(*(F.col(name).alias(f"_llm_{name}") for name in (*KEY, "copies", "odd", "rows")))
+    row = F.struct(*docs.columns)
+    keyed = docs.select(row.alias("_llm_row"), F.col("doc_id").alias("_llm_d"), F.col("source").alias("_llm_s"), F.xxhash64("text").alias("_llm_t"))
+    both = keyed.join(found, keyed["_llm_d"].eqNullSafe(found["_llm_doc_id"]) & keyed["_llm_s"].eqNullSafe(found["_llm_source"])
+                      & (keyed["_llm_t"] == found["_llm_text_hash"]))
+    every = F.col("_llm_copies") + F.when(F.col("_llm_rows") == 1, F.col("_llm_odd")).otherwise(F.lit(0))
+    again = both.where("_llm_rows > 1 and _llm_odd > 0").groupBy("_llm_d", "_llm_s", "_llm_t").agg(
+        F.min_by("_llm_row", F.xxhash64(*(f"_llm_row.`{name}`" for name in _hashable(docs)))).alias("_llm_row"), F.first("_llm_odd").alias("_llm_times"))
+    times = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    taken = both.where(every > 0).withColumn("_llm_copy", times(every)).select("_llm_row.*")
+    return taken.unionByName(again.withColumn("_llm_copy", times(F.col("_llm_times"))).select("_llm_row.*"))
+
+
+def _hashable(docs: DataFrame) -> list[str]:
+    return [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
