@@ -6,6 +6,7 @@ an injected client (for instance a model server) from the executors.
 """
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -212,51 +213,95 @@ def rule_replies(df: DataFrame, text: str, dialogue: str | None = None) -> DataF
 Client = Callable[[list[str]], list[str]]
 
 
+@dataclass(frozen=True)
+class Pace:
+    """How calls are made, per task: texts in a call (None: a whole batch), texts a second
+    at most, and how a busy service is waited for: ``attempts`` in all, the first
+    wait, doubled from then on up to the longest. Busy is an error that says so in
+    one of the words."""
+
+    texts_per_call: int | None = None
+    per_second: float | None = None
+    attempts: int = 6
+    first_wait: float = 1.0
+    longest_wait: float = 60.0
+    busy_words: tuple[str, ...] = ("429", "too many", "rate limit", "overloaded")
+
+
+def request_text(text: Column, template: str | None = None, examples: Sequence[tuple[str, str]] = (), model: str = "") -> Column:
+    """What a client is sent: the bare text or, with a template, the whole request."""
+    return text if template is None else request_envelope(model, chat_messages(template, examples, text))
+
+
 def annotate(
     df: DataFrame, text: str, connect: Callable[[], Client], partitions: int | None = None,
-    template: str | None = None, examples: Sequence[tuple[str, str]] = (), model: str = "",
+    template: str | None = None, examples: Sequence[tuple[str, str]] = (), model: str = "", pace: Pace = Pace(),
 ) -> DataFrame:
     """Raw replies of an injected client.
 
     ``connect`` runs once per partition and returns a function from texts to
-    replies. A failed batch is repeated row by row; a row that still fails
-    comes back with its error, so one bad text never stops the job. Calls cost
-    far more than moving texts, so rows are dealt evenly into ``partitions``, by
-    default as many as the session runs at once. Write the result out before
-    using it twice: calls are costly and may differ.
+    replies. A call that fails because the service is busy is made again after a
+    wait, as ``pace`` says. A call that fails otherwise is repeated row by row; a row
+    that still fails comes back with its error, so one bad text never stops the job.
+    Calls cost far more than moving texts, so rows are dealt by the hash of their
+    guid into ``partitions``, by default as many as the session runs at once; a task
+    that is run again gets the same rows. Write the result out before using it
+    twice: calls are costly and may differ.
 
     With a ``template`` the client gets whole requests instead of bare texts:
     JSON with the model's name, the worked ``examples`` as earlier turns, and the
     text in the template's place.
     """
-    request = F.col(text)
-    if template is not None:
-        request = request_envelope(model, chat_messages(template, examples, request))
-    source = df.select("guid", request.alias("text"))
-    source = source.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
-
-    # Both functions travel to the executors by value, so this package need not
-    # be installed there.
-    def one_by_one(client, texts):
-        outcome = []
-        for text in texts:
-            try:
-                outcome.append((client([text])[0], None))
-            except Exception as error:  # noqa: BLE001 - a failed row is data, not a failed job
-                outcome.append((None, f"{type(error).__name__}: {error}"))
-        return outcome
+    source = df.select("guid", request_text(F.col(text), template, examples, model).alias("text"))
+    source = source.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, "guid")
+    # Functions and plain values travel to the executors by value, so this package
+    # need not be installed there.
+    size, per_second, attempts = pace.texts_per_call, pace.per_second, pace.attempts
+    first_wait, longest_wait, busy_words = pace.first_wait, pace.longest_wait, pace.busy_words
+
+    def paced(client):
+        import time
+
+        free = 0.0
+
+        def call(texts):
+            nonlocal free
+            wait = first_wait
+            for attempt in range(1, attempts + 1):
+                if per_second:
+                    now = time.monotonic()
+                    if free > now:
+                        time.sleep(free - now)
+                    free = max(now, free) + len(texts) / per_second
+                try:
+                    replies = client(texts)
+                    if len(replies) != len(texts):
+                        raise ValueError("one reply per text expected")
+                    return replies
+                except Exception as error:
+                    said = f"{type(error).__name__} {error}".lower()
+                    if attempt == attempts or not any(word in said for word in busy_words):
+                        raise
+                    time.sleep(wait)
+                    wait = min(2 * wait, longest_wait)
+
+        return call
+
+    def outcomes(call, texts):
+        try:
+            return [(reply, None) for reply in call(texts)]
+        except Exception as error:  # noqa: BLE001 - a failed row is data, not a failed job
+            said = f"{type(error).__name__}: {error}"
+            if len(texts) == 1 or any(word in said.lower() for word in busy_words):
+                return [(None, said)] * len(texts)
+            return [outcomes(call, [text])[0] for text in texts]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = connect()
+        call = paced(connect())
         for batch in batches:
             texts = batch["text"].tolist()
-            try:
-                replies = client(texts)
-                if len(replies) != len(texts):
-                    raise ValueError("one reply per text expected")
-                outcome = [(reply, None) for reply in replies]
-            except Exception:  # noqa: BLE001
-                outcome = one_by_one(client, texts)
+            step = size or len(texts) or 1
+            outcome = [one for at in range(0, len(texts), step) for one in outcomes(call, texts[at:at + step])]
             yield pd.DataFrame({
                 "guid": batch["guid"],
                 "raw": pd.Series([raw for raw, _ in outcome], index=batch.index, dtype=object),

@@ -14,6 +14,7 @@ from ..schemas import (
     ENRICHED, ENRICHING, ERROR_ENRICHMENT, PREPROCESSED, PREPROCESSING, REPLY_FIELDS,
 )
 from ..session import materialize
+from ..sources.replies import ReplyTable
 from ..sources.store import Store
 from ..sources.texts import texts_of
 
@@ -28,16 +29,20 @@ def preprocess(texts: DataFrame, text: str = "texto") -> DataFrame:
 
 
 def enrich_texts(
-    texts: DataFrame, connect: Callable[[], Client] | None = None, partitions: int | None = None, **request
+    texts: DataFrame, connect: Callable[[], Client] | None = None, partitions: int | None = None,
+    replies: ReplyTable | None = None, **request,
 ) -> DataFrame:
     """guid and text in; guid, reply fields and an error column out, written
     once. The rule annotator runs when no client is given. ``request`` is the
-    ``template``, ``examples`` and ``model`` of what a client is sent."""
+    ``template``, ``examples`` and ``model`` of what a client is sent, and the ``pace`` of
+    its calls. With a table of ``replies`` no request in it is sent again."""
     # Texts are often the end of a join: written once, read by both branches.
     prepared = materialize(preprocess(texts).select("guid", "texto_anotable", "texto_completo"), "prepared")
     present = prepared.where("texto_anotable IS NOT NULL")
     if connect is None:
         raw = rule_replies(present, "texto_anotable", "texto_completo")
+    elif replies is not None:
+        raw = replies.annotate(present, "texto_anotable", connect, partitions, **request)
     else:
         raw = annotate(present, "texto_anotable", connect, partitions, **request)
     parsed = parse_replies(materialize(raw, "replies"))
@@ -85,7 +90,7 @@ def enrich_pending(
         "nombre_fichero IS NOT NULL"
     ), limit)
     texts = texts_of(materialize(waiting, "pending"), store.read("transcripts"))
-    enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
+    enriched = materialize(enrich_texts(texts, connect, partitions, store.replies, **request), "enriched")
     store.write(enriched_tables(enriched, started))
     report = batch_report(enriched.select(
         F.when(F.col("error").isNull(), "ok").otherwise("error").alias("outcome")
@@ -102,7 +107,7 @@ def enrich_given(
     """Enriches given (guid, texto) rows; unknown ids become cases first."""
     started = datetime.now(timezone.utc)
     fresh = materialize(missing_cases(texts, store.cases([]), started), "new-cases")
-    enriched = materialize(enrich_texts(texts, connect, partitions, **request), "enriched")
+    enriched = materialize(enrich_texts(texts, connect, partitions, store.replies, **request), "enriched")
     tables = enriched_tables(enriched, started)
     store.write({**tables, "case_log": fresh.unionByName(tables["case_log"])})
     return enriched

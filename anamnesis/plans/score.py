@@ -84,7 +84,7 @@ def score_batch(
     archived = archive_on_demand(texts)
     here = store.read("transcripts").where(F.col("especialidad") == ON_DEMAND_FOLDER).select("guid")
     write_transcripts(archived.join(here, "guid", "left_anti"), store.path("transcripts"))
-    enriched = materialize(enrich_texts(texts.select("guid", "texto"), connect, partitions, **request), "enriched")
+    enriched = materialize(enrich_texts(texts.select("guid", "texto"), connect, partitions, store.replies, **request), "enriched")
     good = enriched.where("error IS NULL").join(texts.select("guid", "filename"), "guid")
     scored = materialize(score_enriched(good, model), "scored")
     tables = enriched_tables(enriched, started)

@@ -24,6 +24,7 @@ from ..operators.state import (
 )
 from ..schemas import REPLY
 from . import texts
+from .replies import ReplyTable
 
 ENTITIES = "guid string, pos int, entidad_raw string, entidad_normalizada string, tipo string, ts timestamp, seq bigint"
 ANNOTATIONS = T.StructType([
@@ -75,10 +76,16 @@ class Store:
     def evaluations(self) -> str:
         return self.path("evaluacion")
 
+    @property
+    def replies(self) -> ReplyTable:
+        """What annotators have been paid for."""
+        return ReplyTable(self.spark, self.path("replies"))
+
     def prepare(self) -> "Store":
         """An empty manifest and no transcripts, so that first readers find a schema and no rows."""
         for name, schema in (("manifest", MANIFEST), ("transcripts", texts.TRANSCRIPTS)):
             self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
+        self.replies.prepare()
         return self
 
     @staticmethod

@@ -4,6 +4,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.text import unix_newlines
 from ..sources.texts import decode, file_name
 
 
@@ -20,11 +21,12 @@ def parquet_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def text_file_stream(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """Arriving text files: name, whole text and the file's time."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+def text_file_stream(spark: SparkSession, folder: str, pattern: str = "*.txt", **options) -> DataFrame:
+    """Arriving text files: name, whole text and the file's time. The stream's
+    checkpoint logs the files it has seen; it opens none of them again."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).options(**options)
     files = reader.option("pathGlobFilter", pattern).load(folder)
     return files.select(
         file_name(files["path"]).alias("nombre_fichero"),
-        decode(files["content"]).alias("texto"), files["modificationTime"].alias("ts"),
+        unix_newlines(decode(files["content"])).alias("texto"), files["modificationTime"].alias("ts"),
     )
