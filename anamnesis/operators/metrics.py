@@ -122,12 +122,10 @@ def batch_throughput(cases: DataFrame) -> DataFrame:
     )
 
 
-def metrics_document(cases: DataFrame, evaluation: DataFrame | None = None) -> DataFrame:
-    """All metrics as one row of structs.
+def state_parts(cases: DataFrame, *keys: Column) -> DataFrame:
+    """Counts, sums and extremes by state (and ``keys``): all that the document's totals need.
 
-    Counts, latency and training times come from one pass grouped by state; the
-    few state rows are then folded. Throughput needs the latest end first and
-    is attached as a scalar subquery.
+    Counts and sums of disjoint sets of cases add up; extremes merge.
     """
     whole, extraction = phase_seconds("solicitud"), phase_seconds("extraccion_entidades")
     training = phase_seconds("entrenamiento")
@@ -140,7 +138,7 @@ def metrics_document(cases: DataFrame, evaluation: DataFrame | None = None) -> D
     def where(test, value):
         return F.when(test, value)
 
-    by_state = cases.groupBy("estado").agg(
+    return cases.groupBy(*keys, "estado").agg(
         F.count("*").alias("n"),
         F.count_if(done).alias("done"),
         F.sum(where(done, whole)).alias("whole_sum"),
@@ -152,13 +150,17 @@ def metrics_document(cases: DataFrame, evaluation: DataFrame | None = None) -> D
         F.count(where(trained, training)).alias("train_n"),
         F.max("fin_entrenamiento").alias("train_last"),
     )
+
+
+def folded_parts(by_state: DataFrame) -> DataFrame:
+    """The document's totals from a few rows by state."""
     entry = F.when(F.col("estado").isNotNull(), F.struct("estado", "n"))
     failed = F.when(F.col("estado").contains("ERROR"), F.struct("estado", "n"))
 
     def mean(total, count):
         return _number(F.sum(total) / F.when(F.sum(count) > 0, F.sum(count)), 2)
 
-    folded = by_state.agg(
+    return by_state.agg(
         F.struct(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
             F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("por_estado"),
@@ -176,8 +178,22 @@ def metrics_document(cases: DataFrame, evaluation: DataFrame | None = None) -> D
         ).alias("entrenamiento"),
         F.map_from_entries(F.array_sort(F.collect_list(failed))).alias("errores"),
     )
-    rate = batch_throughput(cases)
-    document = folded.withColumn("throughput_batch", rate.select(F.struct(*rate.columns)).scalar())
+
+
+def metrics_document(cases: DataFrame, evaluation: DataFrame | None = None) -> DataFrame:
+    """All metrics as one row of structs.
+
+    Counts, latency and training times come from one pass grouped by state; the
+    few state rows are then folded. Throughput needs the latest end first and
+    is attached as a scalar subquery.
+    """
+    return document_of(state_parts(cases), cases, evaluation)
+
+
+def document_of(by_state: DataFrame, ended: DataFrame, evaluation: DataFrame | None = None) -> DataFrame:
+    """The document from parts by state and the cases that may be in the last batch."""
+    rate = batch_throughput(ended)
+    document = folded_parts(by_state).withColumn("throughput_batch", rate.select(F.struct(*rate.columns)).scalar())
     if evaluation is not None:
         document = document.withColumn(
             "metricas_modelo", evaluation.select(F.struct(*evaluation.columns)).scalar()

@@ -37,9 +37,10 @@ ANNOTATIONS = T.StructType([
 PREDICTIONS = (
     "guid string, prediccion_modelo int, confianza double, valoracion double, ts timestamp, seq bigint"
 )
-#: A row per entry. ``append`` adds a batch to ``tables``; ``state`` says what is in force from then
-#: on: a snapshot, and which batches on record are in it or no longer in force.
+#: A row per entry. ``append`` adds a batch to ``tables``; ``snapshot`` and ``restore`` say what is in
+#: force from then on: a snapshot, and which batches on record are in it or no longer in force.
 MANIFEST = "version bigint, at timestamp, action string, batch string, tables array<string>, snapshot string, gone array<string>"
+STATES = ("snapshot", "restore")
 
 
 @dataclass(frozen=True)
@@ -106,7 +107,7 @@ class Store:
         on, whatever its version: only batches the entry knew can be gone.
         """
         known = [e for e in (self.entries() if entries is None else entries) if as_of is None or e["version"] <= as_of]
-        states = [e for e in known if e["action"] == "state"]
+        states = [e for e in known if e["action"] in STATES]
         last = states[-1] if states else None
         appended = {e["batch"]: frozenset(e["tables"]) for e in known if e["action"] == "append"}
         gone = set(last["gone"]) if last else set()
@@ -157,6 +158,10 @@ class Store:
         force = force or self.force()
         return self._rows([self._batch(name, batch) for batch in force.of(name)], self._schemas()[name])
 
+    def batches(self, name: str, batches: list[str]) -> DataFrame:
+        """Rows of given batches, in force or not."""
+        return self._rows([self._batch(name, batch) for batch in batches], self._schemas()[name])
+
     def snapshot(self, name: str, force: Force | None = None) -> DataFrame:
         """Rows of the snapshot in force; cases carry the version of each value."""
         force = force or self.force()
@@ -173,11 +178,16 @@ class Store:
             return self.tail(name, force)
         return self.snapshot(name, force).unionByName(self.tail(name, force))
 
-    def cases(self, columns: list[str] | None = None, as_of: int | None = None) -> DataFrame:
-        """One row per case: those of the snapshot, moved on by the log since."""
+    def cases(self, columns: list[str] | None = None, as_of: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """One row per case: those of the snapshot, moved on by the log since; ``only``
+        the ones whose guid is in a table of ids, of which no other row is merged."""
         force = self.force(as_of)
         before = self.snapshot("case_log", force) if force.snapshot else None
-        return merged_cases(before, self.tail("case_log", force), columns)
+        tail = self.tail("case_log", force)
+        if only is not None:
+            before = None if before is None else before.join(only, "guid", "left_semi")
+            tail = tail.join(only, "guid", "left_semi")
+        return merged_cases(before, tail, columns)
 
     # -- what is in force ------------------------------------------------------
 
@@ -206,12 +216,12 @@ class Store:
         self._swap(name, force)
         return name
 
-    def _swap(self, snapshot: str | None, held: Force, live: frozenset = frozenset()) -> int:
+    def _swap(self, snapshot: str | None, held: Force, live: frozenset = frozenset(), action: str = "snapshot") -> int:
         """Puts a snapshot in force beside the batches ``live``; the others of ``held`` are gone."""
         entries = self.entries()
-        earlier = [e for e in entries if e["action"] == "state"]
+        earlier = [e for e in entries if e["action"] in STATES]
         gone = (set(earlier[-1]["gone"]) if earlier else set()) | set(held.batches)
-        return self._record(entries, "state", f"state_{uuid4().hex}", sorted(self._schemas()), snapshot, sorted(gone - live))
+        return self._record(entries, action, f"{action}_{uuid4().hex}", sorted(self._schemas()), snapshot, sorted(gone - live))
 
     def restore(self, version: int) -> int:
         """Puts all tables back to what they were after ``version``, by one entry; returns its version."""
@@ -219,7 +229,7 @@ class Store:
         if version and version not in {e["version"] for e in entries}:
             raise ValueError(f"no version {version}")
         then, now = self.force(version, entries), self.force(entries=entries)
-        return self._swap(then.snapshot, now, frozenset(then.batches))
+        return self._swap(then.snapshot, now, frozenset(then.batches), "restore")
 
 
 def read_table(spark: SparkSession, source: str, query: str | None = None, **args) -> DataFrame:

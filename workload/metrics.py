@@ -1,11 +1,17 @@
 """Operational metrics: A2-A4, A6, P10-P12, P17-P19, O2, O3, J7, J9."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from anamnesis.operators import evaluation as ev, metrics as mt
 from anamnesis.operators.evaluation import is_audit_case, is_critical_under_triage
+from anamnesis.operators.state import transition
+from anamnesis.plans.increments import metrics_of, update_metrics
 from anamnesis.plans.learn import evaluation_document
-from anamnesis.session import materialize
+from anamnesis.schemas import PHASE_TIMES
+from anamnesis.session import materialize, scratch_path
+from anamnesis.sources.store import Store
 
 from .registry import query
 
@@ -115,6 +121,33 @@ def a6_metrics_document(t):
     )
 
 
+@query("a6_incremental_document", f"""WITH {_THROUGHPUT}, lat AS ({_SUMMARY}), tr AS ({_TRAINING})
+SELECT (SELECT count(*) FROM cases) AS total, (SELECT count(*) FROM cases WHERE estado = 'ERROR_ENRICHMENT') AS n_errors,
+  (SELECT count(*) FROM cases WHERE estado = 'COMPLETADA') AS n_completed, lat.*, avg_tiempo_entrenamiento_s,
+  n AS textos_ultimo_batch, span AS duracion_s, round(n * 60 / span, 2) AS throughput_por_minuto FROM lat, tr, batch""")
+def a6_incremental_document(t):
+    """The document after three increments and a snapshot, each of which saw only what had moved."""
+    store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
+    cases = materialize(t.cases, "cases")
+    times = [name for name in cases.columns if name in PHASE_TIMES]
+    third = F.pmod(F.xxhash64("guid"), F.lit(3))
+    start, end = datetime(2020, 1, 1), datetime(2020, 1, 2)
+
+    def moved(rows, seq):
+        return transition(rows, None, end, seq, estado=F.col("estado"), **{name: F.col(name) for name in times})
+
+    store.append("case_log", transition(cases, "INGESTED", start, 0, inicio_solicitud=F.col("inicio_solicitud")))
+    update_metrics(store)
+    store.compact()
+    store.append("case_log", moved(cases.where(third < 2), 1))
+    update_metrics(store)
+    store.append("case_log", moved(cases.where(third == 2), 1).unionByName(moved(cases.where(third == 0), 2)))
+    return metrics_of(store).select(
+        F.col("textos.total").alias("total"), F.element_at("errores", "ERROR_ENRICHMENT").alias("n_errors"),
+        F.element_at("textos.por_estado", "COMPLETADA").alias("n_completed"),
+        "latencia_fase2.*", F.col("entrenamiento.avg_tiempo_entrenamiento_s").alias("avg_tiempo_entrenamiento_s"), "throughput_batch.*")
+
+
 @query("j7_document_json", """WITH c AS (SELECT estado, count(*) AS n FROM cases GROUP BY estado)
 SELECT 1 AS n_documents, (SELECT count(*) FROM cases) AS total,
   (SELECT string_agg(estado, ',' ORDER BY estado) FROM c) AS states, 'modelo_1' AS modelo""")

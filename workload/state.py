@@ -259,8 +259,8 @@ def o8_latest_row(t):
     return st.latest_rows(t.state_log, "guid", ["ts", "seq"]).select("guid", "estado", "seq")
 
 
-@query("o8_compacted_rows", f"""WITH ranked AS (SELECT guid, seq, epoch_us(ts) AS at, row_number() OVER (PARTITION BY guid ORDER BY ts DESC, seq DESC) AS rn FROM state_log)
-SELECT guid, CAST(seq % 5 + 1 AS INT) AS prediccion_modelo, at, seq FROM ranked WHERE rn = 1""")
+@query("o8_compacted_rows", f"""WITH ranked AS (SELECT guid, seq, epoch_us(ts) AS at_us, row_number() OVER (PARTITION BY guid ORDER BY ts DESC, seq DESC) AS rn FROM state_log)
+SELECT guid, CAST(seq % 5 + 1 AS INT) AS prediccion_modelo, at_us, seq FROM ranked WHERE rn = 1""")
 def o8_compacted_rows(t):
     """The newest prediction of each case, from two snapshots and the rows since."""
     store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
@@ -272,7 +272,7 @@ def o8_compacted_rows(t):
         if part < 2:
             store.compact()
     newest = st.latest_rows(store.read("predictions"), "guid", ["ts", "seq"])
-    return newest.select("guid", "prediccion_modelo", F.unix_micros("ts").alias("at"), "seq")
+    return newest.select("guid", "prediccion_modelo", F.unix_micros("ts").alias("at_us"), "seq")
 
 
 _D6 = f"""
