@@ -1,6 +1,8 @@
 """Models: M5-M9, M11-M15. Forests have no SQL form, so these are checked by
 rows here and by bounds in the tests."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from anamnesis.operators import evaluation as ev, models as md
@@ -8,10 +10,12 @@ from anamnesis.operators.annotate import rule_fields
 from anamnesis.operators.features import training_rows_from_raw
 from anamnesis.plans import learn
 from anamnesis.plans.enrich import preprocess
-from anamnesis.plans.score import response_rows, score_enriched
+from anamnesis.plans.score import response_rows, score, score_enriched, with_ids
 from anamnesis.schemas import TARGET
 from anamnesis.session import materialize, scratch_path
 from anamnesis.sources.artifacts import latest_model, write_model
+from anamnesis.sources.store import Store
+from anamnesis.sources.texts import on_demand_input
 
 from .registry import query
 from .replies import _LEVEL
@@ -180,7 +184,6 @@ def m14_annotated_side(t):
   FROM results WHERE score_urgencia IS NOT NULL""")
 def s14_model_round_trip(t):
     """The newest saved model predicts what the fitted one does."""
-    from datetime import datetime, timezone
     parts, forest = trained(t)
     folder = scratch_path(t.spark, "models")
     for year in (2023, 2024):
@@ -276,3 +279,56 @@ def m13_document_rows(t):
     return made.select(F.posexplode(F.arrays_zip(supports.alias("s"), F.col("confusion_matrix").alias("m"))).alias("pos", "r")).select(
         (F.col("pos") + 1).cast("int").alias("nivel"), F.col("r.s").alias("support"),
         F.aggregate("r.m", F.lit(0).cast("long"), lambda a, x: a + x).alias("row_sum")).where("row_sum > 0")
+
+
+@query("n8_predictions_keep_their_rows", """SELECT guid, nivel_triaje, coalesce(edad, -1)::DOUBLE AS edad, score_urgencia, true AS in_scale
+  FROM results WHERE score_urgencia IS NOT NULL""")
+def n8_predictions_keep_their_rows(t):
+    """Predictions stand beside the rows they are about; nothing is attached by position."""
+    parts, forest = trained(t)
+    return md.predict(forest, parts).select(
+        "guid", TARGET, F.col("edad").cast("double").alias("edad"), F.col("score_urgencia").cast("double").alias("score_urgencia"),
+        F.col("prediccion_modelo").between(1, 5).alias("in_scale"))
+
+
+def asked(t):
+    """A scoring request for every text: a file of its own."""
+    return t.planted.select(F.concat("guid", F.lit(".txt")).alias("filename"), F.col("texto").cast("binary").alias("contenido"),
+                            F.lit(None).cast("string").alias("texto"))
+
+
+@query("m15_no_model_guard", """SELECT count(*) AS n_requests, 'MODEL_NOT_FOUND: no model has been trained' AS error,
+  CAST(0 AS BIGINT) AS n_log_rows, CAST(0 AS BIGINT) AS n_texts FROM documents""")
+def m15_no_model_guard(t):
+    """Requests without a model are refused before any row is written."""
+    store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
+    error = None
+    try:
+        score(store, asked(t))
+    except FileNotFoundError as refused:
+        error = str(refused)
+    return asked(t).agg(F.count("*").alias("n_requests")).select(
+        "n_requests", F.lit(error).alias("error"), F.lit(store.read("case_log").count()).alias("n_log_rows"),
+        F.lit(store.read("transcripts").count()).alias("n_texts"))
+
+
+@query("m14_scored_store", f"""SELECT guid, {_LEVEL} AS level, 'COMPLETADA' AS estado, 1::BIGINT AS n_predictions, true AS rated, true AS answered
+  FROM interviews""")
+def m14_scored_store(t):
+    """The scoring job run twice under one name: what the store's tables say then of every request, whose
+    id follows from it. Ratings are computed again from the written predictions."""
+    _, forest = trained(t)
+    store = Store(t.spark, scratch_path(t.spark, "store")).prepare()
+    write_model(t.spark, forest, store.models, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    for _ in range(2):
+        responses, _ = score(store, asked(t), job="morning")
+    named = with_ids(on_demand_input(asked(t)), "morning").select("guid", F.expr("left(filename, length(filename) - 4)").alias("case"))
+    predicted = store.read("predictions").select("guid", "prediccion_modelo", "confianza", "valoracion")
+    level = store.read("annotations").select("guid", F.col("nivel_triaje").alias("level"))
+    answer = responses.select("guid", F.col("nivel_triaje_predicho").alias("told"))
+    rows = store.cases([]).join(named, "guid").join(level, "guid").join(predicted, "guid").join(answer, "guid")
+    exact = F.col("confianza").cast("decimal(20,15)") - F.abs(F.col("prediccion_modelo") - F.col("level")) * F.lit(0.25).cast("decimal(3,2)")
+    due = F.round(F.greatest(F.lit(0).cast("decimal(20,15)"), exact) * 10, 1).cast("double")
+    return rows.groupBy(F.col("case").alias("guid"), "level", "estado").agg(
+        F.count("*").alias("n_predictions"), F.every(due == F.col("valoracion")).alias("rated"),
+        F.every(F.col("told") == F.col("prediccion_modelo")).alias("answered"))
