@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 #: Phrases whose words, standing consecutively, name a license.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label, opening words of a well-known notice, and the phrases without which it is not that notice.
+#: Label, words of a well-known notice, and the phrases without which it is not that notice.
+#: Where versions or variants differ, a phrase that only one of them has tells them apart.
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
             "documentation files the software to deal in the software without restriction",
      ["permission is hereby granted free of charge", "without restriction"]),
+    ("mit", "released under the mit license", ["mit license"]),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+            "granted provided that the above copyright notice and this permission notice appear in all copies",
+     ["with or without fee is hereby granted"]),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
                "with the license",
      ["apache license version 2 0"]),
@@ -25,16 +30,31 @@ TEMPLATES = [
             "public license as published by the free software foundation",
      ["gnu general public license", "free software"]),
     ("gpl", "this work is licensed under the gnu general public license version 3", ["gnu general public license"]),
+    ("gpl-2", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license",
+     ["gnu general public license", "version 2"]),
+    ("gpl-3", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license",
+     ["gnu general public license", "version 3"]),
+    ("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation",
+     ["gnu lesser general public license"]),
+    ("agpl", "under the terms of the gnu affero general public license as published by the free software foundation",
+     ["gnu affero general public license"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
             "the following conditions are met",
      ["redistribution and use in source and binary forms"]),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission",
+     ["endorse or promote products"]),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0",
      ["mozilla public license"]),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     ["eclipse public license"]),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
      ["creative commons attribution"]),
-    ("mit", "released under the mit license", ["mit license"]),
 ]
+#: Words that may be put in or left out between two words of a notice before they count as missing.
+BAND = 3
 
 #: Digits, small letters and all beyond ASCII stay, capitals become small, the rest parts words.
 _FOLD = bytes(
@@ -51,7 +71,6 @@ class Template:
     label: str
     words: tuple[bytes, ...]
     required: tuple[bytes, ...]  # each as ' word word '
-    required_words: frozenset[bytes]
 
 
 def _spaced(phrase: str) -> bytes:
@@ -60,8 +79,7 @@ def _spaced(phrase: str) -> bytes:
 
 def templates(texts=TEMPLATES) -> list[Template]:
     return [
-        Template(label, tuple(words_of(text.encode())), tuple(map(_spaced, required)),
-                 frozenset(w for p in required for w in words_of(p.encode())))
+        Template(label, tuple(words_of(text.encode())), tuple(map(_spaced, required)))
         for label, text, required in texts
     ]
 
@@ -84,43 +102,56 @@ def document_counts(docs: DataFrame, vocabulary: frozenset[bytes]) -> DataFrame:
 
 
 class Index:
-    """Postings (template, position) of every template word, and the words from rare to frequent."""
+    """Postings (template, position) of each template's rarest words, by the corpus' document counts.
 
-    def __init__(self, known: list[Template], counts: dict[bytes, int], rare_words: int, least: float):
-        self.known, self.rare_words, self.least = known, rare_words, least
-        self.vocabulary = license_words(known)
-        self.order = {w: i for i, w in enumerate(sorted(self.vocabulary, key=lambda w: (counts.get(w, 0), w)))}
+    A template is posted under as many of its rarest words as may be missing, and
+    one more: wherever ``least`` of its words stand, one of those does. So a text
+    is looked up by its rare licence words alone, and what that costs follows the
+    hits, not the number of templates.
+    """
+
+    def __init__(self, known: list[Template], counts: dict[bytes, int], least: float = 0.75, band: int = BAND):
+        self.known, self.least, self.band = known, least, band
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for number, template in enumerate(known):
-            for position, word in enumerate(template.words):
-                self.postings.setdefault(word, []).append((number, position))
+            rare = sorted(range(len(template.words)), key=lambda i: (counts.get(template.words[i], 0), template.words[i], i))
+            for position in rare[:self.may_miss(number) + 1]:
+                self.postings.setdefault(template.words[position], []).append((number, position))
+        self.keys = frozenset(self.postings)
 
-    def enough(self, number: int) -> int:
-        """How many words to look up: more than may miss at an alignment of ``least`` share, so that one of them hits."""
+    def may_miss(self, number: int) -> int:
         size = len(self.known[number].words)
-        return max(self.rare_words, size - ceil(self.least * size) + 1)
+        return size - ceil(self.least * size)
+
+    def share(self, number: int, shift: int, words: list[bytes]) -> float:
+        """Of a template's words, how many stand within the band of their place; 0 when too many miss."""
+        template, missing = self.known[number].words, self.may_miss(number)
+        for i, word in enumerate(template, shift):
+            if word not in words[max(i - self.band, 0):max(i + self.band + 1, 0)]:
+                missing -= 1
+                if missing < 0:
+                    return 0.0
+        return (len(template) - self.may_miss(number) + missing) / len(template)
 
     def match(self, words: list[bytes], spaced: bytes) -> dict[str, float]:
-        """Label -> share of the template's words that stand at one alignment, for those verified."""
-        present = self.vocabulary.intersection(words)
-        possible = {i for i, t in enumerate(self.known) if t.required_words <= present and all(p in spaced for p in t.required)}
-        if not possible:
+        """Label -> the best share of a template's words in place, for those verified.
+
+        Rare words give templates and their places in the text; where such a place
+        holds, the template's phrases are searched.
+        """
+        if self.keys.isdisjoint(words):
             return {}
-        # The rarest words of this text that each possible template has, looked up in the index.
-        rare: dict[bytes, list[tuple[int, int]]] = {}
-        for number in possible:
-            wanted = sorted(present.intersection(self.known[number].words), key=self.order.__getitem__)
-            for word in wanted[:self.enough(number)]:
-                rare.setdefault(word, []).extend(p for p in self.postings[word] if p[0] == number)
-        hits = {(number, at - position) for at, word in enumerate(words) if word in rare for number, position in rare[word]}
+        shifts: dict[int, set[int]] = {}
+        for at, word in enumerate(words):
+            if word in self.keys:
+                for number, position in self.postings[word]:
+                    shifts.setdefault(number, set()).add(at - position)
         best: dict[str, float] = {}
-        for number, shift in hits:
-            template = self.known[number].words
-            same = sum(0 <= shift + i < len(words) and words[shift + i] == w for i, w in enumerate(template))
-            share = same / len(template)
-            if share >= self.least:
-                label = self.known[number].label
-                best[label] = max(best.get(label, 0.0), share)
+        for number, places in shifts.items():
+            template = self.known[number]
+            share = max(self.share(number, shift, words) for shift in places)
+            if share and all(phrase in spaced for phrase in template.required):
+                best[template.label] = max(best.get(template.label, 0.0), share)
         return best
 
 
@@ -137,25 +168,26 @@ def phrase_places(words: list[bytes], spaced: bytes, phrases: dict[bytes, str])
     return places
 
 
-def scan(docs: DataFrame, rare_words: int = 8, least: float = 0.75) -> DataFrame:
+def scan(docs: DataFrame, least: float = 0.75, band: int = BAND) -> DataFrame:
     """License labels of every whole text.
 
     Rows: ``doc_id``, ``n_words``, ``n_base``, ``first_word`` and ``last_word`` (null
-    without a place), ``base_labels``, ``labels`` and ``score``, the best aligned
-    share of a template's words (0 without one, 1 where a phrase alone stands).
+    without a place), ``base_labels``, ``labels`` and ``score``, the best share of a
+    template's words in place (0 without one, 1 where a phrase alone stands).
 
     A first pass counts in how many documents each word of the templates stands;
-    its result has as many rows as the templates have words. The second verifies
-    a template's mandatory phrases, looks up at least ``rare_words`` of the
-    text's rarest words for each template that has them all, takes their relative
-    positions, and keeps alignments of ``least`` share; so a text may hold any
-    number of notices. Null and empty texts have no words; repeated
-    rows stay; other columns are ignored; an empty table gives no rows.
+    its result has as many rows as the templates have words. The second looks up a
+    text's rare licence words, takes templates and relative positions from their
+    postings, keeps places where ``least`` of a template's words stand, each up to
+    ``band`` words off, and verifies the mandatory phrases last. So a notice bears a
+    word put in, left out or changed, and a text may hold any number of notices.
+    Null and empty texts have no words; repeated rows stay; other columns are
+    ignored; an empty table gives no rows.
     """
     known = templates()
     vocabulary = license_words(known)
     counts = {r["word"].encode(): r["n"] for r in document_counts(docs, vocabulary).collect()}
-    index = Index(known, counts, rare_words, least)
+    index = Index(known, counts, least, band)
     phrases = {_spaced(p): label for p, label in PHRASES.items()}
     kind = docs.schema["doc_id"].dataType.simpleString()
 
