@@ -33,7 +33,7 @@ MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
 MAX_FIT_ROWS = 200_000
 FIT_PARTITIONS = 8
-PART_TREES = 20
+PART_TREES = 50
 FITS_AT_ONCE = 2
 MOST_NODES = 4_000_000
 
