@@ -10,8 +10,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pieces that each half of a Python worker's memory holds. Only speed depends on it.
-REMEMBERED = 350_000
+#: Distinct pieces that each half of a Python worker's memory holds, some 150 bytes each. Only speed depends on it.
+REMEMBERED = 150_000
 REMEMBERED_BYTES = 64
 #: Characters from which on a text's pieces are not listed at once.
 LONG = 1 << 20
@@ -54,6 +54,7 @@ class Vocabulary:
         pairs = (line.split() for line in ranks_file.splitlines() if line)
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.names = {rank: str(rank) for rank in self.tokens}
         self.cut = regex.compile(pattern)
         self.known = _Known(self.merge)
 
@@ -116,6 +117,16 @@ class Vocabulary:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def digests(self, ids: bytes) -> tuple[int, str, str]:
+        """(number of ids, hash of the ids as text, hash of the bytes they stand for), a bounded number at a time."""
+        listed, decoded = hashlib.sha256(), hashlib.sha256()
+        numbers = memoryview(ids).cast("i")
+        for at in range(0, len(numbers), BATCH_IDS):
+            part = numbers[at:at + BATCH_IDS].tolist()
+            listed.update(("," if at else "").encode() + ",".join(map(self.names.__getitem__, part)).encode())
+            decoded.update(self.decode(part))
+        return len(numbers), listed.hexdigest(), decoded.hexdigest()
+
 
 _LOADED: dict[tuple[str, str], Vocabulary] = {}
 
@@ -187,11 +198,22 @@ def decode(encoded: DataFrame, path: str, pattern: str, keys: list[str] | None =
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, keys: list[str] | None = None) -> DataFrame:
-    """Per row: ``keys``, ``n_tokens``, ``ids_sha256`` (of decimal ids joined by commas), ``decoded_sha256``."""
+    """Per row: ``keys``, ``n_tokens``, ``ids_sha256`` (of decimal ids joined by commas), ``decoded_sha256``.
+
+    The bytes that are hashed last are those the ids decode to. One worker does
+    both ways, so only hashes leave it; nulls, empty texts, repeated rows and
+    extra columns are treated as by ``encode``.
+    """
     keys = keys or ["doc_id"]
-    there = decode(encode(docs, path, pattern, keys), path, pattern, keys)
-    return there.select(
-        *keys, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    source = docs.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
+    ranks_file = docs.sparkSession.sparkContext.broadcast(_read(path))
+    schema = ", ".join(f"`{n}` {t}" for n, t in source.select(*keys).dtypes) + ", n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(ranks_file.value, pattern)
+        for batch in batches:
+            rows = [vocabulary.digests(vocabulary.encode(text.as_py())) for text in batch.column(len(keys))]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*keys, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return source.mapInArrow(digested, schema)

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_BLANK, computed, materialize, words
+from .common import NOT_BLANK, computed, materialize, unreserved, words
 
 #: Characters that count as symbols (fixed value).
 SYMBOLS = "#*$%&|<>"
@@ -93,33 +93,46 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean * weight, (1 - mean) * weight
 
 
+def host_rates(found: DataFrame) -> DataFrame:
+    """(of, host_rate) of every host of rows (host, doubtful): failures are summed by host before the
+    shuffle, and a host's rate is shrunk towards the corpus by a beta prior fitted to all hosts."""
+    hosts = found.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("doubtful").cast("long")).alias("bad"))
+    alpha, beta = beta_prior(hosts)
+    return hosts.select(F.col("host").alias("of"), ((F.col("bad") + alpha) / (F.col("n") + alpha + beta)).alias("host_rate"))
+
+
 def judged(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
     """Measures, ``base_failed``, ``doubtful``, ``host_rate`` and ``kept`` of every row.
 
-    Failures are summed by host before the shuffle; a host's rate is shrunk
-    towards the corpus by a beta prior fitted to all hosts, and joined back.
-    A null host is a host of its own; null and empty texts fail their base;
-    repeated rows count as often as they stand; extra columns are ignored; an
-    empty table gives no rows.
+    Host verdicts are joined back to the measures. A null host is a host of its
+    own; null and empty texts fail their base; repeated rows count as often as
+    they stand; extra columns are ignored; an empty table gives no rows.
     """
     found = materialize(measures(docs, host).withColumns(_verdicts(limits)), "measures")
-    hosts = found.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("doubtful").cast("long")).alias("bad"))
-    alpha, beta = beta_prior(hosts)
-    rates = hosts.select(F.col("host").alias("of"), ((F.col("bad") + alpha) / (F.col("n") + alpha + beta)).alias("host_rate"))
+    rates = host_rates(found)
     named = found.join(rates, found["host"].eqNullSafe(rates["of"]), "left").drop("of")
     return named.withColumn("kept", ~F.col("base_failed") & ~((F.col("host_rate") > limits.max_host_rate) & F.col("doubtful")))
 
 
 def passing(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that are kept, as they are; repeated rows stay repeated."""
-    named = docs.withColumn("_llm_text", F.xxhash64("text"))
-    # A verdict depends on text and host only, so rows may share one.
-    keyed = docs.select(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n")).alias("doc_id"), F.col(host).alias("source"), "text")
-    verdicts = judged(keyed, limits).where("kept").select(
-        F.col("doc_id.h").alias("_llm_h"), F.col("doc_id.n").alias("_llm_n"), F.col("host").alias("_llm_host")).distinct()
-    return named.join(
-        verdicts, (named["_llm_text"] == verdicts["_llm_h"]) & F.length(named["text"]).eqNullSafe(verdicts["_llm_n"])
-        & named[host].eqNullSafe(verdicts["_llm_host"]), "left_semi").drop("_llm_text")
+    """The rows of ``docs`` that are kept, as they are.
+
+    Texts are not shuffled: rows that pass their base are written once beside
+    their verdicts, and only doubtful ones meet the mistrusted hosts. Nulls, empty
+    texts and hosts are treated as by ``judged``; repeated rows stay repeated; all
+    columns stay, whatever their names, but for names that begin with _llm_,
+    which are refused; an empty table gives no rows.
+    """
+    rows = unreserved(docs).select(F.struct(*docs.columns).alias("doc_id"), F.col(host).alias("_llm_host"), "text")
+    found = measures(rows, "_llm_host").withColumns(_verdicts(limits)).select(
+        "host", "doubtful", F.when(~F.col("base_failed"), F.col("doc_id")).alias("row"))
+    found = materialize(found, "verdicts")
+    rates = host_rates(found)
+    mistrusted = rates.where(F.col("host_rate") > limits.max_host_rate)
+    stay = found.where(F.col("row").isNotNull())
+    doubtful = stay.where("doubtful")
+    doubtful = doubtful.join(mistrusted, doubtful["host"].eqNullSafe(mistrusted["of"]), "left_anti")
+    return stay.where("not doubtful").select("row.*").unionByName(doubtful.select("row.*"))
 
 
 def host_sql(limits: Limits = Limits()) -> str:

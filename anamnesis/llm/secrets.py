@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import computed
+from .common import computed, materialize, unreserved
 
 #: The strong kinds in the order in which spans of one start are listed.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -41,6 +41,8 @@ STRONG = 3
 #: Which part of a credential a kind is.
 PARTS = {"identifier": [1, 3], "secret": [0, 2, 4], "endpoint": [5]}
 RUN = 256
+#: What tells the different texts of a doc_id apart.
+KEY = ["doc_id", "text_hash", "text_length"]
 
 
 def _sum(numbers: Column) -> Column:
@@ -109,13 +111,35 @@ def _count(kind: int) -> Column:
     return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
 
 
-def _parts(df: DataFrame) -> DataFrame:
+def _parts(df: DataFrame, *kept: str) -> DataFrame:
     """Replaces the matches by ``parts``: (start, kind, stop) in code points, (at, upto) in bytes."""
     for kind in KINDS:
         df = _starts(df, kind, F.length, f"c_{kind}")
         df = _starts(df, kind, F.octet_length, f"b_{kind}")
     columns = [_spans(number, kind) for number, kind in enumerate(KINDS)]
-    return df.select("doc_id", "text_hash", "text_length", F.concat(*columns).alias("parts"))
+    return df.select(*kept, *KEY, F.concat(*columns).alias("parts"))
+
+
+def _texts(docs: DataFrame, *kept: Column) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(*kept, "doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"), F.length(text).alias("text_length"))
+
+
+def _linked(found: DataFrame, reach: int) -> DataFrame:
+    """KEY, copies and spans from the ``parts`` of texts."""
+    # Equal rows become one before anything is spread out.
+    found = found.groupBy(*KEY).agg(F.count("*").alias("copies"), F.first("parts").alias("parts"))
+    spread = found.select(*KEY, "copies", F.explode_outer("parts").alias("p")).select(*KEY, "copies", "p.*")
+    near = Window.partitionBy(*KEY).orderBy("start").rangeBetween(-reach, reach)
+    has = {name: F.max(F.col("kind").isin(kinds)).over(near) for name, kinds in PARTS.items()}
+    spread = spread.withColumns({f"has_{name}": c for name, c in has.items()})
+    linked = (
+        F.when(F.col("kind") < STRONG, True)
+        .when(F.col("kind") == 3, F.col("has_secret"))
+        .when(F.col("kind") == 4, F.col("has_identifier"))
+        .otherwise(F.col("has_identifier") & F.col("has_secret")))
+    span = F.when(F.col("kind").isNotNull() & linked, F.struct("start", "kind", "stop", "at", "upto"))
+    return spread.groupBy(*KEY).agg(F.first("copies").alias("copies"), F.sort_array(F.collect_list(span)).alias("spans"))
 
 
 def scan(docs: DataFrame, reach: int = 400) -> DataFrame:
@@ -133,23 +157,7 @@ def scan(docs: DataFrame, reach: int = 400) -> DataFrame:
     Null and empty texts have no spans; a null doc_id is a value like others;
     extra columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
-        "doc_id", "text", F.xxhash64("text").alias("text_hash"), F.length("text").alias("text_length"))
-    key = ["doc_id", "text_hash", "text_length"]
-    found = _parts(_matches(texts))
-    # Equal rows become one before anything is spread out.
-    found = found.groupBy(*key).agg(F.count("*").alias("copies"), F.first("parts").alias("parts"))
-    spread = found.select(*key, "copies", F.explode_outer("parts").alias("p")).select(*key, "copies", "p.*")
-    near = Window.partitionBy(*key).orderBy("start").rangeBetween(-reach, reach)
-    has = {name: F.max(F.col("kind").isin(kinds)).over(near) for name, kinds in PARTS.items()}
-    spread = spread.withColumns({f"has_{name}": c for name, c in has.items()})
-    linked = (
-        F.when(F.col("kind") < STRONG, True)
-        .when(F.col("kind") == 3, F.col("has_secret"))
-        .when(F.col("kind") == 4, F.col("has_identifier"))
-        .otherwise(F.col("has_identifier") & F.col("has_secret")))
-    span = F.when(F.col("kind").isNotNull() & linked, F.struct("start", "kind", "stop", "at", "upto"))
-    return spread.groupBy(*key).agg(F.first("copies").alias("copies"), F.sort_array(F.collect_list(span)).alias("spans"))
+    return _linked(_parts(_matches(_texts(docs))), reach)
 
 
 def listed(spans: Column) -> Column:
@@ -172,23 +180,29 @@ def report(docs: DataFrame, reach: int = 400) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[REDACTED]", reach: int = 400) -> DataFrame:
     """``docs`` with every span of a text replaced by ``mark``; other texts and columns as they are.
 
-    Overlapping spans are replaced together. The text is cut by byte offsets,
-    so a text with many spans is walked once.
+    Spans that overlap or touch are replaced together. Texts are searched once and
+    written beside the parts found; those without any part go on from there, the
+    others alone meet their spans. A text is cut by byte offsets, so one with many
+    spans is walked once. Null and empty texts and null ids stay; repeated rows
+    stay repeated; all columns stay, whatever their names, but for names that begin
+    with _llm_, which are refused; an empty table gives no rows.
     """
-    found = scan(docs, reach).where(F.size("spans") > 0)
+    row = F.struct(*unreserved(docs).columns)
+    found = materialize(_parts(_matches(_texts(docs, row.alias("_llm_row"))), "_llm_row"), "secret-parts")
+    clean, suspect = found.where(F.size("parts") == 0), found.where(F.size("parts") > 0)
+    spans = _linked(suspect.select(*KEY, "parts"), reach).where(F.size("spans") > 0)
     # Merge what overlaps: a span opens a new cut if it starts behind all before it.
-    order = Window.partitionBy("doc_id", "text_hash", "text_length").orderBy("s.at", "s.upto").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = found.select("doc_id", "text_hash", "text_length", F.explode("spans").alias("s")).withColumn("past", F.max("s.upto").over(order))
-    cuts = cuts.groupBy("doc_id", "text_hash", "text_length").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("s.at").alias("at"), F.col("s.upto").alias("upto"), F.coalesce("past", F.lit(0).cast("long")).alias("past")))).alias("_llm_cuts"),
-        F.max("s.upto").alias("_llm_end"))
-    cuts = cuts.select(F.col("doc_id").alias("_llm_id"), F.col("text_hash").alias("_llm_hash"), F.col("text_length").alias("_llm_length"), "_llm_cuts", "_llm_end")
-    keyed = docs.withColumn("_llm_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = keyed.join(cuts, keyed["doc_id"].eqNullSafe(cuts["_llm_id"]) & (keyed["_llm_text_hash"] == cuts["_llm_hash"]) & (F.length(keyed["text"]) == cuts["_llm_length"]), "left")
-    data = both["text"].cast("binary")
+    order = Window.partitionBy(*KEY).orderBy("s.at", "s.upto").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = spans.select(*KEY, F.explode("spans").alias("s")).withColumn("past", F.max("s.upto").over(order))
+    cut = F.struct(F.col("s.at").alias("at"), F.coalesce("past", F.lit(0).cast("long")).alias("past"), F.col("past").isNull().alias("opens"))
+    cuts = cuts.groupBy(*KEY).agg(F.sort_array(F.collect_list(cut)).alias("cuts"), F.max("s.upto").alias("end"))
+    cuts = cuts.select(*(F.col(name).alias(f"of_{name}") for name in KEY), "cuts", "end")
+    same = reduce(Column.__and__, (suspect[name].eqNullSafe(cuts[f"of_{name}"]) for name in KEY))
+    both = suspect.join(cuts, same, "left").select(F.col("_llm_row.*"), F.col("cuts").alias("_llm_cuts"), F.col("end").alias("_llm_end"))
+    data = F.col("text").cast("binary")
     piece = lambda at, n: F.substring(data, (at + 1).cast("int"), n.cast("int")).cast("string")
-    pieces = F.transform("_llm_cuts", lambda c: F.when((c.at > c.past) | (c.at == 0), F.concat(
+    pieces = F.transform("_llm_cuts", lambda c: F.when((c.at > c.past) | c.opens, F.concat(
         F.when(c.at > c.past, piece(c.past, c.at - c.past)).otherwise(F.lit("")), F.lit(mark))).otherwise(F.lit("")))
-    text = F.when(both["_llm_cuts"].isNull(), both["text"]).otherwise(
-        F.concat(F.array_join(pieces, ""), F.coalesce(piece(F.col("_llm_end"), F.octet_length(both["text"]) - F.col("_llm_end")), F.lit(""))))
-    return both.withColumn("text", text).select(*docs.columns)
+    rest = F.coalesce(piece(F.col("_llm_end"), F.octet_length("text") - F.col("_llm_end")), F.lit(""))
+    text = F.when(F.col("_llm_cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest))
+    return clean.select("_llm_row.*").unionByName(both.withColumn("text", text).select(*docs.columns))

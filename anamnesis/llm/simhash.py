@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import materialize, unreserved
 from .components import components
 
 SEED = 42
@@ -172,7 +172,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Keeps of each near-duplicate group the row with the smallest doc_id (nulls last, then by content)."""
+    """Keeps of each near-duplicate group the row with the smallest doc_id (nulls last, then by content).
+
+    Groups are those of ``near_duplicates``: null and empty texts are one group;
+    of repeated rows one stays; unrelated texts under one doc_id, or without one,
+    are groups of their own. All columns stay, whatever their names, but for names
+    that begin with _llm_, which are refused; an empty table gives no rows.
+    """
+    unreserved(docs)
     hashable = [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
     named = docs.withColumn("_llm_row", F.xxhash64(*(docs[name] for name in hashable)))
     prints = materialize(fingerprints(named, shingle, ["doc_id", "_llm_row"]), "doc-fingerprints")
