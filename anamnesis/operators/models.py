@@ -1,34 +1,36 @@
-"""Class-weighted forest and logistic baseline with pyspark.ml.
+"""Class-weighted forest, and logistic baseline with pyspark.ml.
 
-A forest is grown in parts, each from a seed of its own, which are written and
-dropped one by one; scoring adds the parts' votes. So the driver holds a few
-parts, whatever the number of trees and folds.
+Each tree of a forest is a group of its bag's rows, grown in a task and written there;
+scoring reads the trees in tasks and adds their votes. So the driver holds no tree,
+whatever the number of rows, trees and folds.
 """
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+import math
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pandas as pd
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
 from ..session import materialize, scratch_path, shared_folder
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
+from .trees import Grown, Shape, codes_of, grow
 
 LABEL = "label"
 WEIGHT = "weight"
 # Constants of a fit; none follows the number of rows or of cores. The rows bound
-# a tree, as none has more leaves than rows; PART_TREES of them grow together, in
-# FITS_AT_ONCE parts side by side. Which part a tree belongs to is part of the model;
-# how many parts are held at once to score, at most MOST_NODES nodes, is not.
+# a tree, as none has more leaves than rows. PART_TREES trees are a part, and FITS_AT_ONCE
+# parts grow in one job. Neither is part of the model, nor is how many parts a task
+# holds at once to score, at most MOST_NODES nodes for VOTE_ROWS rows.
 MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
 MAX_FIT_ROWS = 200_000
@@ -36,6 +38,9 @@ FIT_PARTITIONS = 8
 PART_TREES = 50
 FITS_AT_ONCE = 2
 MOST_NODES = 4_000_000
+VOTE_ROWS = 100_000
+# Shares of draws from a Poisson distribution of mean one that are at most 0, 1, 2, ...
+DRAWS = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(13)]
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -57,13 +62,13 @@ def _assembler() -> VectorAssembler:
 
 def forest(trees: int = TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
            min_rows_per_leaf: int = MIN_ROWS_PER_LEAF) -> RandomForestClassifier:
-    """Node ids are cached because deep trees otherwise ship the growing forest
-    to every task at every level."""
+    """The parameters of a forest, by their names in pyspark.ml. Its own fit sends dense
+    counts of all codes for every node of every partition through a shuffle and builds all nodes
+    on the driver, so deep forests are grown by ``fit_forest``."""
     return RandomForestClassifier(
         featuresCol="features", labelCol=LABEL, weightCol=WEIGHT,
         numTrees=trees, maxDepth=max_depth, maxBins=128, featureSubsetStrategy="sqrt",
-        minInstancesPerNode=min_rows_per_leaf,
-        seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024,
+        minInstancesPerNode=min_rows_per_leaf, seed=seed,
     )
 
 
@@ -76,15 +81,31 @@ def logistic(n_train: int) -> Pipeline:
     )])
 
 
+@dataclass(frozen=True)
+class Tree:
+    """What is known of a tree besides its nodes."""
+
+    uid: str
+    nodes: int
+    importances: tuple[float, ...]
+
+
+@dataclass(frozen=True)
+class Part:
+    trees: tuple[Tree, ...]
+
+
 @dataclass(frozen=True)
 class PartedForest:
-    """A forest in a folder: a saved model per part, and a table of the parts with their trees and nodes."""
+    """A forest in a folder: a table of trees by part, and one of the parts with their trees and nodes."""
 
     spark: SparkSession
     path: str
     parts: tuple[tuple[str, int, int], ...]
 
     TABLE = "name string, trees int, nodes bigint"
+    TREE = ("tree int, nodes bigint, importances array<double>, points array<array<double>>, "
+            "feature binary, split binary, left binary, votes binary")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "PartedForest":
@@ -97,13 +118,17 @@ class PartedForest:
         spark.createDataFrame(sorted(parts), cls.TABLE).coalesce(1).write.parquet(f"{path}/parts")
         return cls.load(spark, path)
 
-    def part(self, name: str) -> RandomForestClassificationModel:
-        return RandomForestClassificationModel.load(f"{self.path}/{name}")
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.TREE).parquet(f"{self.path}/{name}")
+
+    def part(self, name: str) -> Part:
+        rows = self.table(name).select("tree", "nodes", "importances").collect()
+        return Part(tuple(Tree(f"{name}/tree={r['tree']:05d}", r["nodes"], tuple(r["importances"])) for r in sorted(rows)))
 
     def save(self, path: str) -> None:
         """A copy elsewhere, part by part."""
         for name, _, _ in self.parts:
-            self.part(name).save(f"{path}/{name}")
+            self.table(name).write.parquet(f"{path}/{name}")
         self.write(self.spark, path, self.parts)
 
     def groups(self, most_nodes: int = MOST_NODES) -> list[list[str]]:
@@ -117,25 +142,70 @@ class PartedForest:
             held += nodes
         return out
 
+    def shared(self) -> "PartedForest":
+        """The forest where tasks can read it: below the shared folder."""
+        folder = shared_folder(self.spark)
+        if self.path.startswith(f"{folder}/"):
+            return self
+        path = scratch_path(self.spark, "forest")
+        self.save(path)
+        return PartedForest(self.spark, path, self.parts)
+
     def votes(self, rows: DataFrame, most_nodes: int = MOST_NODES) -> DataFrame:
-        """Adds ``votes`` by class, added in the order of the parts, so that the sums
-        do not follow ``most_nodes``.
+        """Adds ``votes`` by class, exact sums over the trees, so that they do not follow
+        the order of the trees nor ``most_nodes``.
 
-        Between two groups the rows are written, and the group is dropped. A stream
-        has no such step: there all parts are in its plan.
+        A task reads the trees from the folder. It holds a group of parts at a time; if there
+        are several, each passes over blocks of ``VOTE_ROWS`` rows, of which features alone are held.
         """
-        voted = rows.withColumn("votes", F.array(*[F.lit(0.0)] * len(LEVELS)))
-        groups = self.groups(most_nodes)
-        for number, group in enumerate(groups):
-            voted = _assembler().transform(voted)
-            for name in group:
-                model = self.part(name).setFeaturesCol("features").setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
-                voted = model.transform(voted).withColumn(
-                    "votes", F.zip_with("votes", vector_to_array("_raw"), lambda a, b: a + b)).drop("_raw")
-            voted = voted.drop("features")
-            if number + 1 < len(groups) and not rows.isStreaming:
-                voted = materialize(voted, "votes")
-        return voted
+        path, groups = self.shared().path, self.groups(most_nodes)
+
+        @F.pandas_udf("array<double>")
+        def add_votes(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            held = {}
+            for block in _blocks(batches):
+                sizes = [len(batch[0]) for batch in block]
+                columns = [np.concatenate([np.asarray(batch[i], "f8") for batch in block]) for i in range(len(FEATURES))]
+                votes = np.zeros((sum(sizes), len(LEVELS)))
+                for number, group in enumerate(groups):
+                    if number not in held:
+                        held = {number: [_grown(path, name) for name in group]}
+                    for points, trees in held[number]:
+                        codes = codes_of(columns, points)
+                        for tree in trees:
+                            tree.add_votes(codes, votes)
+                end = 0
+                for size in sizes:
+                    yield pd.Series(list(votes[end:end + size]))
+                    end += size
+
+        return rows.withColumn("votes", add_votes(*[F.col(name).cast("double") for name in FEATURES]))
+
+
+def _blocks(batches: Iterator[tuple[pd.Series, ...]], most: int = VOTE_ROWS) -> Iterator[list]:
+    block, size = [], 0
+    for batch in batches:
+        block.append(batch)
+        size += len(batch[0])
+        if size >= most:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _grown(path: str, name: str) -> tuple[list, list[Grown]]:
+    """The split points of a part and its trees, read in a task."""
+    fs, folder = pafs.FileSystem.from_uri(f"{path}/{name}")
+    points, trees = [[] for _ in FEATURES], []
+    for file in fs.get_file_info(pafs.FileSelector(folder)):
+        if file.base_name.endswith(".parquet"):
+            with fs.open_input_file(file.path) as source:
+                for batch in pq.ParquetFile(source).iter_batches(batch_size=1):
+                    row = batch.to_pylist()[0]
+                    points = row["points"]
+                    trees.append(Grown(row, len(LEVELS)))
+    return points, trees
 
 
 Model = PipelineModel | PartedForest
@@ -181,32 +251,81 @@ def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int = MAX_FIT_RO
     return _dealt(chosen, key, fit_partitions)
 
 
-def side_by_side(spark: SparkSession, work: Callable, items: Iterable, at_once: int = FITS_AT_ONCE) -> list:
-    """Runs jobs from a few driver threads."""
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
+def split_points(rows: DataFrame, bins: int) -> list[list[float]]:
+    """Where each feature may be split: between all of its values, or between ``bins``
+    even shares of the rows if it has more. Values that are no numbers have no place."""
+    long = rows.select(F.posexplode(F.array(*[F.col(name).cast("double") for name in FEATURES])).alias("feature", "value"))
+    counts = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    ordered = Window.partitionBy("feature").orderBy("value")
+    whole = Window.partitionBy("feature")
+    seen = counts.select(
+        "feature", "value", "n", F.lead("value").over(ordered).alias("next"),
+        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("n").over(whole).alias("total"), F.count("*").over(whole).alias("values"))
+    ends = (F.col("values") <= bins) | F.expr(f"upto * {bins} div total > (upto - n) * {bins} div total")
+    middle = (F.col("value") + F.col("next")) / 2
+    cuts = seen.where(F.col("next").isNotNull() & ends).select("feature", middle.alias("at")).where(~F.isnan("at")).collect()
+    return [sorted({r["at"] for r in cuts if r["feature"] == number}) for number in range(len(FEATURES))]
+
+
+def bagged(rows: DataFrame, trees: range, seed: int) -> DataFrame:
+    """A row of each tree's bag with how often it was drawn, a Poisson number by a hash of the row's ``place``
+    and the tree; and a row drawn no times for each tree, so that an empty bag is a group too."""
+    each = rows.withColumn("tree", F.explode(F.sequence(F.lit(trees.start), F.lit(trees.stop - 1))))
+    draw = F.pmod(F.xxhash64("place", "tree", F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    drawn = each.withColumn("draw", draw).where(F.col("draw") >= DRAWS[0]).withColumn(
+        "count", sum((F.col("draw") >= share).cast("int") for share in DRAWS)).drop("draw")
+    blank = rows.sparkSession.range(trees.start, trees.stop, numPartitions=1).select(
+        F.lit(0).cast("long").alias("place"), F.lit(0.0).alias(LABEL), F.lit(0.0).alias(WEIGHT), F.lit(b"").alias("codes"),
+        F.col("id").cast("int").alias("tree"), F.lit(0).alias("count"))
+    return drawn.unionByName(blank)
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str = "guid",
                max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS,
                part_trees: int = PART_TREES, at_once: int = FITS_AT_ONCE) -> PartedForest:
-    """Grows the parts from the same rows, each with its own seed, and writes each to
-    the shared folder as soon as it is grown. Node ids are checkpointed there,
-    every ten levels."""
+    """Grows the trees of ``at_once`` parts in a job, a tree a group, and writes them to
+    the shared folder. A group has at most ``max_fit_rows`` rows, of a few bytes each;
+    it is put in order first, so that a tree follows from its rows alone."""
     spark = train.sparkSession
-    shared_folder(spark)
     path = scratch_path(spark, "forest")
+    stage = forest(trees, seed)
     chosen = materialize(fit_rows(train, key, max_fit_rows, fit_partitions).select(key, *FEATURES, LABEL, WEIGHT), "fit-rows")
-
-    def grow(number: int) -> tuple[str, int, int]:
-        count = min(part_trees, trees - number * part_trees)
-        rows = _assembler().transform(_dealt(chosen, key, fit_partitions))
-        model = forest(count, seed + 1_000_003 * number).fit(rows)
+    if chosen.isEmpty():
+        raise ValueError("no row to fit a forest on")
+    points = split_points(chosen, stage.getMaxBins())
+    shape = Shape(len(LEVELS), math.ceil(math.sqrt(len(FEATURES))), stage.getMaxDepth(), stage.getMinInstancesPerNode(), stage.getMinInfoGain())
+
+    @F.pandas_udf("binary")
+    def coded(*columns: pd.Series) -> pd.Series:
+        return pd.Series([row.tobytes() for row in np.ascontiguousarray(codes_of(columns, points).T)], dtype=object)
+
+    def grown(bag: pd.DataFrame) -> pd.DataFrame:
+        tree = int(bag["tree"].iloc[0])
+        bag = bag[bag["count"] > 0].sort_values("place")
+        codes = np.ascontiguousarray(np.frombuffer(b"".join(bag["codes"]), "u1").reshape(len(bag), len(FEATURES)).T)
+        count = bag["count"].to_numpy("f8")
+        made = grow(codes, bag[LABEL].to_numpy("i8"), bag[WEIGHT].to_numpy("f8") * count, count, [seed & 0xFFFFFFFF, tree], shape)
+        return pd.DataFrame([{"tree": tree, "points": points, **made}])[columns]
+
+    columns = [name.split()[0] for name in PartedForest.TREE.split(", ")]
+    coded_rows = chosen.select(F.xxhash64(key, *FEATURES, LABEL).alias("place"), LABEL, WEIGHT,
+                               coded(*[F.col(name).cast("double") for name in FEATURES]).alias("codes"))
+    # Equal rows are drawn apart.
+    again = F.row_number().over(Window.partitionBy("place").orderBy(LABEL, WEIGHT, "codes"))
+    rows = materialize(coded_rows.withColumn("place", F.xxhash64("place", again)), "fit-codes")
+    step = part_trees * at_once
+    for first in range(0, trees, step):
+        some = range(first, min(trees, first + step))
+        made = bagged(rows, some, seed).repartition(len(some), "tree").groupBy("tree").applyInPandas(grown, PartedForest.TREE)
+        part = F.lpad(F.floor(F.col("tree") / part_trees).cast("string"), 5, "0")
+        made.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
+    parts = []
+    for number, first in enumerate(range(0, trees, part_trees)):
         name = f"part={number:05d}"
-        model.save(f"{path}/{name}")
-        return name, count, model.totalNumNodes
-
-    return PartedForest.write(spark, path, side_by_side(spark, grow, range(-(-trees // part_trees)), at_once))
+        nodes = spark.read.schema(PartedForest.TREE).parquet(f"{path}/{name}").agg(F.sum("nodes")).first()[0]
+        parts.append((name, min(part_trees, trees - first), nodes))
+    return PartedForest.write(spark, path, parts)
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:
@@ -241,8 +360,9 @@ def cross_validate(rows: DataFrame, key: str = "guid", trees: int = TREES) -> Da
 def feature_importances(spark: SparkSession, model: PartedForest) -> DataFrame:
     """One row: feature name -> importance, the mean over trees; parts are looked at one by one."""
     values = [0.0] * len(FEATURES)
-    for name, trees, _ in model.parts:
-        values = [a + trees * float(b) for a, b in zip(values, model.part(name).featureImportances.toArray())]
+    for name, _, _ in model.parts:
+        for tree in model.part(name).trees:
+            values = [a + b for a, b in zip(values, tree.importances)]
     total = sum(values) or 1.0
     return spark.range(1, numPartitions=1).select(
         importance_map(F.array(*[F.lit(name) for name in FEATURES]),
