@@ -2,8 +2,7 @@
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = "nombre_fichero string, at bigint, arrival bigint"
@@ -22,10 +21,11 @@ class FirstArrival(StatefulProcessor):
         self.handle = handle
         self.first = handle.getValueState("first", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = min(min(zip(part["at"].tolist(), part["arrival"].tolist())) for part in rows)
-        if self.first.exists():
-            at, arrival, told = self.first.get()
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = min((row["at"], row["arrival"]) for row in rows)
+        known = self.first.get()
+        if known is not None:
+            at, arrival, told = known
             if told or (at, arrival) <= best:
                 return iter(())
             self.handle.deleteTimer(at // 1000)
@@ -33,12 +33,12 @@ class FirstArrival(StatefulProcessor):
         self.handle.registerTimer(best[0] // 1000)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at, arrival, told = self.first.get()
         if told:
             return iter(())
         self.first.update((at, arrival, True))
-        return iter((pd.DataFrame({"nombre_fichero": [key[0]], "at": [at], "arrival": [arrival]}),))
+        return iter((Row(nombre_fichero=key[0], at=at, arrival=arrival),))
 
     def close(self) -> None:
         pass
@@ -56,6 +56,6 @@ def first_arrivals(files: DataFrame, late: str = "1 day") -> DataFrame:
     Timers need the state store that ``append_to(..., rocksdb=True)`` sets.
     """
     rows = files.select("nombre_fichero", "ts", F.unix_micros("ts").alias("at"), F.col("arrival").cast("long").alias("arrival"))
-    told = rows.withWatermark("ts", late).groupBy("nombre_fichero").transformWithStateInPandas(
+    told = rows.withWatermark("ts", late).groupBy("nombre_fichero").transformWithState(
         FirstArrival(), OUTPUT, outputMode="Append", timeMode="EventTime")
     return told.select("nombre_fichero", F.timestamp_micros("at").alias("ts"), "arrival")
