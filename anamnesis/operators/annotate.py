@@ -56,34 +56,47 @@ def _number_word(word: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), word)
 
 
+def _number(text: Column, anchors: list[str], pattern: str, group: int = 1) -> Column:
+    """The digits a regex finds as a number, null without; the regex is named, and so run, once."""
+    return F.when(_any(text, anchors), F.regexp_extract(text, pattern, group)).try_cast("int")
+
+
+def _word_number(text: Column, anchors: list[str], pattern: str, group: int = 1) -> Column:
+    return _number_word(F.when(_any(text, anchors), F.regexp_extract(text, pattern, group)))
+
+
 def _age(text: Column) -> Column:
-    in_words = _number_word(_matched(text, ["años"], lex.AGE_WORDS, 1)) + F.coalesce(
-        _number_word(_matched(text, ["años"], lex.AGE_WORDS, 2)), F.lit(0)
+    in_words = _word_number(text, ["años"], lex.AGE_WORDS) + F.coalesce(
+        _word_number(text, ["años"], lex.AGE_WORDS, 2), F.lit(0)
     )
     return F.coalesce(
-        _matched(text, lex.YEAR_ANCHORS, lex.AGE_IN_YEARS, 1).cast("int"),
-        F.nullif(F.regexp_extract(text, lex.AGE_TOLD, 1), F.lit("")).cast("int"),
+        _number(text, lex.YEAR_ANCHORS, lex.AGE_IN_YEARS),
+        _number(text, lex.AGE_TOLD_ANCHORS, lex.AGE_TOLD),
         in_words,
     )
 
 
 def _pain(text: Column) -> Column:
-    score = F.coalesce(
-        _matched(text, lex.TEN_ANCHORS, lex.PAIN_OF_TEN, 1).cast("int"),
-        _matched(text, lex.PAIN_ANCHORS, lex.PAIN_DIGITS, 1).cast("int"),
-        _number_word(F.nullif(F.regexp_extract(text, lex.PAIN_WORDS, 1), F.lit(""))),
+    return F.coalesce(
+        _number(text, lex.TEN_ANCHORS, lex.PAIN_OF_TEN),
+        _number(text, lex.PAIN_ANCHORS, lex.PAIN_DIGITS),
+        _number_word(F.regexp_extract(text, lex.PAIN_WORDS, 1)),
     )
-    return F.when(score.between(0, 10), score)
 
 
-def _answered(dialogue: Column, anchors: list[str], asked: str) -> Column:
+def _number_in(answer: Column) -> Column:
     """The number in the patient's answer to a question, in digits or words."""
-    answer = _matched(dialogue, anchors, asked, 1)
-    digits = F.nullif(F.regexp_extract(answer, lex.ANSWERED_NUMBER, 1), F.lit("")).cast("int")
-    tens, units = (F.nullif(F.regexp_extract(answer, lex.ANSWERED_WORDS, group), F.lit("")) for group in (1, 2))
+    digits = F.regexp_extract(answer, lex.ANSWERED_NUMBER, 1).try_cast("int")
+    tens, units = (F.regexp_extract(answer, lex.ANSWERED_WORDS, group) for group in (1, 2))
     return F.coalesce(digits, _number_word(tens) + F.coalesce(_number_word(units), F.lit(0)))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns by a one-row generator: what is referred to often would be inlined, and run, each time."""
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.drop(*columns).select("*", F.inline(F.array(row)))
+
+
 def _level() -> Column:
     """Most urgent rule first, so the first hit is the answer. Feelings are not
     consulted: clinical signs alone set the level."""
@@ -127,6 +140,7 @@ def rule_fields(df: DataFrame, text: str, dialogue: str | None = None) -> DataFr
     """
     raw, said, words = F.col("_raw"), F.col("_said"), F.col("_words")
     plain = F.regexp_replace(_without(raw, lex.RELATIVES, lex.RELATIVE), lex.DENIED, " ")
+    pain = F.col("_pain")
     findings = {
         "_dyspnea": F.coalesce(_which(raw, lex.DYSPNEA_IDIOMS), _which(said, lex.DYSPNEA_NOUNS)),
         "_fever": F.coalesce(_which(said, lex.FEVER), _matched(said, lex.DEGREE_ANCHORS, lex.FEVER_DEGREES)),
@@ -139,16 +153,16 @@ def rule_fields(df: DataFrame, text: str, dialogue: str | None = None) -> DataFr
     raw_words = F.col("_raw_words")
     asked_age = asked_pain = F.lit(None).cast("int")
     if dialogue is not None:
-        lines = F.lower(F.col(dialogue))
-        # A one-row generator: both are referred to often, and would be inlined each time.
-        df = df.select("*", F.inline(F.array(F.struct(
-            _answered(lines, lex.AGE_ASKED_ANCHORS, lex.AGE_ASKED).alias("_asked_age"),
-            _answered(lines, lex.PAIN_ASKED_ANCHORS, lex.PAIN_ASKED).alias("_asked_pain")))))
+        lines = F.col("_lines")
+        df = _once(df, _lines=F.lower(F.col(dialogue)))
+        df = _once(df, _age_answer=F.when(_any(lines, lex.AGE_ASKED_ANCHORS), F.regexp_extract(lines, lex.AGE_ASKED, 1)),
+                   _pain_answer=F.when(_any(lines, lex.PAIN_ASKED_ANCHORS), F.regexp_extract(lines, lex.PAIN_ASKED, 1)))
+        df = _once(df, _asked_age=_number_in(F.col("_age_answer")), _asked_pain=_number_in(F.col("_pain_answer")))
         asked_age, asked_pain = F.col("_asked_age"), F.col("_asked_pain")
     scalars = {
-        "edad": F.coalesce(_age(_without(raw, lex.YEAR_ANCHORS, lex.NOT_AN_AGE)), F.when(asked_age.between(0, 120), asked_age)),
+        "edad": F.coalesce(_age(F.col("_years")), F.when(asked_age.between(0, 120), asked_age)),
         "sexo": F.when(_any_word(raw_words, lex.FEMALE_WORDS), "F").when(_any_word(raw_words, lex.MALE_WORDS), "M"),
-        "dolor_intensidad": F.coalesce(_pain(raw), F.when(asked_pain.between(0, 10), asked_pain)),
+        "dolor_intensidad": F.coalesce(F.when(pain.between(0, 10), pain), F.when(asked_pain.between(0, 10), asked_pain)),
         "fumador": _any_word(words, lex.SMOKER_WORDS),
         "_vital": _any(raw, lex.VITAL_THREAT),
         "_acute": _any(said, lex.ACUTE)
@@ -163,11 +177,10 @@ def rule_fields(df: DataFrame, text: str, dialogue: str | None = None) -> DataFr
         "disnea": "_dyspnea", "fiebre": "_fever", "perdida_consciencia": "_unconscious",
         "irradiacion": "_radiating", "antecedentes_cardiacos": "_cardiac",
     }
+    lowered = _once(df, _raw=F.lower(F.col(text)))
+    lowered = _once(lowered, _said=plain, _years=_without(raw, lex.YEAR_ANCHORS, lex.NOT_AN_AGE), _pain=_pain(raw))
     leveled = (
-        df.withColumn("_raw", F.lower(F.col(text)))
-        .withColumn("_said", plain)
-        .withColumns({"_words": _as_words(said), "_raw_words": _as_words(raw)})
-        .withColumns({**findings, **scalars})
+        _once(_once(lowered, _words=_as_words(said), _raw_words=_as_words(raw)), **findings, **scalars)
         .withColumns({name: F.col(source).isNotNull() for name, source in flags.items()})
         .withColumn("nivel_triaje", F.when(raw.isNotNull(), _level()))
         .withColumn("score_urgencia", F.when(raw.isNotNull(), _urgency()))
@@ -192,7 +205,7 @@ def rule_fields(df: DataFrame, text: str, dialogue: str | None = None) -> DataFr
             F.when(F.length(found) > 0, F.concat(F.lit(": "), found)).otherwise(": sin signos de alarma"),
         ))
         .withColumns({"urgencia_ausente": F.lit(False), "reply_error": F.lit(None).cast("string")})
-        .drop("_raw", "_said", "_words", "_raw_words", "_terms", "_vital", "_acute", "_high_fever",
+        .drop("_raw", "_said", "_years", "_pain", "_words", "_raw_words", "_terms", "_lines", "_age_answer", "_pain_answer", "_vital", "_acute", "_high_fever",
               "_trauma", "_symptom", "_asked_age", "_asked_pain", *findings)
     )
 

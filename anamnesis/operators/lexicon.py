@@ -90,6 +90,7 @@ NOT_AN_AGE = (
 )
 YEAR_ANCHORS = ["años", "year"]
 AGE_IN_YEARS = r"([0-9]{1,3})[ -]?(?:years?[ -]old|años)"
+AGE_TOLD_ANCHORS = ["i'm ", "i am ", "age"]
 AGE_TOLD = EDGE + r"(?:i'm|i am|aged|age is|age) ([0-9]{1,3})(?:$|[^0-9%/])"
 NUMBER_WORDS = {
     "uno": 1, "un": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7,

@@ -74,3 +74,26 @@ def test_rule_replies_have_every_field(spark):
 
     from anamnesis.schemas import REPLY_FIELDS
     assert list(json.loads(raw)) == REPLY_FIELDS
+
+
+def test_each_expression_stands_once_in_the_plan(spark):
+    """Named twice, a regex or the lower-case text would be worked out twice a row."""
+    df = preprocess(spark.createDataFrame([("g", "P: hola")], "guid string, texto string")).repartition(2)
+    plan = an.rule_replies(df, "texto_anotable", "texto_completo")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 2
+    for pattern in (an.lex.AGE_IN_YEARS, an.lex.AGE_TOLD, an.lex.NOT_AN_AGE, an.lex.PAIN_OF_TEN, an.lex.PAIN_WORDS, an.lex.AGE_ASKED, an.lex.DENIED):
+        assert plan.count(pattern) == 1, pattern
+
+
+def test_columns_of_the_same_name_are_replaced(spark):
+    df = spark.createDataFrame([("g", "I am 40 years old.", 7, "x")], "guid string, t string, edad int, sexo string")
+    rows = an.rule_fields(df, "t")
+    assert rows.columns.count("edad") == 1 and rows.select("edad", "sexo").first() == (40, None)
+
+
+@pytest.mark.parametrize("text, age, pain", [
+    ("At my age 52 it hurts, 11 out of 10, maybe a six", 52, None), ("i'm 7, an eight.", 7, 8), ("I am 40% sure", None, None),
+    ("desde hace 3 años. Treinta y cuatro años", 34, None), ("I have 999 years old things. Pain is 10", 999, 10)])
+def test_numbers_told(spark, text, age, pain):
+    got = an.rule_fields(spark.createDataFrame([("g", text)], "guid string, t string"), "t").first()
+    assert (got["edad"], got["dolor_intensidad"]) == (age, pain)
