@@ -45,9 +45,12 @@ def _purity(stats: np.ndarray) -> np.ndarray:
 def _best_splits(code, node, label, weight, count, stats, rows_of, shape: Shape):
     """Per node the gain and the code of its best split by one feature's codes; no gain: none."""
     nodes = len(stats)
-    # Two counting sorts, by code and then by node.
-    order = np.argsort(code, kind="stable")
-    order = order[np.argsort(node[order].astype("u2" if nodes < 1 << 16 else "i8"), kind="stable")]
+    # Counting sorts, by code and then by node; one of both where two bytes hold them.
+    if nodes <= 256:
+        order = np.argsort(node.astype("u2") << 8 | code, kind="stable")
+    else:
+        order = np.argsort(code, kind="stable")
+        order = order[np.argsort(node[order].astype("u2" if nodes < 1 << 16 else "i8"), kind="stable")]
     at, of = code[order], node[order]
     new = np.ones(len(order), bool)
     new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
@@ -70,6 +73,10 @@ def _best_splits(code, node, label, weight, count, stats, rows_of, shape: Shape)
     return best, split
 
 
+def _kept(which: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    return list(columns) if which.all() else [column[which] for column in columns]
+
+
 def grow(codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.ndarray, seed: list[int], shape: Shape) -> dict:
     """A tree of Gini splits over the rows, level by level.
 
@@ -78,24 +85,23 @@ def grow(codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.nda
     """
     draw = np.random.default_rng(seed)
     features, n = codes.shape
-    rows, node = np.arange(n), np.zeros(n, "i8")
+    rows, node, flat = np.arange(n), np.zeros(n, "i8"), codes.ravel()
     feature, split, left, stats_of, gains, starts = [], [], [], [], [], [0]
     nodes = 1
     for depth in range(shape.max_depth + 1):
-        stats = _by_class(node, label[rows], weight[rows], nodes, shape.classes)
+        stats = _by_class(node, label, weight, nodes, shape.classes)
         size, start = stats.sum(1), starts[-1]
         at, gain, code = np.zeros(nodes, "u1"), np.zeros(nodes), np.full(nodes, LEAF, "u1")
         picks = draw.random((nodes, features)).argpartition(shape.features_per_node - 1, axis=1)[:, :shape.features_per_node]
         growing = (size - _purity(stats) > LEAST_GAIN) & (depth < shape.max_depth)
-        kept = growing[node]
-        rows, node = rows[kept], node[kept]
+        rows, node, label, weight, count = _kept(growing[node], rows, node, label, weight, count)
         if len(rows):
             place = np.cumsum(growing) - 1
             own = place[node]
-            inner, rows_of = stats[growing], np.bincount(own, count[rows], int(growing.sum()))
+            inner, rows_of = stats[growing], np.bincount(own, count, int(growing.sum()))
             best, best_at, best_code = np.zeros(len(inner)), np.zeros(len(inner), "u1"), np.zeros(len(inner), "u1")
             for pick in np.sort(picks[growing], axis=1).T:
-                found, where = _best_splits(codes[pick[own], rows], own, label[rows], weight[rows], count[rows], inner, rows_of, shape)
+                found, where = _best_splits(flat[(pick * n)[own] + rows], own, label, weight, count, inner, rows_of, shape)
                 better = found > best
                 best[better], best_at[better], best_code[better] = found[better], pick[better], where[better]
             good = best > np.maximum(LEAST_GAIN, shape.min_gain * inner.sum(1))
@@ -106,12 +112,11 @@ def grow(codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.nda
         starts.append(start + nodes)
         left.append(np.where(is_split, starts[-1] + 2 * rank, start + np.arange(nodes)))
         feature.append(at), split.append(code), stats_of.append(stats), gains.append(gain)
-        kept = is_split[node]
-        rows, node = rows[kept], node[kept]
+        rows, node, label, weight, count = _kept(is_split[node], rows, node, label, weight, count)
         nodes = 2 * int(is_split.sum())
         if not nodes:
             break
-        node = 2 * rank[node] + (codes[at[node], rows] > code[node])
+        node = 2 * rank[node] + (flat[at[node].astype("i8") * n + rows] > code[node])
     return _pruned(np.concatenate(feature), np.concatenate(split), np.concatenate(left), np.concatenate(stats_of),
                    np.concatenate(gains), starts, features)
 
