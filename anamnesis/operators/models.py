@@ -8,6 +8,8 @@ whatever the number of rows, trees and folds.
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial, reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -18,9 +20,10 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
-from ..session import materialize, scratch_path, shared_folder
+from ..session import materialize, scratch_path, shared_folder, small_table
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
 from .trees import Grown, Shape, codes_of, grow
@@ -28,15 +31,16 @@ from .trees import Grown, Shape, codes_of, grow
 LABEL = "label"
 WEIGHT = "weight"
 # Constants of a fit; none follows the number of rows or of cores. The rows bound
-# a tree, as none has more leaves than rows. PART_TREES trees are a part, and FITS_AT_ONCE
-# parts grow in one job. Neither is part of the model, nor is how many parts a task
-# holds at once to score, at most MOST_NODES nodes for VOTE_ROWS rows.
+# a tree, as none has more leaves than rows. PART_TREES trees are a part, FITS_AT_ONCE
+# parts grow in one job, and FOLDS_AT_ONCE folds are worked on. None is part of the model,
+# nor is how many parts a task holds at once to score, at most MOST_NODES nodes for VOTE_ROWS rows.
 MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
 MAX_FIT_ROWS = 200_000
 FIT_PARTITIONS = 8
 PART_TREES = 50
 FITS_AT_ONCE = 2
+FOLDS_AT_ONCE = 3
 MOST_NODES = 4_000_000
 VOTE_ROWS = 100_000
 # Shares of draws from a Poisson distribution of mean one that are at most 0, 1, 2, ...
@@ -115,7 +119,7 @@ class PartedForest:
     @classmethod
     def write(cls, spark: SparkSession, path: str, parts: Iterable[tuple[str, int, int]]) -> "PartedForest":
         """Puts the parts of a folder on record, when all of them are there."""
-        spark.createDataFrame(sorted(parts), cls.TABLE).coalesce(1).write.parquet(f"{path}/parts")
+        small_table(spark, sorted(parts), cls.TABLE).write.parquet(f"{path}/parts")
         return cls.load(spark, path)
 
     def table(self, name: str) -> DataFrame:
@@ -320,12 +324,9 @@ def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str
         made = bagged(rows, some, seed).repartition(len(some), "tree").groupBy("tree").applyInPandas(grown, PartedForest.TREE)
         part = F.lpad(F.floor(F.col("tree") / part_trees).cast("string"), 5, "0")
         made.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
-    parts = []
-    for number, first in enumerate(range(0, trees, part_trees)):
-        name = f"part={number:05d}"
-        nodes = spark.read.schema(PartedForest.TREE).parquet(f"{path}/{name}").agg(F.sum("nodes")).first()[0]
-        parts.append((name, min(part_trees, trees - first), nodes))
-    return PartedForest.write(spark, path, parts)
+    grown_parts = spark.read.schema(f"{PartedForest.TREE}, part string").parquet(path).groupBy("part").agg(
+        F.count("*").alias("trees"), F.sum("nodes").alias("nodes")).collect()
+    return PartedForest.write(spark, path, [(f"part={r['part']}", r["trees"], r["nodes"]) for r in grown_parts])
 
 
 def fit_logistic(train: DataFrame) -> PipelineModel:
@@ -339,17 +340,22 @@ def fold_predictions(rows: DataFrame, key: str = "guid", folds: int = FOLDS,
     """Out-of-fold predictions of all rows.
 
     Rows are placed once and written. Each fold's forest is grown, its fold
-    predicted and written, and the forest dropped before the next. Weights come
-    from all rows, as for the final model.
+    predicted and written, ``FOLDS_AT_ONCE`` folds at a time, as the short jobs of
+    one leave cores to another. Weights come from all rows, as for the final model.
     """
     placed = materialize(stratified_folds(labelled(rows), TARGET, key, folds, seed), "folds")
-    whole = None
-    for number in range(folds):
+
+    def predicted(number: int) -> DataFrame:
         model = fit_forest(placed.where(F.col("fold") != number), trees, seed, key)
         part = predict(model, placed.where(F.col("fold") == number)).select(key, "fold", TARGET, "prediccion_modelo")
-        part = materialize(part, "fold-predictions")
-        whole = part if whole is None else whole.unionByName(part)
-    return whole
+        return materialize(part, "fold-predictions")
+
+    # Threads keep the caller's job group and properties, as in pyspark.ml's CrossValidator.
+    inherits = inheritable_thread_target(placed.sparkSession)
+    works = [inherits(partial(predicted, number)) for number in range(folds)]
+    with ThreadPool(FOLDS_AT_ONCE) as pool:
+        parts = pool.map(lambda work: work(), works, chunksize=1)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cross_validate(rows: DataFrame, key: str = "guid", trees: int = TREES) -> DataFrame:

@@ -12,6 +12,8 @@ import numpy as np
 LEAF = 255
 # A smaller gain, in weight, is rounding.
 LEAST_GAIN = 1e-9
+# So many cells of node and code are counted without a sort, however few the rows are.
+MANY_CELLS = 4096
 # Votes are multiples of this, so their sums are exact and follow no order.
 VOTE = 2.0 ** -40
 
@@ -44,22 +46,29 @@ def _purity(stats: np.ndarray) -> np.ndarray:
 
 def _best_splits(code, node, label, weight, count, stats, rows_of, shape: Shape):
     """Per node the gain and the code of its best split by one feature's codes; no gain: none."""
-    nodes = len(stats)
-    # Counting sorts, by code and then by node; one of both where two bytes hold them.
-    if nodes <= 256:
-        order = np.argsort(node.astype("u2") << 8 | code, kind="stable")
+    nodes, codes = len(stats), int(code.max()) + 1
+    if nodes * codes <= max(len(code), MANY_CELLS):
+        # A cell for each node and code; those without rows are dropped. A cell adds its rows in their order.
+        cell, cells = node * codes + code, nodes * codes
+        held = np.flatnonzero(np.bincount(cell, minlength=cells))
+        of, at = held // codes, (held % codes).astype("u1")
     else:
-        order = np.argsort(code, kind="stable")
-        order = order[np.argsort(node[order].astype("u2" if nodes < 1 << 16 else "i8"), kind="stable")]
-    at, of = code[order], node[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
-    cell = np.cumsum(new) - 1
-    at, of = at[new], of[new]
+        # Counting sorts, by code and then by node; one of both where two bytes hold them.
+        if nodes <= 256:
+            order = np.argsort(node.astype("u2") << 8 | code, kind="stable")
+        else:
+            order = np.argsort(code, kind="stable")
+            order = order[np.argsort(node[order].astype("u2" if nodes < 1 << 16 else "i8"), kind="stable")]
+        at, of = code[order], node[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (at[1:] != at[:-1]) | (of[1:] != of[:-1])
+        cell, label, weight, count = np.cumsum(new) - 1, label[order], weight[order], count[order]
+        at, of = at[new], of[new]
+        cells, held = len(at), slice(None)
     first = np.searchsorted(of, np.arange(nodes))
-    left = np.cumsum(_by_class(cell, label[order], weight[order], len(at), shape.classes), axis=0)
+    left = np.cumsum(_by_class(cell, label, weight, cells, shape.classes)[held], axis=0)
     left -= np.vstack([np.zeros((1, shape.classes)), left])[first][of]
-    rows = np.cumsum(np.bincount(cell, count[order], len(at)))
+    rows = np.cumsum(np.bincount(cell, count, cells)[held])
     rows -= np.concatenate([[0], rows])[first][of]
     gain = _purity(left) + _purity(np.maximum(stats[of] - left, 0)) - _purity(stats)[of]
     allowed = (rows >= shape.min_rows_per_leaf) & (rows_of[of] - rows >= shape.min_rows_per_leaf)

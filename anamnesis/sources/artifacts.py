@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.models import PartedForest
 from ..schemas import DATASET, DATASET_PREFIX, EVALUATION, EVALUATION_PREFIX, MODEL_PREFIX
+from ..session import small_table
 
 MANIFEST = "name string"
 
@@ -31,7 +32,7 @@ def _manifest(folder: str) -> str:
 
 def publish(spark: SparkSession, folder: str, name: str) -> str:
     """Puts a written version on record."""
-    spark.createDataFrame([(name,)], MANIFEST).coalesce(1).write.mode("append").parquet(_manifest(folder))
+    small_table(spark, [(name,)], MANIFEST).write.mode("append").parquet(_manifest(folder))
     return name
 
 

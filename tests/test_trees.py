@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from anamnesis.operators import models, trees
 from anamnesis.schemas import FEATURES, TARGET
-from anamnesis.session import scratch_path
+from anamnesis.session import scratch_path, small_table
 
 
 def noise(spark, n, values=20, seed=5):
@@ -145,3 +145,33 @@ def test_equal_rows_are_drawn_apart(spark):
     same = models.labelled(noise(spark, 1).crossJoin(spark.range(300)).drop("id").unionByName(noise(spark, 2, seed=9)))
     model = models.fit_forest(same, trees=4)
     assert all(tree.nodes >= 1 for tree in model.part("part=00000").trees)
+
+
+def test_cells_without_a_sort_give_the_same_tree(monkeypatch):
+    draw = np.random.default_rng(2)
+    codes, label, count = draw.integers(0, 200, (4, 700)).astype("u1"), draw.integers(0, 3, 700), draw.integers(1, 4, 700).astype("f8")
+    weight, shape = count * np.array([1.1, 0.3, 2.7])[label], trees.Shape(3, 2, 30, 1, 0.0)
+    made = []
+    for most in (0, 1 << 20):
+        monkeypatch.setattr(trees, "MANY_CELLS", most)
+        made.append(trees.grow(codes, label, weight, count, [9], shape))
+    assert made[0] == made[1] and made[0]["nodes"] > 100
+
+
+def test_a_small_table_takes_no_python_worker(spark):
+    rows = [("b", 2, None), ("a", 1, 7)]
+    table = small_table(spark, rows, models.PartedForest.TABLE)
+    assert table.schema.simpleString() == "struct<name:string,trees:int,nodes:bigint>"
+    assert [tuple(row) for row in table.collect()] == rows and table.rdd.getNumPartitions() == 1
+    assert "Scan ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folds_at_once_give_what_one_by_one_gives(spark, monkeypatch):
+    rows, told, jobs = noise(spark, 60), [], []
+    for at_once in (1, 3):
+        monkeypatch.setattr(models, "FOLDS_AT_ONCE", at_once)
+        made, n = jobs_of(spark, lambda: models.fold_predictions(rows, folds=3, trees=3))
+        told.append(sorted(map(tuple, made.collect())))
+        jobs.append(n)
+    assert told[0] == told[1] and len(told[0]) == 60
+    assert jobs[0] == jobs[1] > 30
