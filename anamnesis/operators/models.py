@@ -32,7 +32,8 @@ LABEL = "label"
 WEIGHT = "weight"
 # Constants of a fit; none follows the number of rows or of cores. The rows bound
 # a tree, as none has more leaves than rows. PART_TREES trees are a part, FITS_AT_ONCE
-# parts grow in one job, and FOLDS_AT_ONCE folds are worked on. None is part of the model,
+# parts grow in one job, TASK_TREES trees in a task, one after the other, since a task of
+# one small tree is mostly its start and its file; and FOLDS_AT_ONCE folds are worked on. None is part of the model,
 # nor is how many parts a task holds at once to score, at most MOST_NODES nodes for VOTE_ROWS rows.
 MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
@@ -40,6 +41,7 @@ MAX_FIT_ROWS = 200_000
 FIT_PARTITIONS = 8
 PART_TREES = 50
 FITS_AT_ONCE = 2
+TASK_TREES = 4
 FOLDS_AT_ONCE = 3
 MOST_NODES = 4_000_000
 VOTE_ROWS = 100_000
@@ -289,7 +291,7 @@ def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str
                max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS,
                part_trees: int = PART_TREES, at_once: int = FITS_AT_ONCE) -> PartedForest:
     """Grows the trees of ``at_once`` parts in a job, a tree a group, and writes them to
-    the shared folder. A group has at most ``max_fit_rows`` rows, of a few bytes each;
+    the shared folder. A task holds one group at a time, which has at most ``max_fit_rows`` rows, of a few bytes each;
     it is put in order first, so that a tree follows from its rows alone."""
     spark = train.sparkSession
     path = scratch_path(spark, "forest")
@@ -321,7 +323,7 @@ def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str
     step = part_trees * at_once
     for first in range(0, trees, step):
         some = range(first, min(trees, first + step))
-        made = bagged(rows, some, seed).repartition(len(some), "tree").groupBy("tree").applyInPandas(grown, PartedForest.TREE)
+        made = bagged(rows, some, seed).repartition(math.ceil(len(some) / TASK_TREES), "tree").groupBy("tree").applyInPandas(grown, PartedForest.TREE)
         part = F.lpad(F.floor(F.col("tree") / part_trees).cast("string"), 5, "0")
         made.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
     grown_parts = spark.read.schema(f"{PartedForest.TREE}, part string").parquet(path).groupBy("part").agg(

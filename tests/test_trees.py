@@ -175,3 +175,30 @@ def test_folds_at_once_give_what_one_by_one_gives(spark, monkeypatch):
         jobs.append(n)
     assert told[0] == told[1] and len(told[0]) == 60
     assert jobs[0] == jobs[1] > 30
+
+
+def test_a_task_grows_several_small_trees(spark):
+    rows = models.labelled(noise(spark, 50))
+    model = models.fit_forest(rows, trees=8)
+    files = model.table(model.parts[0][0]).inputFiles()
+    assert 1 <= len(files) <= 2 and sum(trees for _, trees, _ in model.parts) == 8
+
+
+def test_forest_and_folds_share_rows_that_are_written_once(spark, tmp_path, monkeypatch):
+    """Both fits at once give what each gives alone, and neither works the training rows out again."""
+    from workload import modeling, views
+
+    calls, made = [], noise(spark, 80)
+    monkeypatch.setattr(modeling, "_TRAINED", {})
+    monkeypatch.setattr(modeling, "training_rows", lambda t: calls.append(t) or made)
+    fit, folds_of = models.fit_forest, models.fold_predictions
+    monkeypatch.setattr(models, "fit_forest", lambda train, *args: fit(train, 4))
+    monkeypatch.setattr(models, "fold_predictions", lambda rows: folds_of(rows, folds=2, trees=4))
+    tables = views.Tables(spark, str(tmp_path))
+    parts, forest, folds, size = modeling.fitted(tables, lambda parts: parts.count())
+    assert size == 80 and len(calls) == 1
+    assert modeling.trained(tables) == (parts, forest) and modeling.cross_validated(tables) is folds and len(calls) == 1
+    look = lambda df: sorted(map(tuple, df.collect()))
+    alone = models.predict(fit(models.split(made).where(~F.col("is_test")), 4), parts).select("guid", "confianza")
+    assert look(models.predict(forest, parts).select("guid", "confianza")) == look(alone)
+    assert look(folds) == look(folds_of(made, folds=2, trees=4))
