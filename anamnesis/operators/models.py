@@ -1,18 +1,20 @@
 """Class-weighted forest, and logistic baseline with pyspark.ml.
 
-Each tree of a forest is a group of its bag's rows, grown in a task and written there;
-scoring reads the trees in tasks and adds their votes. So the driver holds no tree,
-whatever the number of rows, trees and folds.
+A forest is fitted on all rows. Each tree is a group of its bag's rows, grown in a task and written there;
+a bag of more rows than a task takes is split from sums over all of its rows until its nodes are
+such groups. Scoring reads the trees in tasks and adds their votes. So the driver holds no tree, but of a
+large one the nodes above its groups.
 """
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,19 +28,21 @@ from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
 from ..session import materialize, scratch_path, shared_folder, small_table
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
-from .trees import Grown, Shape, codes_of, grow
+from .trees import Crowns, Grown, Shape, Upper, add_votes, best_cut, codes_of, grow, picks_of
 
 LABEL = "label"
 WEIGHT = "weight"
-# Constants of a fit; none follows the number of rows or of cores. The rows bound
-# a tree, as none has more leaves than rows. PART_TREES trees are a part, FITS_AT_ONCE
+# Constants of a fit; none follows the number of rows or of cores. A group of PIECE_ROWS rows of a bag, at most,
+# is grown in a task; OPEN_NODES larger nodes, at most, are summed up in one pass. Rows are written in blocks of
+# BLOCK_ROWS, as each is drawn for many trees. PART_TREES trees are a part, FITS_AT_ONCE
 # parts grow in one job, TASK_TREES trees in a task, one after the other, since a task of
 # one small tree is mostly its start and its file; and FOLDS_AT_ONCE folds are worked on. None is part of the model,
 # nor is how many parts a task holds at once to score, at most MOST_NODES nodes for VOTE_ROWS rows.
 MAX_DEPTH = 30
 MIN_ROWS_PER_LEAF = 1
-MAX_FIT_ROWS = 200_000
-FIT_PARTITIONS = 8
+PIECE_ROWS = 130_000
+OPEN_NODES = 2_000
+BLOCK_ROWS = 20_000
 PART_TREES = 50
 FITS_AT_ONCE = 2
 TASK_TREES = 4
@@ -78,6 +82,10 @@ def forest(trees: int = TREES, seed: int = SEED, max_depth: int = MAX_DEPTH,
     )
 
 
+def shape_of(stage: RandomForestClassifier) -> Shape:
+    return Shape(len(LEVELS), math.ceil(math.sqrt(len(FEATURES))), stage.getMaxDepth(), stage.getMinInstancesPerNode(), stage.getMinInfoGain())
+
+
 def logistic(n_train: int) -> Pipeline:
     """Unscaled ridge with unit strength, expressed per training row."""
     return Pipeline(stages=[_assembler(), LogisticRegression(
@@ -110,8 +118,8 @@ class PartedForest:
     parts: tuple[tuple[str, int, int], ...]
 
     TABLE = "name string, trees int, nodes bigint"
-    TREE = ("tree int, nodes bigint, importances array<double>, points array<array<double>>, "
-            "feature binary, split binary, left binary, votes binary")
+    TREE = ("tree int, root bigint, nodes bigint, importances array<double>, gained double, weights array<double>, "
+            "points array<array<double>>, feature binary, split binary, left binary, exits binary, votes binary")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "PartedForest":
@@ -128,8 +136,18 @@ class PartedForest:
         return self.spark.read.schema(self.TREE).parquet(f"{self.path}/{name}")
 
     def part(self, name: str) -> Part:
-        rows = self.table(name).select("tree", "nodes", "importances").collect()
-        return Part(tuple(Tree(f"{name}/tree={r['tree']:05d}", r["nodes"], tuple(r["importances"])) for r in sorted(rows)))
+        """Of a tree in pieces, the importances are those of all its nodes, as if it were in one."""
+        pieces = {}
+        for row in sorted(self.table(name).select("tree", "root", "nodes", "importances", "gained").collect()):
+            pieces.setdefault(row["tree"], []).append(row)
+        out = []
+        for tree, rows in pieces.items():
+            shares = rows[0]["importances"]
+            if len(rows) > 1:
+                gains = np.sum([np.array(r["importances"]) * r["gained"] for r in rows], axis=0)
+                shares = (gains / (gains.sum() or 1.0)).tolist()
+            out.append(Tree(f"{name}/tree={tree:05d}", sum(r["nodes"] for r in rows), tuple(shares)))
+        return Part(tuple(out))
 
     def save(self, path: str) -> None:
         """A copy elsewhere, part by part."""
@@ -162,30 +180,35 @@ class PartedForest:
         the order of the trees nor ``most_nodes``.
 
         A task reads the trees from the folder. It holds a group of parts at a time; if there
-        are several, each passes over blocks of ``VOTE_ROWS`` rows, of which features alone are held.
+        are several, each passes over blocks of ``VOTE_ROWS`` rows, of which features alone are held. Of a part with more
+        than ``most_nodes`` it holds a tree, or a piece of one, at a time.
         """
         path, groups = self.shared().path, self.groups(most_nodes)
+        large = {name for name, _, nodes in self.parts if nodes > most_nodes}
 
         @F.pandas_udf("array<double>")
-        def add_votes(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        def voted(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             held = {}
             for block in _blocks(batches):
                 sizes = [len(batch[0]) for batch in block]
                 columns = [np.concatenate([np.asarray(batch[i], "f8") for batch in block]) for i in range(len(FEATURES))]
                 votes = np.zeros((sum(sizes), len(LEVELS)))
                 for number, group in enumerate(groups):
+                    if large.intersection(group):
+                        held = {}
+                        for name in group:
+                            add_votes(_grown(path, name), columns, votes)
+                        continue
                     if number not in held:
-                        held = {number: [_grown(path, name) for name in group]}
-                    for points, trees in held[number]:
-                        codes = codes_of(columns, points)
-                        for tree in trees:
-                            tree.add_votes(codes, votes)
+                        held = {number: [sorted(_grown(path, name), key=lambda grown: (grown[1].tree, grown[1].root)) for name in group]}
+                    for pieces in held[number]:
+                        add_votes(pieces, columns, votes)
                 end = 0
                 for size in sizes:
                     yield pd.Series(list(votes[end:end + size]))
                     end += size
 
-        return rows.withColumn("votes", add_votes(*[F.col(name).cast("double") for name in FEATURES]))
+        return rows.withColumn("votes", voted(*[F.col(name).cast("double") for name in FEATURES]))
 
 
 def _blocks(batches: Iterator[tuple[pd.Series, ...]], most: int = VOTE_ROWS) -> Iterator[list]:
@@ -200,18 +223,23 @@ def _blocks(batches: Iterator[tuple[pd.Series, ...]], most: int = VOTE_ROWS) ->
         yield block
 
 
-def _grown(path: str, name: str) -> tuple[list, list[Grown]]:
-    """The split points of a part and its trees, read in a task."""
+def _grown(path: str, name: str) -> Iterator[tuple[list, Grown]]:
+    """The trees of a part with their split points, read in a task one by one; pieces come behind the upper parts."""
     fs, folder = pafs.FileSystem.from_uri(f"{path}/{name}")
-    points, trees = [[] for _ in FEATURES], []
-    for file in fs.get_file_info(pafs.FileSelector(folder)):
-        if file.base_name.endswith(".parquet"):
-            with fs.open_input_file(file.path) as source:
-                for batch in pq.ParquetFile(source).iter_batches(batch_size=1):
-                    row = batch.to_pylist()[0]
-                    points = row["points"]
-                    trees.append(Grown(row, len(LEVELS)))
-    return points, trees
+    points = []
+    files = [file.path for file in fs.get_file_info(pafs.FileSelector(folder)) if file.base_name.endswith(".parquet")]
+    for first in (True, False):
+        for file in files:
+            with fs.open_input_file(file) as source:
+                table = pq.ParquetFile(source)
+                wanted = [(root == 1) == first for root in table.read(["root"])["root"].to_pylist()]
+                if any(wanted):
+                    for want, batch in zip(wanted, table.iter_batches(batch_size=1)):
+                        if want:
+                            row = batch.to_pylist()[0]
+                            if row["points"] != points:
+                                points = row["points"]
+                            yield points, Grown(row, len(LEVELS))
 
 
 Model = PipelineModel | PartedForest
@@ -238,36 +266,37 @@ def split(rows: DataFrame, key: str = "guid") -> DataFrame:
     return stratified_split(labelled(rows), TARGET, key)
 
 
-def _dealt(chosen: DataFrame, key: str, fit_partitions: int) -> DataFrame:
-    return chosen.repartition(fit_partitions, key).sortWithinPartitions(key, *FEATURES)
-
-
-def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int = MAX_FIT_ROWS,
-             fit_partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The rows a forest is fitted on, dealt alike on every cluster.
-
-    Bagging is seeded per partition, so rows are dealt by key into a fixed number
-    of partitions and sorted there. ``max_fit_rows`` bounds the sample: beyond,
-    the rows whose hash lies in that share of all hashes, alike for every level.
-    """
-    total, chosen = train.count(), train
-    if total > max_fit_rows:
-        place = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 53)).cast("double") / float(1 << 53)
-        chosen = train.where(place < max_fit_rows / total)
-    return _dealt(chosen, key, fit_partitions)
+def fit_rows(train: DataFrame, key: str = "guid", max_fit_rows: int | None = None) -> DataFrame:
+    """The rows a forest is fitted on: all of them. A caller of its own may ask for ``max_fit_rows`` at most, alike for
+    every level: beyond, the rows whose hash lies in that share of all hashes. No fit does."""
+    total = train.count() if max_fit_rows is not None else 0
+    if max_fit_rows is None or total <= max_fit_rows:
+        return train
+    place = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    return train.where(place < max_fit_rows / total)
 
 
 def split_points(rows: DataFrame, bins: int) -> list[list[float]]:
     """Where each feature may be split: between all of its values, or between ``bins``
-    even shares of the rows if it has more. Values that are no numbers have no place."""
+    even shares of the rows if it has more. Values that are no numbers have no place.
+
+    A feature may have as many values as there are rows, so they are ranked in ranges, and what lies
+    before and behind a range is told by a row for each range and feature.
+    """
     long = rows.select(F.posexplode(F.array(*[F.col(name).cast("double") for name in FEATURES])).alias("feature", "value"))
     counts = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy("feature").orderBy("value")
-    whole = Window.partitionBy("feature")
-    seen = counts.select(
-        "feature", "value", "n", F.lead("value").over(ordered).alias("next"),
-        F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(whole).alias("total"), F.count("*").over(whole).alias("values"))
+    dealt = materialize(counts.repartitionByRange("feature", "value").withColumn("range", F.spark_partition_id()), "values")
+    of_feature = Window.partitionBy("feature")
+    ranges = dealt.groupBy("feature", "range").agg(F.sum("n").alias("n"), F.count("*").alias("values"), F.min("value").alias("first")).select(
+        "feature", "range", F.lead("first").over(of_feature.orderBy("range")).alias("following"),
+        (F.sum("n").over(of_feature.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
+        F.sum("n").over(of_feature).alias("total"), F.sum("values").over(of_feature).alias("values"))
+    ordered = Window.partitionBy("feature", "range").orderBy("value")
+    seen = dealt.withColumns({
+        "next": F.lead("value").over(ordered),
+        "upto": F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
+    }).join(F.broadcast(ranges), ["feature", "range"]).withColumns({
+        "next": F.coalesce("next", "following"), "upto": F.col("upto") + F.col("before")})
     ends = (F.col("values") <= bins) | F.expr(f"upto * {bins} div total > (upto - n) * {bins} div total")
     middle = (F.col("value") + F.col("next")) / 2
     cuts = seen.where(F.col("next").isNotNull() & ends).select("feature", middle.alias("at")).where(~F.isnan("at")).collect()
@@ -287,47 +316,147 @@ def bagged(rows: DataFrame, trees: range, seed: int) -> DataFrame:
     return drawn.unionByName(blank)
 
 
+def _exact_weights(rows: DataFrame, weight: float) -> DataFrame:
+    """Weights as multiples of a power of two so small that the greatest sum of a bag is exact, so that sums do not
+    follow their order. ``weight`` is that of all rows; one just above a power of two is not taken for one just below."""
+    unit = 2.0 ** (math.ceil(math.log2(16 * max(weight, 1e-300) * 1.01)) - 52)
+    return rows.withColumn(WEIGHT, F.rint(F.col(WEIGHT) / unit) * unit)
+
+
+def _bag(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Trees, codes (features x rows), labels, weights and draws of rows of bags."""
+    binary = batch.column("codes").cast(pa.binary())
+    ends = np.frombuffer(binary.buffers()[1], "i4", len(binary) + 1, binary.offset * 4)
+    codes = np.frombuffer(binary.buffers()[2], "u1")[ends[0]:ends[-1]].reshape(-1, len(FEATURES)).T
+    tree, label, weight, count = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("tree", LABEL, WEIGHT, "count"))
+    return tree, np.ascontiguousarray(codes), label.astype("i8"), weight * count, count.astype("i8")
+
+
+def upper_parts(rows: DataFrame, trees: range, seed: int, shape: Shape, points: list[list[float]], total: int) -> dict[int, Upper]:
+    """The trees' nodes of more than ``PIECE_ROWS`` rows, split level by level from sums over all rows of their bags.
+
+    A task adds up its rows by node, feature and code; the sums of all tasks meet node by node, in tasks,
+    and the driver is told the splits. A bag has no more rows than there are, and the share drawn on average
+    tells whether there are such nodes.
+    """
+    size = math.ceil(total * (1 - DRAWS[0]))
+    uppers = {tree: Upper(size, PIECE_ROWS, shape) for tree in trees}
+    widths, classes = [len(cuts) + 1 for cuts in points], shape.classes
+    schema = pa.schema([("slot", pa.int32()), ("weights", pa.binary()), ("counts", pa.binary()), ("held", pa.binary())])
+    while still := [(tree, at) for tree, upper in uppers.items() for at in upper.open()]:
+        for first in range(0, len(still), OPEN_NODES):
+            some = still[first:first + OPEN_NODES]
+            picks = np.stack([picks_of([seed & 0xFFFFFFFF, tree, uppers[tree].number[at], 1], shape, len(FEATURES)) for tree, at in some])
+            crowns, slots = Crowns({tree: uppers[tree] for tree, _ in some}), {node: slot for slot, node in enumerate(some)}
+
+            def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                sums = crowns.sums(slots, picks, widths, classes)
+                for batch in batches:
+                    if batch.num_rows:
+                        sums.add(*_bag(batch))
+                for told in sums.told():
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, told))], schema)
+
+            def best(sums: pd.DataFrame) -> pd.DataFrame:
+                slot = int(sums["slot"].iloc[0])
+                weights, counts, held = (
+                    reduce(np.add, (np.frombuffer(part, kind) for part in sums[name])) for name, kind in (("weights", "f8"), ("counts", "i8"), ("held", "i8")))
+                return pd.DataFrame([{"slot": slot, **best_cut(weights.reshape(-1, classes), counts, held, picks[slot], widths, shape)}])
+
+            asked = sorted({tree for tree, _ in some})
+            drawn = bagged(rows, range(asked[0], asked[-1] + 1), seed).where(F.col("count") > 0)
+            if len(asked) <= asked[-1] - asked[0]:
+                drawn = drawn.where(F.col("tree").isin(asked))
+            cuts = drawn.select("tree", "codes", LABEL, WEIGHT, "count").mapInArrow(
+                summed, "slot int, weights binary, counts binary, held binary").groupBy("slot").applyInPandas(
+                best, "slot int, feature int, code int, gain double, left array<double>, right array<double>, left_rows bigint, right_rows bigint")
+            made = {row["slot"]: row.asDict() for row in cuts.collect()}
+            for slot, (tree, at) in enumerate(some):
+                uppers[tree].cut(at, made.get(slot))
+    return uppers
+
+
+def _at_ends(bags: DataFrame, uppers: dict[int, Upper]) -> DataFrame:
+    """Rows of bags with the ``root`` of the piece that they belong to; without those that have ended in an upper part."""
+    crowns, ends = Crowns(uppers), np.concatenate([np.isin(np.arange(len(upper.number)), upper.ends()) for upper in uppers.values()])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                tree, codes, *_ = _bag(batch)
+                at = crowns.at(tree, codes)
+                root = pa.array(crowns.number[at], pa.int64())
+                yield batch.append_column("root", root).filter(pa.array(ends[at]))
+
+    return bags.mapInArrow(placed, ", ".join(f"{name} {kind}" for name, kind in bags.dtypes) + ", root bigint")
+
+
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str = "guid",
-               max_fit_rows: int = MAX_FIT_ROWS, fit_partitions: int = FIT_PARTITIONS,
                part_trees: int = PART_TREES, at_once: int = FITS_AT_ONCE) -> PartedForest:
-    """Grows the trees of ``at_once`` parts in a job, a tree a group, and writes them to
-    the shared folder. A task holds one group at a time, which has at most ``max_fit_rows`` rows, of a few bytes each;
-    it is put in order first, so that a tree follows from its rows alone."""
+    """Grows the trees of ``at_once`` parts in a job, on all rows, and writes them to the shared folder.
+
+    A tree whose bag has at most ``PIECE_ROWS`` rows is a group, as is each piece of a larger one. A task holds one group
+    at a time, of a few bytes a row; it is put in order first, so that a tree follows from its rows alone.
+    """
     spark = train.sparkSession
     path = scratch_path(spark, "forest")
     stage = forest(trees, seed)
-    chosen = materialize(fit_rows(train, key, max_fit_rows, fit_partitions).select(key, *FEATURES, LABEL, WEIGHT), "fit-rows")
-    if chosen.isEmpty():
+    chosen = materialize(fit_rows(train, key).select(key, *FEATURES, LABEL, WEIGHT), "fit-rows")
+    total, weight = chosen.agg(F.count("*"), F.sum(WEIGHT)).first()
+    if not total:
         raise ValueError("no row to fit a forest on")
     points = split_points(chosen, stage.getMaxBins())
-    shape = Shape(len(LEVELS), math.ceil(math.sqrt(len(FEATURES))), stage.getMaxDepth(), stage.getMinInstancesPerNode(), stage.getMinInfoGain())
+    shape = shape_of(stage)
 
     @F.pandas_udf("binary")
     def coded(*columns: pd.Series) -> pd.Series:
         return pd.Series([row.tobytes() for row in np.ascontiguousarray(codes_of(columns, points).T)], dtype=object)
 
     def grown(bag: pd.DataFrame) -> pd.DataFrame:
-        tree = int(bag["tree"].iloc[0])
+        tree, root = int(bag["tree"].iloc[0]), int(bag["root"].iloc[0])
         bag = bag[bag["count"] > 0].sort_values("place")
         codes = np.ascontiguousarray(np.frombuffer(b"".join(bag["codes"]), "u1").reshape(len(bag), len(FEATURES)).T)
         count = bag["count"].to_numpy("f8")
-        made = grow(codes, bag[LABEL].to_numpy("i8"), bag[WEIGHT].to_numpy("f8") * count, count, [seed & 0xFFFFFFFF, tree], shape)
-        return pd.DataFrame([{"tree": tree, "points": points, **made}])[columns]
+        own = [seed & 0xFFFFFFFF, tree, *([root] if root > 1 else [])]
+        made = grow(codes, bag[LABEL].to_numpy("i8"), bag[WEIGHT].to_numpy("f8") * count, count, own,
+                    replace(shape, max_depth=shape.max_depth - root.bit_length() + 1))
+        return pd.DataFrame([{"tree": tree, "root": root, "points": points, "exits": b"", **made}])[columns]
 
     columns = [name.split()[0] for name in PartedForest.TREE.split(", ")]
     coded_rows = chosen.select(F.xxhash64(key, *FEATURES, LABEL).alias("place"), LABEL, WEIGHT,
                                coded(*[F.col(name).cast("double") for name in FEATURES]).alias("codes"))
     # Equal rows are drawn apart.
     again = F.row_number().over(Window.partitionBy("place").orderBy(LABEL, WEIGHT, "codes"))
-    rows = materialize(coded_rows.withColumn("place", F.xxhash64("place", again)), "fit-codes")
+    rows = materialize(coded_rows.repartition(math.ceil(total / BLOCK_ROWS), "place").withColumn("place", F.xxhash64("place", again)), "fit-codes")
+    large = total * (1 - DRAWS[0]) > PIECE_ROWS
+    if large:
+        rows = _exact_weights(rows, weight)
+    # A piece of one node belongs to the upper part, so it is not put on record.
+    part = F.when((F.col("root") > 1) & (F.col("nodes") == 1), "loose").otherwise(F.lpad(F.floor(F.col("tree") / part_trees).cast("string"), 5, "0"))
+    written = spark.read.schema(f"{PartedForest.TREE}, part string")
     step = part_trees * at_once
     for first in range(0, trees, step):
         some = range(first, min(trees, first + step))
-        made = bagged(rows, some, seed).repartition(math.ceil(len(some) / TASK_TREES), "tree").groupBy("tree").applyInPandas(grown, PartedForest.TREE)
-        part = F.lpad(F.floor(F.col("tree") / part_trees).cast("string"), 5, "0")
+        bags, groups = bagged(rows, some, seed), len(some)
+        if large:
+            uppers = upper_parts(rows, some, seed, shape, points, total)
+            groups = sum(len(upper.ends()) for upper in uppers.values())
+            bags = _at_ends(bags.where(F.col("count") > 0), uppers)
+        else:
+            bags = bags.withColumn("root", F.lit(1).cast("long"))
+        made = bags.repartition(max(1, math.ceil(groups / TASK_TREES)), "tree", "root").groupBy("tree", "root").applyInPandas(grown, PartedForest.TREE)
         made.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
-    grown_parts = spark.read.schema(f"{PartedForest.TREE}, part string").parquet(path).groupBy("part").agg(
-        F.count("*").alias("trees"), F.sum("nodes").alias("nodes")).collect()
+        if large:
+            loose = {tree: {} for tree in some}
+            if groups:
+                for row in written.parquet(path).where((F.col("part") == "loose") & F.col("tree").between(some.start, some.stop - 1)).select(
+                        "tree", "root", "weights").collect():
+                    loose[row["tree"]][row["root"]] = row["weights"]
+            tops = [{"tree": tree, "root": 1, "points": points, **upper.finished(loose[tree], len(FEATURES))} for tree, upper in uppers.items()]
+            table = small_table(spark, [tuple(top[name] for name in columns) for top in tops], PartedForest.TREE)
+            table.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
+    grown_parts = written.parquet(path).where(F.col("part") != "loose").groupBy("part").agg(
+        F.countDistinct("tree").alias("trees"), F.sum("nodes").alias("nodes")).collect()
     return PartedForest.write(spark, path, [(f"part={r['part']}", r["trees"], r["nodes"]) for r in grown_parts])
 
 

@@ -2,8 +2,12 @@
 
 A feature enters as a code: how many of its split points lie below the value. A row
 goes left where its code is at most the node's. A value that is no number lies above all.
+
+A tree whose bag is too large for a task has an ``Upper`` part, whose splits follow from sums
+over all of the bag's rows, and a piece, a tree of its own, below each of its ends.
 """
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -86,6 +90,16 @@ def _kept(which: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
     return list(columns) if which.all() else [column[which] for column in columns]
 
 
+def _down(feature: np.ndarray, split: np.ndarray, left: np.ndarray, at: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The leaves at which rows end that start at ``at``; ``codes`` is features x rows."""
+    every = np.arange(codes.shape[1])
+    while True:
+        down = left[at] + (codes[feature[at], every] > split[at])
+        if np.array_equal(down, at):
+            return at
+        at = down
+
+
 def grow(codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.ndarray, seed: list[int], shape: Shape) -> dict:
     """A tree of Gini splits over the rows, level by level.
 
@@ -145,30 +159,192 @@ def _pruned(feature, split, left, stats, gains, starts, features: int) -> dict:
         held[left[inner]] = held[left[inner] + 1] = True
     renumbered = np.cumsum(held) - 1
     feature, split, left, gains = feature[held], split[held], renumbered[left[held]], gains[held]
-    leaves = stats[held][split == LEAF]
-    votes = np.round(leaves / np.maximum(leaves.sum(1, keepdims=True), 1e-300) / VOTE) * VOTE
+    return _told(feature, split, left, gains, _votes(stats[held][split == LEAF]), features) | {"weights": stats[0].tolist()}
+
+
+def _votes(leaves: np.ndarray) -> np.ndarray:
+    return np.round(leaves / np.maximum(leaves.sum(1, keepdims=True), 1e-300) / VOTE) * VOTE
+
+
+def _told(feature, split, left, gains, votes, features: int) -> dict:
     shares = np.bincount(feature, gains, features)
     return {
-        "nodes": len(split), "importances": (shares / (shares.sum() or 1.0)).tolist(), "feature": feature.astype("u1").tobytes(),
-        "split": split.tobytes(), "left": left.astype("<i4").tobytes(), "votes": votes.astype("<f8").tobytes(),
+        "nodes": len(split), "importances": (shares / (shares.sum() or 1.0)).tolist(), "gained": float(shares.sum()),
+        "feature": feature.astype("u1").tobytes(),
+        "split": split.astype("u1").tobytes(), "left": left.astype("<i4").tobytes(), "votes": votes.astype("<f8").tobytes(),
     }
 
 
+def picks_of(seed: list[int], shape: Shape, features: int) -> np.ndarray:
+    """The features that an upper node looks at."""
+    draw = np.random.default_rng(seed).random(features)
+    return np.sort(draw.argpartition(shape.features_per_node - 1)[:shape.features_per_node])
+
+
+def best_cut(weights: np.ndarray, counts: np.ndarray, held: np.ndarray, picks: np.ndarray, widths: list[int], shape: Shape) -> dict:
+    """A node's best split from sums over its rows by code, for one of its features after another: weight by class,
+    draws, and rows. No gain: none."""
+    start, made = 0, None
+    for pick in picks:
+        end = start + widths[pick]
+        left, drawn, rows = weights[start:end].cumsum(0), counts[start:end].cumsum(), held[start:end].cumsum()
+        stats = left[-1:]
+        gain = _purity(left) + _purity(np.maximum(stats - left, 0)) - _purity(stats)
+        gain[(drawn < shape.min_rows_per_leaf) | (drawn[-1] - drawn < shape.min_rows_per_leaf) | (drawn == drawn[-1])] = 0.0
+        code = int(gain.argmax())
+        if made is None or gain[code] > made["gain"]:
+            made = {"feature": int(pick), "code": code, "gain": float(gain[code]), "left": left[code].tolist(), "right": (stats[0] - left[code]).tolist(),
+                    "left_rows": int(rows[code]), "right_rows": int(rows[-1] - rows[code])}
+        start = end
+    size = sum(made["left"]) + sum(made["right"])
+    return made if made["gain"] > max(LEAST_GAIN, shape.min_gain * size) else made | {"gain": 0.0}
+
+
+class Upper:
+    """The nodes of a tree that have more rows than a task takes, and their children. A node's number is 1 for the root
+    and 2n and 2n + 1 for the children of n. An end is a leaf, or the place of a piece that a task grows."""
+
+    def __init__(self, rows: int, most: int, shape: Shape):
+        self.most, self.shape = most, shape
+        self.number, self.rows, self.stats, self.closed = [1], [rows], [np.zeros(shape.classes)], [False]
+        self.feature, self.split, self.left, self.gain = [0], [LEAF], [0], [0.0]
+
+    def open(self) -> list[int]:
+        """Nodes that are to be split yet."""
+        return [at for at, rows in enumerate(self.rows) if rows > self.most and self.split[at] == LEAF and not self.closed[at]]
+
+    def cut(self, at: int, made: dict | None) -> None:
+        """Takes what ``best_cut`` says of a node; nothing of one without rows."""
+        if made:
+            self.stats[at] = np.asarray(made["left"]) + np.asarray(made["right"])
+        if not made or not made["gain"]:
+            self.closed[at] = True
+            return
+        self.feature[at], self.split[at], self.left[at], self.gain[at] = made["feature"], made["code"], len(self.number), made["gain"]
+        for side, name in enumerate(("left", "right")):
+            stats, number = np.asarray(made[name]), 2 * self.number[at] + side
+            pure = stats.sum() - _purity(stats[None])[0] <= LEAST_GAIN
+            self.left.append(len(self.number))
+            self.number.append(number), self.rows.append(made[f"{name}_rows"]), self.stats.append(stats)
+            self.closed.append(bool(pure) or number.bit_length() > self.shape.max_depth)
+            self.feature.append(0), self.split.append(LEAF), self.gain.append(0.0)
+
+    def ends(self) -> list[int]:
+        """Nodes below which a task grows a piece."""
+        return [at for at, rows in enumerate(self.rows) if rows <= self.most and self.split[at] == LEAF and not self.closed[at]]
+
+    def finished(self, loose: dict[int, list[float]], features: int) -> dict:
+        """The upper part as a table row holds it. ``loose`` are pieces of one node, by number: they are leaves of
+        this part, and as anywhere leaves of one parent that say the same class are one leaf."""
+        for at, number in enumerate(self.number):
+            if number in loose:
+                self.closed[at], self.stats[at] = True, np.asarray(loose[number])
+        for at in reversed(range(len(self.number))):
+            child = self.left[at]
+            if self.split[at] != LEAF and self.closed[child] and self.closed[child + 1] \
+                    and self.stats[child].argmax() == self.stats[child + 1].argmax():
+                self.closed[at], self.split[at], self.feature[at], self.left[at], self.gain[at] = True, LEAF, 0, at, 0.0
+        held = np.zeros(len(self.number), bool)
+        held[0] = True
+        for at in range(len(held)):
+            if held[at] and self.split[at] != LEAF:
+                held[self.left[at]:self.left[at] + 2] = True
+        split, closed = np.array(self.split, "u1")[held], np.array(self.closed)[held]
+        left = (np.cumsum(held) - 1)[np.array(self.left)][held]
+        leaf = split == LEAF
+        exits = np.where(closed, 0, np.array(self.number, "i8")[held])[leaf]
+        votes = np.where(exits[:, None] == 0, _votes(np.stack(self.stats)[held][leaf]), 0.0)
+        made = _told(np.array(self.feature)[held], split, left, np.array(self.gain)[held], votes, features)
+        return made | {"nodes": made["nodes"] - int((exits > 0).sum()), "weights": self.stats[0].tolist(), "exits": exits.astype("<i8").tobytes()}
+
+
+class Crowns:
+    """The upper parts of several trees, for tasks that look where rows of a bag stand."""
+
+    def __init__(self, uppers: dict[int, Upper]):
+        self.starts = np.full(max(uppers) + 1, -1)
+        kept, end = [], 0
+        for tree, upper in uppers.items():
+            self.starts[tree] = end
+            kept.append((upper.feature, upper.split, np.array(upper.left) + end, upper.number))
+            end += len(upper.number)
+        self.feature, self.split, self.left, self.number = (
+            np.concatenate([np.asarray(some, kind) for some in column]) for column, kind in zip(zip(*kept), ("u1", "u1", "i8", "i8")))
+
+    def at(self, tree: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        return _down(self.feature, self.split, self.left, self.starts[tree], codes)
+
+    def sums(self, slots: dict[tuple[int, int], int], picks: np.ndarray, widths: list[int], classes: int) -> "Sums":
+        """Empty sums for some nodes, by tree and place in its upper part; ``picks`` are the features of each slot."""
+        slot = np.full(len(self.number), -1)
+        for (tree, at), number in slots.items():
+            slot[self.starts[tree] + at] = number
+        return Sums(self, slot, picks, np.asarray(widths), classes)
+
+
+class Sums:
+    """Per node, feature and code: weight by class, draws and rows."""
+
+    def __init__(self, crowns: Crowns, slot: np.ndarray, picks: np.ndarray, widths: np.ndarray, classes: int):
+        self.crowns, self.slot, self.picks, self.classes = crowns, slot, picks, classes
+        ends = np.cumsum(widths[picks].ravel())
+        self.first = np.concatenate([[0], ends[:-1]]).reshape(picks.shape)
+        self.bounds = np.concatenate([self.first[:, 0], ends[-1:]])
+        self.weights, self.counts, self.held = np.zeros((ends[-1], classes)), np.zeros(ends[-1], "i8"), np.zeros(ends[-1], "i8")
+
+    def add(self, tree: np.ndarray, codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.ndarray) -> None:
+        """``weight`` is a row's weight times ``count``."""
+        slot = self.slot[self.crowns.at(tree, codes)]
+        rows = np.flatnonzero(slot >= 0)
+        slot, label, weight, count = slot[rows], label[rows], weight[rows], count[rows]
+        flat = self.weights.reshape(-1)
+        for pick, first in zip(self.picks.T, self.first.T):
+            cell = first[slot] + codes[pick[slot], rows]
+            np.add.at(flat, cell * self.classes + label, weight)
+            np.add.at(self.counts, cell, count)
+            np.add.at(self.held, cell, 1)
+
+    def told(self):
+        """Slot by slot, those with rows."""
+        for slot, (start, end) in enumerate(zip(self.bounds, self.bounds[1:])):
+            if self.held[start:end].any():
+                yield slot, self.weights[start:end].tobytes(), self.counts[start:end].tobytes(), self.held[start:end].tobytes()
+
+
 class Grown:
-    """A tree as its table row holds it."""
+    """A tree as its table row holds it, or one of its pieces, or its upper part, which has ``exits``: the number of
+    the piece below each of its leaves, 0 for a leaf of its own."""
 
     def __init__(self, row: dict, classes: int):
+        self.tree, self.root = row.get("tree"), row.get("root") or 1
         self.feature, self.split = np.frombuffer(row["feature"], "u1"), np.frombuffer(row["split"], "u1")
         self.left, self.votes = np.frombuffer(row["left"], "<i4"), np.frombuffer(row["votes"], "<f8").reshape(-1, classes)
         self.leaf = np.cumsum(self.split == LEAF) - 1
+        self.exits = np.frombuffer(row.get("exits") or b"", "<i8")
+
+    def add_votes(self, codes: np.ndarray, votes: np.ndarray) -> np.ndarray:
+        """``codes`` is features x rows. Gives each row's leaf."""
+        leaf = self.leaf[_down(self.feature, self.split, self.left, np.zeros(codes.shape[1], "i4"), codes)]
+        votes += self.votes[leaf]
+        return leaf
+
 
-    def add_votes(self, codes: np.ndarray, votes: np.ndarray) -> None:
-        """``codes`` is features x rows."""
-        every = np.arange(codes.shape[1])
-        at = np.zeros(len(every), "i4")
-        while True:
-            down = self.left[at] + (codes[self.feature[at], every] > self.split[at])
-            if np.array_equal(down, at):
-                break
-            at = down
-        votes += self.votes[self.leaf[at]]
+def add_votes(pieces: Iterable[tuple[list, Grown]], columns: list[np.ndarray], votes: np.ndarray) -> None:
+    """Adds the votes of trees, each piece behind the upper part of its tree, with the split points of each."""
+    points, codes, below = None, None, {}
+    for at, piece in pieces:
+        if at != points:
+            points, codes = at, codes_of(columns, at)
+        if piece.root == 1:
+            leaf = piece.add_votes(codes, votes)
+            if piece.exits.any():
+                number = piece.exits[leaf]
+                order = number.argsort(kind="stable").astype("i4")
+                below[piece.tree] = order, number[order].astype("i4")
+        elif piece.tree in below:
+            order, number = below[piece.tree]
+            rows = order[np.searchsorted(number, piece.root, "left"):np.searchsorted(number, piece.root, "right")]
+            if len(rows):
+                some = votes[rows]
+                piece.add_votes(codes[:, rows], some)
+                votes[rows] = some

@@ -2,6 +2,7 @@
 
 import random
 import uuid
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -202,3 +203,85 @@ def test_forest_and_folds_share_rows_that_are_written_once(spark, tmp_path, monk
     alone = models.predict(fit(models.split(made).where(~F.col("is_test")), 4), parts).select("guid", "confianza")
     assert look(models.predict(forest, parts).select("guid", "confianza")) == look(alone)
     assert look(folds) == look(folds_of(made, folds=2, trees=4))
+
+
+def look_at(model, rows, most=models.MOST_NODES):
+    return sorted((r["guid"], tuple(r["votes"])) for r in model.votes(rows, most).select("guid", "votes").collect())
+
+
+def test_a_forest_is_fitted_on_all_rows(spark):
+    """Beyond 200,000 rows a share of them was taken."""
+    n = 210_000
+    rows = spark.range(n).select(F.col("id").cast("string").alias("guid"), *[(F.col("id") % 7 + place).cast("double").alias(name) for place, name in enumerate(FEATURES)],
+                                 (F.col("id") % 7).cast("double").alias(models.LABEL), F.lit(1.0).alias(models.WEIGHT)).where("label < 5")
+    rows = rows.unionByName(rows.withColumn("guid", F.concat("guid", F.lit("b")))).unionByName(rows.withColumn("guid", F.concat("guid", F.lit("c"))))
+    n = rows.count()
+    assert n == 450_000 and models.fit_rows(rows).count() == n
+    model = models.fit_forest(rows, trees=2)
+    bags = model.table(model.parts[0][0]).where("root = 1").select(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x).alias("n")).collect()
+    assert len(bags) == 2 and all(abs(r["n"] / n - 1) < 0.01 for r in bags)
+    few = rows.where("length(guid) = 2")
+    assert few.count() > 9 and models.predict(model, few).where("prediccion_modelo = label + 1").count() == few.count()
+
+
+@pytest.mark.parametrize("n, values, most", [(600, 20, 40), (500, 3, 30), (300, 20, 2)])
+def test_a_tree_in_pieces_is_the_tree_in_one(spark, monkeypatch, n, values, most):
+    """Nodes that look at all features have the same splits, whether a task holds their rows or many add them up."""
+    whole_shape = models.shape_of
+    monkeypatch.setattr(models, "shape_of", lambda stage: replace(whole_shape(stage), features_per_node=len(FEATURES), max_depth=9))
+    rows = models.labelled(noise(spark, n, values)).withColumn(models.WEIGHT, F.lit(1.0))
+    rows = rows.withColumn("edad", F.when(F.col("sexo") > 1, F.col("edad"))).withColumn(TARGET, F.when(F.col("fiebre") > 1, 2).otherwise(F.col(TARGET)))
+    rows = rows.withColumn(models.LABEL, (F.col(TARGET) - 1).cast("double"))
+    one = models.fit_forest(rows, trees=5, part_trees=2)
+    monkeypatch.setattr(models, "PIECE_ROWS", most)
+    monkeypatch.setattr(models, "OPEN_NODES", 7)
+    pieces = models.fit_forest(rows.repartition(3), trees=5, part_trees=2, at_once=1)
+    assert pieces.parts == one.parts and pieces.table(pieces.parts[0][0]).where("root > 1").count() >= 2
+    assert look_at(one, rows) == look_at(pieces, rows) == look_at(pieces, rows, 1)
+    for name, *_ in one.parts:
+        for tree, other in zip(one.part(name).trees, pieces.part(name).trees, strict=True):
+            assert (tree.uid, tree.nodes) == (other.uid, other.nodes) and tree.importances == pytest.approx(other.importances)
+    folder = scratch_path(spark, "copy")
+    pieces.save(folder)
+    assert look_at(models.PartedForest.load(spark, folder), rows) == look_at(one, rows)
+
+
+def test_pieces_follow_from_the_rows_alone(spark, monkeypatch):
+    """Weights that are no binary fractions, summed up in another order."""
+    monkeypatch.setattr(models, "PIECE_ROWS", 50)
+    rows, seen = models.labelled(noise(spark, 400)), []
+    for parts, block in ((1, 400), (5, 30)):
+        monkeypatch.setattr(models, "BLOCK_ROWS", block)
+        seen.append(look_at(models.fit_forest(rows.repartition(parts), trees=4), rows))
+    assert seen[0] == seen[1]
+    hits = models.predict(models.fit_forest(rows, trees=30), rows).where(f"prediccion_modelo = {TARGET}").count()
+    assert hits > 380
+
+
+def test_nodes_without_a_split_end_in_the_upper_part(spark, monkeypatch):
+    monkeypatch.setattr(models, "PIECE_ROWS", 5)
+    rows = models.labelled(noise(spark, 80, values=1))
+    model = models.fit_forest(rows, trees=3)
+    assert [trees for _, trees, _ in model.parts] == [3] and sum(nodes for *_, nodes in model.parts) == 3
+    votes = look_at(model, rows)
+    assert len({v for _, v in votes}) == 1 and sum(votes[0][1]) == pytest.approx(3)
+    some = models.labelled(noise(spark, 80)).withColumn("label", F.lit(2.0))
+    assert all(v == (0, 0, 2, 0, 0) for _, v in look_at(models.fit_forest(some, trees=2), some))
+
+
+def test_split_points_over_several_ranges_are_those_of_one(spark):
+    rows = noise(spark, 400).withColumn("edad", F.rand(3)).withColumn("sexo", F.floor(F.rand(4) * 150) / 7)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    told = [models.split_points(rows, 16)]
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        told.append(models.split_points(rows, 16))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    table, plain = rows.toPandas(), []
+    for name in FEATURES:
+        value, n = np.unique(table[name].to_numpy(), return_counts=True)
+        share = np.concatenate([[0], n.cumsum() * 16 // n.sum()])
+        ends = (share[1:] > share[:-1]) | (len(value) <= 16)
+        plain.append(((value[:-1] + value[1:]) / 2)[ends[:-1]].tolist())
+    assert told[0] == told[1] == plain
