@@ -28,7 +28,7 @@ from ..schemas import FEATURES, FOLDS, LEVELS, SEED, TARGET, TREES
 from ..session import materialize, scratch_path, shared_folder, small_table
 from .evaluation import class_weights, fold_scores
 from .ranking import stratified_folds, stratified_split
-from .trees import Crowns, Grown, Shape, Upper, add_votes, best_cut, codes_of, grow, picks_of
+from .trees import DRAWS, Crowns, Draws, Grown, Shape, Upper, add_votes, best_cut, codes_of, grow, picks_of
 
 LABEL = "label"
 WEIGHT = "weight"
@@ -49,8 +49,6 @@ TASK_TREES = 4
 FOLDS_AT_ONCE = 3
 MOST_NODES = 4_000_000
 VOTE_ROWS = 100_000
-# Shares of draws from a Poisson distribution of mean one that are at most 0, 1, 2, ...
-DRAWS = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(13)]
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -323,13 +321,17 @@ def _exact_weights(rows: DataFrame, weight: float) -> DataFrame:
     return rows.withColumn(WEIGHT, F.rint(F.col(WEIGHT) / unit) * unit)
 
 
-def _bag(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Trees, codes (features x rows), labels, weights and draws of rows of bags."""
-    binary = batch.column("codes").cast(pa.binary())
-    ends = np.frombuffer(binary.buffers()[1], "i4", len(binary) + 1, binary.offset * 4)
-    codes = np.frombuffer(binary.buffers()[2], "u1")[ends[0]:ends[-1]].reshape(-1, len(FEATURES)).T
-    tree, label, weight, count = (batch.column(name).to_numpy(zero_copy_only=False) for name in ("tree", LABEL, WEIGHT, "count"))
-    return tree, np.ascontiguousarray(codes), label.astype("i8"), weight * count, count.astype("i8")
+def _bags(batches: Iterator[pa.RecordBatch], trees: list[int], seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """Tree by tree the rows of its bag, how often they are drawn and their codes (features x rows), with the batch that holds them."""
+    for batch in batches:
+        if batch.num_rows:
+            binary = batch.column("codes").cast(pa.binary())
+            ends = np.frombuffer(binary.buffers()[1], "i4", len(binary) + 1, binary.offset * 4)
+            codes = np.ascontiguousarray(np.frombuffer(binary.buffers()[2], "u1")[ends[0]:ends[-1]].reshape(-1, len(FEATURES)).T)
+            draws = Draws(batch.column("place").to_numpy(), seed)
+            for tree in trees:
+                rows, count = draws.of(tree)
+                yield tree, rows, count, codes[:, rows], batch
 
 
 def upper_parts(rows: DataFrame, trees: range, seed: int, shape: Shape, points: list[list[float]], total: int) -> dict[int, Upper]:
@@ -351,9 +353,9 @@ def upper_parts(rows: DataFrame, trees: range, seed: int, shape: Shape, points:
 
             def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sums = crowns.sums(slots, picks, widths, classes)
-                for batch in batches:
-                    if batch.num_rows:
-                        sums.add(*_bag(batch))
+                for tree, rows, count, codes, batch in _bags(batches, asked, seed):
+                    label, weight = batch.column(LABEL).to_numpy(), batch.column(WEIGHT).to_numpy()
+                    sums.add(tree, codes, label[rows].astype("i8"), weight[rows] * count, count)
                 for told in sums.told():
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, told))], schema)
 
@@ -364,10 +366,7 @@ def upper_parts(rows: DataFrame, trees: range, seed: int, shape: Shape, points:
                 return pd.DataFrame([{"slot": slot, **best_cut(weights.reshape(-1, classes), counts, held, picks[slot], widths, shape)}])
 
             asked = sorted({tree for tree, _ in some})
-            drawn = bagged(rows, range(asked[0], asked[-1] + 1), seed).where(F.col("count") > 0)
-            if len(asked) <= asked[-1] - asked[0]:
-                drawn = drawn.where(F.col("tree").isin(asked))
-            cuts = drawn.select("tree", "codes", LABEL, WEIGHT, "count").mapInArrow(
+            cuts = rows.select("place", LABEL, WEIGHT, "codes").mapInArrow(
                 summed, "slot int, weights binary, counts binary, held binary").groupBy("slot").applyInPandas(
                 best, "slot int, feature int, code int, gain double, left array<double>, right array<double>, left_rows bigint, right_rows bigint")
             made = {row["slot"]: row.asDict() for row in cuts.collect()}
@@ -376,19 +375,20 @@ def upper_parts(rows: DataFrame, trees: range, seed: int, shape: Shape, points:
     return uppers
 
 
-def _at_ends(bags: DataFrame, uppers: dict[int, Upper]) -> DataFrame:
-    """Rows of bags with the ``root`` of the piece that they belong to; without those that have ended in an upper part."""
+def _at_ends(rows: DataFrame, uppers: dict[int, Upper], seed: int) -> DataFrame:
+    """As ``bagged``, with the ``root`` of the piece that a row belongs to; without rows that have ended in an upper part."""
     crowns, ends = Crowns(uppers), np.concatenate([np.isin(np.arange(len(upper.number)), upper.ends()) for upper in uppers.values()])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                tree, codes, *_ = _bag(batch)
-                at = crowns.at(tree, codes)
-                root = pa.array(crowns.number[at], pa.int64())
-                yield batch.append_column("root", root).filter(pa.array(ends[at]))
+        for tree, rows, count, codes, batch in _bags(batches, list(uppers), seed):
+            at = crowns.at(tree, codes)
+            kept = np.flatnonzero(ends[at])
+            if len(kept):
+                yield batch.take(pa.array(rows[kept])).append_column("tree", pa.array(np.full(len(kept), tree, "i4"))).append_column(
+                    "count", pa.array(count[kept].astype("i4"))).append_column("root", pa.array(crowns.number[at[kept]]))
 
-    return bags.mapInArrow(placed, ", ".join(f"{name} {kind}" for name, kind in bags.dtypes) + ", root bigint")
+    some = rows.select("place", LABEL, WEIGHT, "codes")
+    return some.mapInArrow(placed, ", ".join(f"{name} {kind}" for name, kind in some.dtypes) + ", tree int, count int, root bigint")
 
 
 def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str = "guid",
@@ -437,13 +437,13 @@ def fit_forest(train: DataFrame, trees: int = TREES, seed: int = SEED, key: str
     step = part_trees * at_once
     for first in range(0, trees, step):
         some = range(first, min(trees, first + step))
-        bags, groups = bagged(rows, some, seed), len(some)
+        groups = len(some)
         if large:
             uppers = upper_parts(rows, some, seed, shape, points, total)
             groups = sum(len(upper.ends()) for upper in uppers.values())
-            bags = _at_ends(bags.where(F.col("count") > 0), uppers)
+            bags = _at_ends(rows, uppers, seed)
         else:
-            bags = bags.withColumn("root", F.lit(1).cast("long"))
+            bags = bagged(rows, some, seed).withColumn("root", F.lit(1).cast("long"))
         made = bags.repartition(max(1, math.ceil(groups / TASK_TREES)), "tree", "root").groupBy("tree", "root").applyInPandas(grown, PartedForest.TREE)
         made.withColumn("part", part).write.mode("append").partitionBy("part").parquet(path)
         if large:

@@ -7,6 +7,7 @@ A tree whose bag is too large for a task has an ``Upper`` part, whose splits fol
 over all of the bag's rows, and a piece, a tree of its own, below each of its ends.
 """
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -22,6 +23,14 @@ MANY_CELLS = 4096
 VOTE = 2.0 ** -40
 
 
+# Shares of draws from a Poisson distribution of mean one that are at most 0, 1, 2, ...
+DRAWS = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(13)]
+# Constants of Spark's xxhash64, and the seed that it begins with.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+_FIRST = np.uint64(42)
+
+
 @dataclass(frozen=True)
 class Shape:
     """What bounds a tree, and how many features each node looks at."""
@@ -39,6 +48,45 @@ def codes_of(columns, points: list[list[float]]) -> np.ndarray:
         np.searchsorted(np.asarray(cuts, "f8"), np.asarray(column, "f8"), "left").astype("u1") for column, cuts in zip(columns, points)])
 
 
+def _turned(value: np.ndarray, bits: int) -> np.ndarray:
+    return value << np.uint64(bits) | value >> np.uint64(64 - bits)
+
+
+def _mixed(value: np.ndarray) -> np.ndarray:
+    value = (value ^ value >> np.uint64(33)) * _P2
+    value = (value ^ value >> np.uint64(29)) * _P3
+    return value ^ value >> np.uint64(32)
+
+
+def hashed_long(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of a bigint, on top of a hash."""
+    return _mixed(_turned(seed + _P5 + np.uint64(8) ^ _turned(value * _P2, 31) * _P1, 27) * _P1 + _P4)
+
+
+def hashed_int(value: int, seed: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of an int, on top of a hash."""
+    told = np.array([value & 0xFFFFFFFF], "u8") * _P1
+    return _mixed(_turned(seed + _P5 + np.uint64(4) ^ told, 23) * _P2 + _P3)
+
+
+class Draws:
+    """How often rows are in the bags of trees: the Poisson numbers of ``models.bagged``, without a row for each tree."""
+
+    def __init__(self, place: np.ndarray, seed: int):
+        self.place, self.seed = hashed_long(place.astype("i8").view("u8"), np.full(len(place), _FIRST)), seed
+
+    def of(self, tree: int) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that are drawn, and how often."""
+        value = hashed_int(tree, self.place)
+        if -1 << 31 <= self.seed < 1 << 31:
+            value = hashed_int(self.seed, value)
+        else:
+            value = hashed_long(np.array([self.seed], "i8").view("u8"), value)
+        draw = (value & np.uint64((1 << 53) - 1)).astype("f8") / float(1 << 53)
+        rows = np.flatnonzero(draw >= DRAWS[0])
+        return rows, np.searchsorted(DRAWS, draw[rows], "right")
+
+
 def _by_class(place: np.ndarray, label: np.ndarray, weight: np.ndarray, places: int, classes: int) -> np.ndarray:
     return np.bincount(place * classes + label, weight, places * classes).reshape(places, classes)
 
@@ -271,8 +319,8 @@ class Crowns:
         self.feature, self.split, self.left, self.number = (
             np.concatenate([np.asarray(some, kind) for some in column]) for column, kind in zip(zip(*kept), ("u1", "u1", "i8", "i8")))
 
-    def at(self, tree: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        return _down(self.feature, self.split, self.left, self.starts[tree], codes)
+    def at(self, tree: int, codes: np.ndarray) -> np.ndarray:
+        return _down(self.feature, self.split, self.left, np.full(codes.shape[1], self.starts[tree]), codes)
 
     def sums(self, slots: dict[tuple[int, int], int], picks: np.ndarray, widths: list[int], classes: int) -> "Sums":
         """Empty sums for some nodes, by tree and place in its upper part; ``picks`` are the features of each slot."""
@@ -292,8 +340,8 @@ class Sums:
         self.bounds = np.concatenate([self.first[:, 0], ends[-1:]])
         self.weights, self.counts, self.held = np.zeros((ends[-1], classes)), np.zeros(ends[-1], "i8"), np.zeros(ends[-1], "i8")
 
-    def add(self, tree: np.ndarray, codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.ndarray) -> None:
-        """``weight`` is a row's weight times ``count``."""
+    def add(self, tree: int, codes: np.ndarray, label: np.ndarray, weight: np.ndarray, count: np.ndarray) -> None:
+        """Rows of a tree's bag; ``weight`` is a row's weight times ``count``."""
         slot = self.slot[self.crowns.at(tree, codes)]
         rows = np.flatnonzero(slot >= 0)
         slot, label, weight, count = slot[rows], label[rows], weight[rows], count[rows]

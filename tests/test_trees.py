@@ -285,3 +285,13 @@ def test_split_points_over_several_ranges_are_those_of_one(spark):
         ends = (share[1:] > share[:-1]) | (len(value) <= 16)
         plain.append(((value[:-1] + value[1:]) / 2)[ends[:-1]].tolist())
     assert told[0] == told[1] == plain
+
+
+@pytest.mark.parametrize("seed", [1, 42, -7, 5_000_000_000])
+def test_draws_in_a_task_are_those_of_bagged(spark, seed):
+    rows = spark.range(900).select((F.xxhash64("id") - F.col("id")).alias("place"), F.lit(0.0).alias(models.LABEL), F.lit(1.0).alias(models.WEIGHT), F.lit(b"x").alias("codes"))
+    told = {(r["tree"], r["place"], r["count"]) for r in models.bagged(rows, range(3, 70, 1), seed).where("count > 0").collect()}
+    place = np.array([r["place"] for r in rows.collect()])
+    draws = trees.Draws(place, seed)
+    found = {(tree, int(place[row]), int(n)) for tree in range(3, 70) for row, n in zip(*draws.of(tree))}
+    assert found == told and len(told) > 30_000 and max(n for *_, n in told) > 4
